@@ -10,13 +10,18 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 1000  # a key is hot when it holds more than 1/HOT_SHARE of the rows
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Size of all the files and relations ``df`` reads, from metadata; no job runs.
+
+    Filters, projections, groupings and joins to a unique key do not add rows, so for such a
+    ``df`` this bounds the result where Catalyst's own estimate multiplies the join inputs.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return estimated_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    return input_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def fits(df: DataFrame, rows: int | None = None) -> bool:
@@ -67,9 +72,10 @@ def lookup(facts: DataFrame, other: DataFrame, key: str, how: str = "inner",
            measure: bool = False) -> DataFrame:
     """Join that broadcasts ``other`` only behind a check of its size, else ``salted_join``.
 
-    The estimate knows nothing of filters, so with ``measure`` an ``other`` estimated too large
-    is counted, up to the row bound, before the facts are shuffled for it. That pays for
-    master tables cut down to a few rows.
+    ``other`` must be derived by operations that add no rows to its inputs. The size of the
+    inputs knows nothing of filters, so with ``measure`` an ``other`` with large inputs is
+    counted, up to the row bound, before the facts are shuffled for it. That pays for master
+    tables cut down to a few rows.
     """
     if is_small(other, limit) or (measure and fits(other)):
         return facts.join(F.broadcast(other), key, how)

@@ -48,6 +48,15 @@ def _money(c: Column | str, sql_type: str = "decimal(17,2)") -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(sql_type)
 
 
+def literal_rows(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
+    """A constant relation the optimiser knows the size of; Python text and ints only."""
+    def sql(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + v.replace("'", "\\'") + "'"
+
+    values = ", ".join("(" + ", ".join(sql(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns.split())})")
+
+
 def _pick(position: Column, values: list) -> Column:
     """``values[position]``."""
     return F.element_at(F.array(*[F.lit(v) for v in values]), position.cast("int") + 1)
@@ -60,9 +69,12 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._sources:
+            self._sources[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._sources[name]
 
     # -- vouchers -------------------------------------------------------------------------
 
@@ -183,10 +195,10 @@ class Testbed:
     # -- masters --------------------------------------------------------------------------
 
     def groups(self) -> DataFrame:
-        fixed = self.spark.createDataFrame(
-            [(f"G:{n}", n, "", n, *flags) for n, flags in ROOT_GROUPS.items()],
-            "guid string, name string, parent string, primary_group string, is_revenue int, "
-            "is_deemedpositive int, affects_gross_profit int")
+        fixed = literal_rows(
+            self.spark,
+            "guid name parent primary_group is_revenue is_deemedpositive affects_gross_profit",
+            [(f"G:{n}", n, "", n, *flags) for n, flags in ROOT_GROUPS.items()])
         region, nation = self.source("region"), self.source("nation")
 
         def debtor_group(df: DataFrame, name: Column, parent: Column) -> DataFrame:
@@ -203,9 +215,9 @@ class Testbed:
         return conform(fixed.unionByName(regions).unionByName(nations), "mst_group")
 
     def ledgers(self) -> DataFrame:
-        fixed = self.spark.createDataFrame(
+        fixed = literal_rows(
+            self.spark, "guid name parent is_revenue opening_balance gstn",
             [(f"L:{n}", n, g, r, o, "") for n, (g, r, o) in FIXED_LEDGERS.items()],
-            "guid string, name string, parent string, is_revenue int, opening_balance int, gstn string",
         ).withColumn("opening_balance", _money("opening_balance"))
         customers = (
             self.source("customer")
@@ -230,9 +242,9 @@ class Testbed:
         return conform(rows, "mst_opening_bill_allocation")
 
     def voucher_types(self) -> DataFrame:
-        rows = self.spark.createDataFrame(
-            [(f"T:{n}", n, n, "Manual" if n == "Contra" else "Automatic") for n in VOUCHER_TYPES],
-            "guid string, name string, parent string, numbering_method string")
+        rows = literal_rows(
+            self.spark, "guid name parent numbering_method",
+            [(f"T:{n}", n, n, "Manual" if n == "Contra" else "Automatic") for n in VOUCHER_TYPES])
         return conform(rows, "mst_vouchertype")
 
     def books(self) -> Books:
