@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import report_checks
+from checks import ingest_checks, report_checks
 
-_PARTS = [report_checks]
+_PARTS = [report_checks, ingest_checks]
 
 
 def queries():

@@ -45,13 +45,13 @@ def formatted(pattern: str, present: Column, *args: Column) -> Column:
 
 def first_or_last_of(own: Column, entries: Column, name: str) -> Column:
     """``own`` if non-blank, else ``name`` of the last entry of a nested list."""
-    last = F.try_element_at(entries, F.lit(-1))
-    return F.when(blank(own), last.getField(name)).otherwise(own)
+    return F.when(blank(own), nth(entries, -1).getField(name)).otherwise(own)
 
 
 def nth(entries: Column, position: int) -> Column:
     """The entry at a 1-based position (negative from the end), NULL beyond the list."""
-    return F.try_element_at(entries, F.lit(position))
+    index = F.lit(position - 1) if position > 0 else F.size(entries) + position
+    return F.get(entries, index)
 
 
 def replace_first(raw: Column, find: str, put: str = "") -> Column:

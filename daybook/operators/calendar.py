@@ -52,7 +52,7 @@ def batches(rows: DataFrame, size: int = 5000, date: str = "date") -> DataFrame:
                         day["n"].alias("rows"))
 
     def step(done: Column, day: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
+        last = F.get(done, F.size(done) - 1)
         fits = last["rows"] + day["n"] <= size
         head = F.slice(done, F.lit(1), F.size(done) - 1)
         grown = F.struct(last["date_from"].alias("date_from"), day["day"].alias("date_to"),

@@ -32,7 +32,7 @@ def raw_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.date_format(c, "yyyyMMdd")
     if isinstance(dtype, T.ArrayType) and not isinstance(dtype.elementType, T.StructType):
-        return F.when(F.size(c) == 1, F.try_element_at(c, F.lit(1)).cast("string"))
+        return F.when(F.size(c) == 1, F.get(c, F.lit(0)).cast("string"))
     return c.cast("string")
 
 

@@ -84,10 +84,8 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
         rowTag=row_tag or collection.upper(), attributePrefix="@", encoding=encoding,
         ignoreNamespace="true", mode="PERMISSIVE")
     if encoding.upper() == "UTF-16LE":
-        with _legacy_parser(spark):
-            raw = reader.schema(tags).load(path)
-    else:
-        raw = reader.schema(tags).load(path)
+        reader = reader.option("useLegacyXMLParser", "true")
+    raw = reader.schema(tags).load(path)
 
     def column(field: T.StructField):
         tag = _tag(field.name, field.dataType).name
@@ -100,19 +98,3 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
         return c.cast(field.dataType).alias(field.name)  # struct casts rename by position
 
     return raw.select(*[column(f) for f in schema.fields])
-
-
-class _legacy_parser:
-    """Switch the XML parser while a reader is set up."""
-
-    KEY = "spark.sql.legacy.useLegacyXMLParser"
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-
-    def __enter__(self):
-        self.before = self.spark.conf.get(self.KEY, "false")
-        self.spark.conf.set(self.KEY, "true")
-
-    def __exit__(self, *exc):
-        self.spark.conf.set(self.KEY, self.before)
