@@ -229,8 +229,7 @@ ORACLE = {
     "n1_trn_inventory": f"""
       select 'V' || l_orderkey as guid, 'P' || l_partkey as item,
         cast(case when l_returnflag = 'R' then l_quantity else -l_quantity end as decimal(15,4)) as quantity,
-        cast(round(cast(cast(l_extendedprice as decimal(17,2)) as decimal(28,12)) / cast(l_quantity as integer), 2)
-          as decimal(15,4)) as rate,
+        cast(l_extendedprice as decimal(15,4)) as rate,
         cast(l_extendedprice as decimal(17,2)) as amount, cast(l_tax as decimal(17,2)) as additional_amount,
         cast(l_discount as decimal(17,2)) as discount_amount, 'Main' as godown, {_TRACK} as tracking_number,
         '' as order_number, case when l_linestatus = 'F' then null else cast(l_shipdate as date) end as order_duedate
@@ -296,7 +295,7 @@ ORACLE = {
     "f8_filter_at_least": with_books("select guid from ord where k >= 5000"),
     "f8_filter_not_equal": with_books("select guid from ord where k <> 77"),
     "e15_master_guids": with_books(f"""
-      select guid, (k + 1)::int as alterid, voucher_type, 'T:' || voucher_type as _voucher_type,
+      select guid, k + 1 as alterid, voucher_type, 'T:' || voucher_type as _voucher_type,
         party as party_name, 'L:' || party as _party_name {_LIVE}"""),
     "s17_quality": """
       with base as (

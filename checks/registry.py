@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import ingest_checks, report_checks
+from checks import ingest_checks, report_checks, sync_checks
 
-_PARTS = [report_checks, ingest_checks]
+_PARTS = [report_checks, ingest_checks, sync_checks]
 
 
 def queries():

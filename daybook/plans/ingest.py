@@ -67,7 +67,7 @@ def flatten(docs: DataFrame, table: Table | str, start=None, end=None, after: in
     columns = [value(rows, table, c).cast(table.type(c)).alias(c) for c in table.columns]
     if masters is None:
         return rows.df.select(*columns)
-    alterid = rows.raw("alterid").try_cast("int").alias("alterid")
+    alterid = rows.raw("alterid").try_cast("bigint").alias("alterid")
     flat = rows.df.select(*columns, *([alterid] if table.nature == "Primary" else []))
     return with_master_guids(flat, table, masters).select(
         *[F.col(c).cast(t).alias(c) for c, t in incremental_columns(table)])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,22 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def write_all(tables: Mapping[str, DataFrame], write: Callable[[str, DataFrame], None],
+              at_once: int = 4) -> dict[str, int]:
+    """Write several tables, a few at a time; rows written per table."""
+    def one(name: str) -> tuple[str, int]:
+        df, seen = counted(tables[name], name)
+        write(name, df)
+        return name, seen.get["rows"]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(pool.map(one, list(tables)))
+
+
 def load(books: Mapping[str, DataFrame], folder: str, truncate: bool = True) -> dict[str, int]:
-    """Write every table below ``folder``; rows written per table."""
-    rows = {}
-    for name in books:
-        df, seen = counted(books[name], name)
-        (full_refresh if truncate else append)(df, f"{folder.rstrip('/')}/{name}")
-        rows[name] = seen.get["rows"]
-    return rows
+    """Write every table below ``folder``, replacing what is there or adding to it."""
+    write = full_refresh if truncate else append
+    return write_all(books, lambda name, df: write(df, f"{folder.rstrip('/')}/{name}"))
 
 
 def save_bucketed(books: Books, folder: str, buckets: int = 64, database: str = "default") -> None:

@@ -247,7 +247,7 @@ def incremental_columns(table: Table) -> list[tuple[str, str]]:
     for column in table.columns:
         out.append((column, table.type(column)))
         if column == "guid" and table.nature == "Primary":
-            out.append(("alterid", "int"))
+            out.append(("alterid", "bigint"))
         if column in links:
             out.append((f"_{column}", "string"))
     return out

@@ -101,7 +101,6 @@ def stock_voucher_documents(spark: SparkSession, folder: str) -> DataFrame:
     line = Testbed(spark, folder).source("lineitem")
     money = F.col("l_extendedprice").cast("decimal(17,2)")
     quantity = F.concat(F.lit(" "), _text(F.col("l_quantity").cast("decimal(15,2)")), F.lit(" Nos"))
-    unit_price = (money / F.col("l_quantity").cast("int")).cast("decimal(15,2)")
     tracking = (F.when(F.col("l_linestatus") == "O", F.concat(F.lit("T"), _text(F.col("l_partkey"))))
                 .when(F.col("l_returnflag") == "A", "").otherwise("Not Applicable"))
     batch = _struct(
@@ -113,7 +112,7 @@ def stock_voucher_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyyMMdd").alias("date"),
         F.array(_struct(
             stockitemname=F.concat(F.lit("P"), _text(F.col("l_partkey"))), actualqty=quantity,
-            rate=F.concat(_text(unit_price), F.lit("/Nos")),
+            rate=F.concat(_text(money), F.lit("/Nos")),
             amount=_text(money), addlamount=_text(F.col("l_tax")), discount=_text(F.col("l_discount")),
             godownname="Main", trackingnumber=tracking, orderno="",
             orderduedate=F.when(F.col("l_linestatus") == "F", "").otherwise(
