@@ -98,3 +98,15 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
         return c.cast(field.dataType).alias(field.name)  # struct casts rename by position
 
     return raw.select(*[column(f) for f in schema.fields])
+
+
+def export_tag(name: str, dtype: T.DataType) -> str:
+    """The element name under which a field is exported."""
+    return _tag(name, dtype).name
+
+
+def export_type(dtype: T.DataType) -> T.DataType:
+    """``dtype`` with every nested field under its element name."""
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        return _tag("x", dtype).dataType
+    return dtype
