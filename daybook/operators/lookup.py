@@ -69,14 +69,17 @@ def salted_join(facts: DataFrame, other: DataFrame, key: str, how: str = "inner"
 
 def lookup(facts: DataFrame, other: DataFrame, key: str, how: str = "inner",
            keys_from: DataFrame | None = None, limit: int | None = None,
-           measure: bool = False) -> DataFrame:
+           measure: bool = False, unique: bool = False) -> DataFrame:
     """Join that broadcasts ``other`` only behind a check of its size, else ``salted_join``.
 
     ``other`` must be derived by operations that add no rows to its inputs. The size of the
     inputs knows nothing of filters, so with ``measure`` an ``other`` with large inputs is
     counted, up to the row bound, before the facts are shuffled for it. That pays for master
-    tables cut down to a few rows.
+    tables cut down to a few rows. Where the key is ``unique`` among the facts there is
+    nothing to spread, and a plain shuffle join is used.
     """
     if is_small(other, limit) or (measure and fits(other)):
         return facts.join(F.broadcast(other), key, how)
+    if unique:
+        return facts.join(other, key, how)
     return salted_join(facts, other, key, how, keys_from)

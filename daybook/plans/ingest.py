@@ -75,12 +75,13 @@ def flatten(docs: DataFrame, table: Table | str, start=None, end=None, after: in
 
 def with_master_guids(df: DataFrame, table: Table, masters: Mapping[str, DataFrame]) -> DataFrame:
     """Add ``_x`` = guid of the master row named by ``x``, '' where there is none."""
+    flat = df  # where hot names are looked for, free of the joins added below
     for column, link in links_of(table.name).items():
         if link.master not in masters:
             df = df.withColumn(link.key, F.lit(""))
             continue
         names = masters[link.master].select(F.col("name").alias(column), F.col("guid").alias(link.key))
-        df = lookup(df, names, column, "left", measure=True).withColumn(
+        df = lookup(df, names, column, "left", measure=True, keys_from=flat.select(column)).withColumn(
             link.key, F.coalesce(link.key, F.lit("")))
     return df
 
@@ -186,8 +187,8 @@ def flatten_paths(docs: Mapping[str, DataFrame], paths: list[str], fields: list[
             field, other, key, returned = spec.lookup
             found = docs[other].select(F.col(key).cast("string").alias("_key"),
                                        F.col(returned).cast("string").alias(f"_looked_up_{spec.name}"))
-            df = lookup(df.withColumn("_key", rows.raw(field)), found, "_key", "left",
-                        measure=True).drop("_key")
+            df = lookup(df.withColumn("_key", rows.raw(field)), found, "_key", "left", measure=True,
+                        keys_from=rows.df.select(rows.raw(field).alias("_key"))).drop("_key")
         parts.append(df.select(*[_spec_value(rows, f) for f in fields]))
     out = parts[0]
     for part in parts[1:]:

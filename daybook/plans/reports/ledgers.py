@@ -70,7 +70,7 @@ def account_statement(books: Books, ledger: str, start, end, distinct: bool = Fa
         .select("guid", F.array_join(
             F.col("found.ledger") if distinct else F.flatten(F.transform(
                 "found", lambda f: F.array_repeat(f["ledger"], f["times"]))), ",").alias("ledgers")))
-    return lookup(own, others, "guid").select(
+    return lookup(own, others, "guid", keys_from=books.trn_accounting.select("guid")).select(
         "date", "voucher_number", "voucher_type", "ledgers",
         money(debit()).alias("debit"), money(credit()).alias("credit"), "narration",
     ).orderBy("date", "voucher_number")

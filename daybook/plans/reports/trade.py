@@ -83,7 +83,7 @@ def _register(books: Books, categories: list[str], sign: int) -> DataFrame:
     vouchers = lookup(
         _categorised(books, categories).where(posted()).select(
             "guid", "date", "voucher_type", "voucher_number", "party_name", "voucher_category"),
-        parties, "party_name", measure=True)
+        parties, "party_name", measure=True, keys_from=books.trn_voucher.select("party_name"))
     lines = with_ledgers(books, books.trn_accounting.select("guid", "ledger", "amount"),
                          ledger_groups(books).select("ledger", "primary_group"))
     counter = entries(books, vouchers, lines).where(F.col("ledger") != F.col("party_name"))
@@ -108,7 +108,7 @@ def _trade_view(books: Books, categories: list[str], group: str) -> DataFrame:
     vouchers = lookup(
         _categorised(books, categories).select(
             "guid", "date", "voucher_number", "voucher_type", "voucher_category", "party_name"),
-        parties, "party_name", measure=True)
+        parties, "party_name", measure=True, keys_from=books.trn_voucher.select("party_name"))
     return _group_entries(books, group, vouchers).select(
         "date", "voucher_number", "voucher_type", "voucher_category", "party_name",
         "party_parent", "ledger", "amount")

@@ -7,15 +7,19 @@ read and written once per run whatever happens to it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
-from daybook.schema import LINKS, TABLES, Table, tables
+from daybook.plans.sinks import STATE_MASTER, STATE_TRANSACTION
+from daybook.plans.store import Store
+from daybook.schema import LINKS, TABLES, tables
+from daybook.session import scratch
 
 # Rows that go with a removed master, as table.column holding its guid.
 # Everything below a voucher goes with the voucher.
@@ -57,24 +61,42 @@ def gate(last: Mapping[str, int], source: Mapping[str, int]) -> Gate:
 
 def deleted_keys(current: DataFrame, source: DataFrame) -> DataFrame:
     """Keys of rows that the source no longer has."""
-    return lookup(current.select("guid"), source.select("guid"), "guid", "left_anti")
+    return lookup(current.select("guid"), source.select("guid"), "guid", "left_anti", unique=True)
+
+
+def _with_source(current: DataFrame, source: DataFrame, how: str) -> DataFrame:
+    theirs = source.select("guid", F.col("alterid").alias("_source_alterid"),
+                           F.lit(True).alias("_in_source"))
+    return lookup(current, theirs, "guid", how, unique=True)
+
+
+def _modified() -> Column:
+    return F.coalesce(F.col("alterid") != F.col("_source_alterid"), F.lit(False))
 
 
 def modified_keys(current: DataFrame, source: DataFrame) -> DataFrame:
     """Keys of rows whose change number differs in the source."""
-    theirs = source.select("guid", F.col("alterid").alias("_source_alterid"))
-    return lookup(current.select("guid", "alterid"), theirs, "guid").where(
-        F.col("alterid") != F.col("_source_alterid")).select("guid")
+    return _with_source(current.select("guid", "alterid"), source, "inner").where(_modified()).select("guid")
 
 
 def removed_keys(current: DataFrame, source: DataFrame) -> DataFrame:
-    """Deleted and modified keys; modified rows come back with the append."""
-    return deleted_keys(current, source).unionByName(modified_keys(current, source))
+    """Deleted and modified keys, in one pass; modified rows come back with the append."""
+    compared = _with_source(current.select("guid", "alterid"), source, "left")
+    return compared.where(F.col("_in_source").isNull() | _modified()).select("guid")
 
 
-def without(df: DataFrame, removed: DataFrame, column: str = "guid") -> DataFrame:
+def kept_rows(current: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows of a Primary table that the source still has, unchanged."""
+    compared = _with_source(current, source, "inner")
+    return compared.where(~_modified()).select(*current.columns)
+
+
+def without(df: DataFrame, removed: DataFrame, column: str = "guid",
+            keys_from: DataFrame | None = None) -> DataFrame:
     """Rows whose ``column`` is not among the removed keys."""
-    return lookup(df, removed.select(F.col("guid").alias(column)), column, "left_anti", measure=True)
+    keys = removed.select(F.col("guid").alias(column))
+    return lookup(df, keys, column, "left_anti", measure=True,
+                  keys_from=None if keys_from is None else keys_from.select(column))
 
 
 def appended(df: DataFrame, delta: DataFrame) -> DataFrame:
@@ -84,16 +106,18 @@ def appended(df: DataFrame, delta: DataFrame) -> DataFrame:
 def renamed(before: DataFrame, after: DataFrame) -> DataFrame:
     """Guid and new name of masters whose name changed."""
     old = before.select("guid", F.col("name").alias("_old_name"))
-    return lookup(after.select("guid", "name"), old, "guid").where(
+    return lookup(after.select("guid", "name"), old, "guid", unique=True).where(
         ~F.col("name").eqNullSafe(F.col("_old_name"))).select("guid", "name")
 
 
-def with_names(df: DataFrame, column: str, names: DataFrame) -> DataFrame:
+def with_names(df: DataFrame, column: str, names: DataFrame,
+               keys_from: DataFrame | None = None) -> DataFrame:
     """Set ``column`` to the name of the master whose guid is in ``_column``, where known."""
     key = f"_{column}"
     new = names.select(F.col("guid").alias(key), F.col("name").alias("_new_name"))
     order = df.columns
-    return lookup(df, new, key, "left", measure=True).withColumn(
+    return lookup(df, new, key, "left", measure=True,
+                  keys_from=None if keys_from is None else keys_from.select(key)).withColumn(
         column, F.coalesce("_new_name", column)).select(*order)
 
 
@@ -104,7 +128,7 @@ def renumbered(vouchers: DataFrame, fresh: DataFrame) -> DataFrame:
     """
     numbers = fresh.select("guid", F.col("voucher_number").alias("_fresh"))
     order = vouchers.columns
-    return lookup(vouchers, numbers, "guid", "left").withColumn(
+    return lookup(vouchers, numbers, "guid", "left", unique=True).withColumn(
         "voucher_number", F.coalesce("_fresh", "voucher_number")).select(*order)
 
 
@@ -118,7 +142,8 @@ def automatic_numbers(vouchers: DataFrame, voucher_types: DataFrame) -> DataFram
 
 def synced(current: Books, source: Mapping[str, DataFrame], delta: Books,
            numbers: DataFrame | None = None, changed: Gate | None = None,
-           party_names: bool = False, repair_names: bool = False) -> Books:
+           party_names: bool = False, repair_names: bool = False,
+           stage: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> Books:
     """The tables after one run, in the incremental schema.
 
     ``source`` maps Primary tables to all their keys and change numbers, ``delta`` holds the
@@ -127,47 +152,84 @@ def synced(current: Books, source: Mapping[str, DataFrame], delta: Books,
 
     Names are carried over for masters renamed in this run; ``repair_names`` re-reads the
     names of all masters. ``party_names`` also carries them into voucher headers.
+
+    Removed keys and renamed masters are needed by many tables; ``stage`` may store them.
     """
     changed = changed or Gate(True, True, False)
     active = {"master": changed.master, "transaction": changed.transaction}
-    removed = {
-        t.name: removed_keys(current[t.name], source[t.name])
-        for t in tables(nature="Primary")
-        if active[t.half] and t.name in source and t.name in current}
-
-    def reloaded(table: Table) -> DataFrame:
-        df = current[table.name]
-        if table.name in removed:
-            df = without(df, removed[table.name])
+    primary = {t.name for t in tables(nature="Primary")
+               if active[t.half] and t.name in source and t.name in current}
+
+    @cache
+    def removed(parent: str) -> DataFrame:
+        return stage(f"removed-{parent}", removed_keys(current[parent], source[parent]))
+
+    @cache
+    def reloaded(name: str) -> DataFrame:
+        """The table after delete, cascaded delete and append."""
+        df = current[name]
+        if name in primary:
+            df = kept_rows(df, source[name])
         for parent, target, column in CASCADE_DELETE:
-            if target == table.name and parent in removed:
-                df = without(df, removed[parent], column)
-        if active[table.half] and table.name in delta:
-            df = appended(df, delta[table.name])
+            if target == name and parent in primary:
+                df = without(df, removed(parent), column, current[name])
+        if active[TABLES[name].half] and name in delta:
+            df = appended(df, delta[name])
         return df
 
-    masters = {t.name: reloaded(t) for t in tables("master", "Primary") if t.name in current}
-    names: dict[str, DataFrame] = {}
-
+    @cache
     def names_of(master: str) -> DataFrame:
-        if master not in names:
-            names[master] = (masters[master].select("guid", "name") if repair_names
-                             else renamed(current[master], masters[master]))
-        return names[master]
-
-    def result(table: Table) -> DataFrame:
-        df = masters.get(table.name)
-        df = reloaded(table) if df is None else df
-        if changed.master:
-            for link in LINKS:
-                carried = link.renames or (party_names and link.column == "party_name")
-                if link.table == table.name and carried and link.master in removed:
-                    df = with_names(df, link.column, names_of(link.master))
-        if table.name == "trn_voucher" and changed.transaction and numbers is not None:
+        if repair_names:
+            return reloaded(master).select("guid", "name")
+        return stage(f"renamed-{master}", renamed(current[master], reloaded(master)))
+
+    def result(name: str) -> DataFrame:
+        df = reloaded(name)
+        for link in LINKS if changed.master else []:
+            carried = link.renames or (party_names and link.column == "party_name")
+            if link.table == name and carried and link.master in primary:
+                df = with_names(df, link.column, names_of(link.master), current[name])
+        if name == "trn_voucher" and changed.transaction and numbers is not None:
             df = renumbered(df, numbers)
         return df
 
-    def lazily(table: Table):
-        return lambda: result(table)
+    def lazily(name: str):
+        return lambda: result(name)
+
+    return Books(current.spark, {n: lazily(n) for n in current if n in TABLES})
+
+
+def touched(current: Books, delta: Books, changed: Gate) -> set[str]:
+    """Tables a run may alter: those of a changed half and those naming a changed master."""
+    halves = {h for h, on in (("master", changed.master), ("transaction", changed.transaction)) if on}
+    names = {t.name for t in TABLES.values() if t.half in halves}
+    if changed.master:
+        names |= {link.table for link in LINKS}
+    return {n for n in names if n in current}
 
-    return Books(current.spark, {n: lazily(TABLES[n]) for n in current if n in TABLES})
+
+def run(store: Store, source: Mapping[str, DataFrame], delta: Books, source_state: Mapping[str, int],
+        numbers: DataFrame | None = None, **options) -> dict[str, int]:
+    """One incremental run against the stored tables; rows per table written.
+
+    Nothing is written when the source's change numbers are those of the last run. Keys shared
+    by many tables are stored in scratch space first. The new change numbers become visible
+    together with the tables, so a run that fails is simply repeated.
+    """
+    names = {"master": STATE_MASTER, "transaction": STATE_TRANSACTION}
+    state = store.state()
+    changed = gate({half: int(state.get(name, 0)) for half, name in names.items()}, source_state)
+    if not changed.any:
+        return {}
+    if changed.restored:
+        raise ValueError("the source was restored to an older state: reload it in full")
+    folder = scratch(store.spark, "sync")
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return store.spark.read.parquet(f"{folder}/{name}")
+
+    current = store.books()
+    after = synced(current, source, delta, numbers, changed, stage=stage, **options)
+    return store.commit({n: after[n] for n in sorted(touched(current, delta, changed))},
+                        {name: str(source_state[half]) for half, name in names.items()})

@@ -52,7 +52,7 @@ def apply_changes(store: Store, changes: DataFrame, batch: int,
             if table.nature == "Primary":
                 rows = flatten(kept, table, masters={})
             result[table.name] = (
-                appended(without(current[table.name], removed), rows.select(current[table.name].columns))
+                appended(without(current[table.name], removed, keys_from=current[table.name]), rows.select(current[table.name].columns))
                 if table.name in current else rows)
         return store.commit(result, {STATE_TRANSACTION: str(top)}, batch)
     finally:
