@@ -81,8 +81,8 @@ def with_master_guids(df: DataFrame, table: Table, masters: Mapping[str, DataFra
             df = df.withColumn(link.key, F.lit(""))
             continue
         names = masters[link.master].select(F.col("name").alias(column), F.col("guid").alias(link.key))
-        df = lookup(df, names, column, "left", measure=True, keys_from=flat.select(column)).withColumn(
-            link.key, F.coalesce(link.key, F.lit("")))
+        df = lookup(df, names, column, "left", measure=True, keys_from=flat.select(column))
+        df = df.withColumn(link.key, F.coalesce(link.key, F.lit("")))
     return df
 
 

@@ -51,9 +51,10 @@ def apply_changes(store: Store, changes: DataFrame, batch: int,
             rows = flatten(kept, table)
             if table.nature == "Primary":
                 rows = flatten(kept, table, masters={})
-            result[table.name] = (
-                appended(without(current[table.name], removed, keys_from=current[table.name]), rows.select(current[table.name].columns))
-                if table.name in current else rows)
+            if table.name in current:
+                stored = current[table.name]
+                rows = appended(without(stored, removed, keys_from=stored), rows.select(stored.columns))
+            result[table.name] = rows
         return store.commit(result, {STATE_TRANSACTION: str(top)}, batch)
     finally:
         pending.unpersist()
@@ -70,6 +71,6 @@ def run(spark: SparkSession, landing: str, schema: T.StructType, store: Store, c
     writer = (
         changes.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, batch: apply_changes(store, df, batch, voucher_types) and None))
-    writer = (writer.trigger(processingTime=f"{every_minutes} minutes") if every_minutes > 0
+    writer = (writer.trigger(processingTime=f"{round(every_minutes * 60)} seconds") if every_minutes > 0
               else writer.trigger(availableNow=True))
     return writer.start()
