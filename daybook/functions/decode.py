@@ -54,7 +54,7 @@ def currency_symbol(raw: Column) -> Column:
 
 def minus_marker(raw: Column) -> Column:
     """``"(-)5"`` -> ``"-5"``."""
-    return F.regexp_replace(raw, r"\(-\)\s*", "-")
+    return F.when(raw.contains("(-)"), F.regexp_replace(raw, r"\(-\)\s*", "-")).otherwise(raw)
 
 
 def date_value(raw: Column) -> Column:
@@ -97,9 +97,10 @@ def character_references(raw: Column) -> Column:
 
 def text(raw: Column) -> Column:
     """Resolve character references and entities, drop tabs."""
-    out = F.when(raw.contains("&#"), character_references(raw)).otherwise(raw)
+    resolved = F.when(raw.contains("&#"), character_references(raw)).otherwise(raw)
     for entity, char in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
+        resolved = F.replace(resolved, F.lit(entity), F.lit(char))
+    out = F.when(raw.contains("&"), resolved).otherwise(raw)
     return F.replace(out, F.lit("\t"), F.lit(""))
 
 

@@ -129,11 +129,11 @@ class Testbed:
 
     def accounting(self) -> DataFrame:
         first, second, signed = self.entry_pair(F.col("amt"))
-        entries = F.array(
-            F.struct(first.alias("ledger"), signed.alias("amount")),
-            F.struct(second.alias("ledger"), (-signed).alias("amount")),
-        )
-        rows = self.orders().select("guid", F.inline(entries))
+        is_first = F.col("side") == 0
+        rows = (
+            self.orders().select("guid", "m", "party", "amt", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"))
+            .select("guid", F.when(is_first, first).otherwise(second).alias("ledger"),
+                    F.when(is_first, signed).otherwise(-signed).alias("amount")))
         return conform(rows, "trn_accounting")
 
     def bills(self) -> DataFrame:
@@ -155,20 +155,18 @@ class Testbed:
         b, m = F.floor(k / 10), (k % 10).cast("int")
         tracked = (m == 8) & (F.col("l_linenumber") % 3 == 0)
         quantity = F.when(m.isin(2, 3), F.col("l_quantity")).otherwise(-F.col("l_quantity"))
-        line = F.struct(
-            F.concat(F.lit("V"), k.cast("string")).alias("guid"),
-            _money(quantity, "decimal(15,4)").alias("quantity"))
-        copy = F.struct(
-            F.concat(F.lit("V"), (b * 10 + 1).cast("string")).alias("guid"),
-            _money(quantity * F.when(b % 3 == 0, 1).otherwise(2), "decimal(15,4)").alias("quantity"))
         copied = tracked & (b % 3 < 2)
-        return self.source("lineitem").select(
+        copy = F.col("copy") == 1
+        times = F.when(copy & (b % 3 == 1), 2).otherwise(1)
+        exploded = self.source("lineitem").select("*", F.explode(
+            F.when(copied, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+        return exploded.select(
+            F.concat(F.lit("V"), F.when(copy, b * 10 + 1).otherwise(k).cast("string")).alias("guid"),
             F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("item"),
+            _money(quantity * times, "decimal(15,4)").alias("quantity"),
             _money("l_extendedprice").alias("amount"),
             F.when(tracked, F.concat(F.lit("T"), b.cast("string"))).otherwise("").alias("tracking_number"),
-            F.lit("Main").alias("godown"),
-            F.inline(F.when(copied, F.array(line, copy)).otherwise(F.array(line))),
-        )
+            F.lit("Main").alias("godown"))
 
     def inventory(self) -> DataFrame:
         return conform(self.lines(), "trn_inventory")

@@ -15,10 +15,6 @@ def _struct(**fields: Column | str) -> Column:
     return F.struct(*[(F.lit(v) if isinstance(v, str) else v).alias(k) for k, v in fields.items()])
 
 
-def _when(condition: Column, entries: Column) -> Column:
-    return F.when(condition, entries).otherwise(F.slice(entries, 1, 0))
-
-
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -47,15 +43,15 @@ def voucher_documents(spark: SparkSession, folder: str) -> DataFrame:
         return _struct(
             ledgername=ledger, amount=amount_text(value), isdeemedpositive=_yes(value < 0),
             billallocations=bills,
-            bankallocations=_when(
+            bankallocations=F.when(
                 ledger.isin("Bank", "Cash"),
                 F.array(_struct(
                     transactiontype="Cheque", instrumentdate=F.date_format("date", "yyyyMMdd"),
                     instrumentnumber=_text(F.col("k")), bankname="First Bank", amount=_text(value),
                     bankersdate=F.when(m == 7, "").otherwise(F.date_format("date", "yyyyMMdd"))))),
-            costcentreallocations=_when(revenue, centres(value)),
-            categoryallocations=_when(revenue, categories(value)),
-            inventoryallocations=_when(revenue, F.array(_struct(
+            costcentreallocations=F.when(revenue, centres(value)),
+            categoryallocations=F.when(revenue, categories(value)),
+            inventoryallocations=F.when(revenue, F.array(_struct(
                 stockitemname=F.concat(F.lit("P"), _text(F.col("o_custkey"))),
                 categoryallocations=categories(value)))))
 
@@ -76,20 +72,20 @@ def voucher_documents(spark: SparkSession, folder: str) -> DataFrame:
         _yes(F.lit(False)).alias("isoptional"),
         _text(F.col("k") + 1).alias("alterid"),
         F.array(
-            entry(first, signed, _when(has_bill, bill), F.lit(False)),
-            entry(second, -signed, _when(F.lit(False), bill), second.isin("Sales", "Purchase")),
+            entry(first, signed, F.when(has_bill, bill), F.lit(False)),
+            entry(second, -signed, F.when(F.lit(False), bill), second.isin("Sales", "Purchase")),
         ).alias("allledgerentries"),
-        _when(m == 3, F.array(_struct(
+        F.when(m == 3, F.array(_struct(
             ledgername="Freight", amount=_text(-F.col("k") % 1000), addlalloctype="By Quantity",
             rateofinvoicetax=F.concat(F.lit(" "), _text(F.col("k") % 28), F.lit(".5"))))
         ).alias("ledgerentries"),
-        _when(m == 6, F.array(_struct(
+        F.when(m == 6, F.array(_struct(
             category=F.col("o_orderstatus"),
             employeeentry=F.array(_struct(
                 employeename=F.col("o_orderpriority"), amount=_text(F.col("amt")),
                 employeesortorder=_text(F.col("k") % 7), payheadallocations=pay))))
         ).alias("categoryentry"),
-        _when(m == 7, F.array(_struct(
+        F.when(m == 7, F.array(_struct(
             name=F.col("o_orderpriority"), attendancetype="Present",
             attdtypetimevalue=F.concat(_text(F.col("k") % 12), F.lit(".25")),
             attdtypevalue=F.concat(_text(F.col("k") % 5), F.lit(" Days"))))
