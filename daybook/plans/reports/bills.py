@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from daybook.operators.calendar import as_date
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
-from daybook.plans.reports.common import posted, entries, money
+from daybook.plans.reports.common import entries, money, posted
 
 
 def _opens() -> Column:

@@ -9,7 +9,7 @@ from daybook.operators.calendar import as_date
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
 from daybook.plans.reports.common import (
-    posted, between, credit, debit, entries, ledger_groups, money, total, voucher_categories,
+    between, credit, debit, entries, ledger_groups, money, posted, total, voucher_categories,
     with_ledgers,
 )
 

@@ -9,7 +9,7 @@ from daybook.operators import calendar
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
 from daybook.plans.reports.common import (
-    posted, between, credit, debit, entries, ledger_groups, money, voucher_categories,
+    between, credit, debit, entries, ledger_groups, money, posted, voucher_categories,
     with_ledgers,
 )
 
