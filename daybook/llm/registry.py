@@ -2,19 +2,61 @@
 
 from __future__ import annotations
 
-from daybook.llm import content_sort
+from daybook.llm import content_sort, packing, positional_index
 from daybook.llm.tables import table
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """The file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op6_content_sort(spark, folder):
     return content_sort.copies(table(spark, folder, "documents"))
 
 
+def op7_positional_index(spark, folder):
+    return positional_index.digest(positional_index.matches(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
+def op10_min_bin_slack(spark, folder):
+    return packing.pieces(table(spark, folder, "documents"), vocabulary())
+
+
 QUERIES = {
+    "op10_min_bin_slack": op10_min_bin_slack,
+    "op7_positional_index": op7_positional_index,
     "op6_content_sort": op6_content_sort,
 }
 
 ORACLE = {
+    "op7_positional_index": r"""
+        with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+        b as (select item_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+        bw as (select distinct item_id, least(10, len(w)) as n,
+                      array_to_string(w[i:i + least(10, len(w)) - 1], ' ') as win
+               from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i
+                     from b where len(w) > 0)),
+        sizes as (select distinct n from bw),
+        dw as (select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as win
+               from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+                     from d, sizes where len(w) >= n)),
+        m as (select doc_id, i, dw.n, item_id from dw join bw on dw.n = bw.n and dw.win = bw.win),
+        hit as (select doc_id, count(distinct p) as n_hit
+                from (select doc_id, unnest(range(i, i + n)) as p from m) group by doc_id),
+        items as (select doc_id, count(distinct item_id) as n_items,
+                         string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids
+                  from m group by doc_id)
+        select d.doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hit using (doc_id) left join items using (doc_id)""",
     "op6_content_sort": r"""
         with n as (select doc_id, length(coalesce(text, '')) as points,
                           regexp_replace(coalesce(text, ''), '[ \t-\r]+', '', 'g') as content

@@ -90,12 +90,18 @@ def _powers(n: int) -> np.ndarray:
 
 
 def words(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray,
-          lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and document index of every maximal run of bytes not in ``outside``."""
+          lower: bool = True, breaks: np.ndarray | None = None
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document index of every maximal run of bytes not in ``outside``.
+
+    A run also ends before each byte that ``breaks`` marks.
+    """
     low = LOWER[data] if lower else data
     inside = ~outside[low]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True  # a document's first byte starts a word anew
+    if breaks is not None:
+        first[:-1] |= breaks
     before = np.concatenate(([False], inside[:-1])) if len(inside) else inside
     starts = np.flatnonzero(inside & (~before | first[:-1]))
     after = np.concatenate((inside[1:], [False])) if len(inside) else inside
