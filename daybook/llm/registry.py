@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import content_sort, packing, positional_index
+from daybook.llm import byte_convnet, content_sort, packing, positional_index, string_kernel
 from daybook.llm.tables import table
 
 
@@ -26,7 +26,19 @@ def op10_min_bin_slack(spark, folder):
     return packing.pieces(table(spark, folder, "documents"), vocabulary())
 
 
+def op4_byte_convnet(spark, folder):
+    docs = table(spark, folder, "documents")
+    return byte_convnet.scores(docs, byte_convnet.fit(docs, table(spark, folder, "labels")))
+
+
+def op9_string_kernel(spark, folder):
+    docs = table(spark, folder, "documents")
+    return string_kernel.predict(docs, string_kernel.fit(docs))
+
+
 QUERIES = {
+    "op4_byte_convnet": op4_byte_convnet,
+    "op9_string_kernel": op9_string_kernel,
     "op10_min_bin_slack": op10_min_bin_slack,
     "op7_positional_index": op7_positional_index,
     "op6_content_sort": op6_content_sort,
