@@ -8,17 +8,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import content_sort
+from daybook.llm import byte_convnet, content_sort, ngram_join, packing, positional_index
+from daybook.llm.registry import vocabulary
 from daybook.llm.tables import stored, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return byte_convnet.keep_good(docs, table(spark, folder, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return content_sort.keep_first(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return ngram_join.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    return positional_index.keep_clean(docs, table(spark, folder, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The pieces of the training sequences."""
+    return packing.pieces(docs, vocabulary())
+
+
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
 ]
 
 
@@ -29,5 +54,5 @@ def run(spark: SparkSession, folder: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, folder)
 
 
-#: Stages 1, 3 and 5 cannot be stated in SQL.
+#: The classifier, the components and the packing cannot be stated in SQL; see tests/llm.
 ORACLE_SQL = None

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textblocks as tb
-from daybook.llm.tables import stored
+from daybook.llm.tables import small, stored
 
 BLOCK_BYTES = 4 << 20
 #: Benchmark words that are sent to the executors at once; a larger benchmark goes in several parts.
@@ -190,10 +190,9 @@ def _block(row, parts: list[Windows], gap: int, slack: int) -> pd.DataFrame:
         for d, k in np.unique(np.stack([owner, label], 1), axis=0).tolist():
             if names[k] is not None:
                 items[d].append(names[k])
-    return pd.DataFrame({"doc_id": pd.array(np.where(nulls, 0, ids), "Int64").copy(), "n_words": lengths,
+    return pd.DataFrame({"doc_id": pd.Series(ids, dtype="Int64").mask(nulls), "n_words": lengths,
                          "spans": [[{"first": a, "last": b} for a, b in s] for s in spans],
-                         "items": [sorted(set(x)) for x in items]}).assign(
-        doc_id=lambda f: f["doc_id"].mask(nulls))
+                         "items": [sorted(set(x)) for x in items]})
 
 
 _MATCHES = "doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<string>"
@@ -206,7 +205,7 @@ def matches(docs: DataFrame, bench: DataFrame, size: int = 10, slack: int = 0) -
     windows of ``size`` words; ``items`` the sorted ids of the items they come from. An item of
     fewer words is one window; items without words and null texts match nothing. Items without an
     id give spans and no entry in ``items``. With ``slack`` above 0 a window also matches where its
-    words stand in order with at most so many other words between two of them. A/B copies of a row
+    words stand in order with at most so many other words between two of them. Copies of a row
     are judged each for itself.
     """
     gap = slack + 1
@@ -248,3 +247,9 @@ def digest(found: DataFrame) -> DataFrame:
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
                         (F.size("spans") > 0).alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, bench: DataFrame, size: int = 10) -> DataFrame:
+    """``docs`` without those in which a benchmark window occurs."""
+    hit = stored(matches(docs, bench, size).where(F.size("spans") > 0).select("doc_id"), "dropped")
+    return docs.join(small(hit), "doc_id", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daybook.llm import byte_convnet, content_sort, packing, positional_index, string_kernel
+from daybook.llm import byte_convnet, content_sort, ngram_join, packing, positional_index, string_kernel
 from daybook.llm.tables import table
 
 
@@ -36,7 +36,12 @@ def op9_string_kernel(spark, folder):
     return string_kernel.predict(docs, string_kernel.fit(docs))
 
 
+def op5_signature_tree(spark, folder):
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op5_signature_tree": op5_signature_tree,
     "op4_byte_convnet": op4_byte_convnet,
     "op9_string_kernel": op9_string_kernel,
     "op10_min_bin_slack": op10_min_bin_slack,
