@@ -25,7 +25,9 @@ HIDDEN = 16
 #: Labelled documents of either class, and chunks of each of them, that the filters learn from.
 SAMPLE_DOCS = 1500
 SAMPLE_CHUNKS = 6
+#: Passes over the sample; small samples are passed until so many steps are done.
 EPOCHS = 6
+STEPS = 300
 SLICE_BYTES = 512 << 10
 _SCORES = "doc_id long, held_out boolean, score double"
 _SAMPLE = "key long, quality int, n int, chunks binary"
@@ -60,11 +62,14 @@ def train(chunks: np.ndarray, lengths: np.ndarray, doc: np.ndarray, label: np.nd
     net, r = Network(), np.random.default_rng(11)
     state = [(np.zeros_like(p), np.zeros_like(p)) for p in net.parameters()]
     first, steps = np.searchsorted(doc, np.arange(len(label) + 1)), 0
-    for _ in range(epochs):
-        for docs in np.array_split(r.permutation(len(label)), max(1, len(label) // batch)):
+    share = np.where(label == 1, label.mean(), 1 - label.mean())
+    weight = (0.5 / share).astype(np.float32)  # both classes count alike
+    parts = max(1, len(label) // batch)
+    for _ in range(max(epochs, -(-STEPS // parts))):
+        for docs in np.array_split(r.permutation(len(label)), parts):
             n = first[docs + 1] - first[docs]
             rows, at = tb.ranges(first[docs], n), np.cumsum(n) - n
-            grads = _gradients(net, chunks[rows], lengths[rows], at, n, label[docs])
+            grads = _gradients(net, chunks[rows], lengths[rows], at, n, label[docs], weight[docs])
             steps += 1
             for p, g, (m, v) in zip(net.parameters(), grads, state):
                 m += 0.1 * (g - m)
@@ -73,7 +78,7 @@ def train(chunks: np.ndarray, lengths: np.ndarray, doc: np.ndarray, label: np.nd
     return net
 
 
-def _gradients(net: Network, x, lengths, at, n, label) -> list[np.ndarray]:
+def _gradients(net: Network, x, lengths, at, n, label, weight) -> list[np.ndarray]:
     span = x.shape[1] - WIDTH + 1
     response = net.filters[0][x[:, :span]]
     for k in range(1, WIDTH):
@@ -84,7 +89,7 @@ def _gradients(net: Network, x, lengths, at, n, label) -> list[np.ndarray]:
     mean, most = np.add.reduceat(pooled, at) / n[:, None], np.maximum.reduceat(pooled, at)
     features = np.concatenate([mean, most], 1)
     h, logit = net.head(features)
-    d_logit = ((1 / (1 + np.exp(-np.clip(logit, -40, 40))) - label) / len(label)).astype(np.float32)
+    d_logit = ((1 / (1 + np.exp(-np.clip(logit, -40, 40))) - label) * weight / len(label)).astype(np.float32)
     d_h = d_logit[:, None] * net.out * (h > 0)
     d_features = d_h @ net.hidden.T
     owner = np.repeat(np.arange(len(n)), n)
@@ -186,7 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
     x = np.frombuffer(b"".join(bytes(r.chunks) for r in rows), np.uint8).reshape(len(rows), -1)
     label = np.array([r.quality for r in rows], np.float32)[fresh]
     net = train(x, np.array([r.n for r in rows]), np.cumsum(fresh) - 1, label)
-    net.shift = float(np.log(share[1] / share[0]) - np.log(label.sum() / (len(label) - label.sum())))
+    net.shift = float(np.log(share[1] / share[0]))
     return net
 
 
