@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from daybook.llm import byte_convnet, content_sort, ngram_join, packing, positional_index, string_kernel
+from pyspark.sql import functions as F
+
+from daybook.llm import (byte_convnet, content_sort, ngram_join, packing, page_text, positional_index,
+                         string_kernel, url_reputation)
 from daybook.llm.tables import table
 
 
@@ -40,7 +43,29 @@ def op5_signature_tree(spark, folder):
     return ngram_join.join(table(spark, folder, "documents"))
 
 
+def _shown():
+    """The document that a page shows: the number its path ends with."""
+    _, path = url_reputation.split(F.col("url"))
+    return F.regexp_extract(path, r"/([0-9]+)(?:\.[a-z]+|/)?$", 1).try_cast("long")
+
+
+def op3_url_reputation(spark, folder):
+    pages = table(spark, folder, "pages")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("shown"), F.col("quality").alias("good"))
+    outcomes = pages.select("page_id", _shown().alias("shown")).join(labels, "shown").select("page_id", "good")
+    return url_reputation.verdicts(pages, outcomes)
+
+
+def op8_scored_regions(spark, folder):
+    pages = table(spark, folder, "pages")
+    known = (pages.select("page_id", _shown().alias("doc_id"))
+             .join(table(spark, folder, "documents").select("doc_id", "text"), "doc_id").select("page_id", "text"))
+    return page_text.texts(pages, page_text.fit(pages, known))
+
+
 QUERIES = {
+    "op3_url_reputation": op3_url_reputation,
+    "op8_scored_regions": op8_scored_regions,
     "op5_signature_tree": op5_signature_tree,
     "op4_byte_convnet": op4_byte_convnet,
     "op9_string_kernel": op9_string_kernel,
@@ -50,6 +75,52 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_url_reputation": r"""
+        with a as (select page_id, case when strpos(url, '://') > 0
+                          then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+        h as (select page_id, regexp_extract(coalesce(rest, ''), '^[^/?#]*') as raw, coalesce(rest, '') as rest from a),
+        u as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                     regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from h),
+        o as (select u.page_id, host, min(quality) as good from u join labels l
+              on l.doc_id = try_cast(nullif(regexp_extract(path, '/([0-9]+)(?:\.[a-z]+|/)?$', 1), '') as bigint)
+              where quality is not null group by u.page_id, host),
+        parts as (select distinct host, coalesce(regexp_extract(host, '[^.]*\.[^.]*$'), '') as two,
+                         regexp_extract(host, '[^.]*$') as suffix from u),
+        names as (select host, suffix, case when two = '' then host else two end as domain from parts),
+        hs as (select host, domain, suffix, count(*)::double as n, sum(good)::double as g
+               from o join names using (host) group by all),
+        ds as (select suffix, domain, sum(n) as n, sum(g) as g from hs group by all),
+        ss as (select suffix, sum(n) as n, sum(g) as g from ds group by all),
+        units as (select 'host' as lvl, n, g from hs union all select 'domain', n, g from ds
+                  union all select 'suffix', n, g from ss),
+        sums as (select lvl, count(*)::double as k, sum(n) as t, sum(g) as g, sum(n * n) as nn, sum(g * g / n) as gg
+                 from units group by lvl),
+        anova as (select lvl, k, t, (gg - g * g / t) / nullif(k - 1, 0) as b, (g - gg) / nullif(t - k, 0) as w,
+                         (t - nn / t) / nullif(k - 1, 0) as n0 from sums),
+        strengths as (select lvl, case when k > 1 and t > k and b + (n0 - 1) * w > 0 then
+                          case when (b - w) / (b + (n0 - 1) * w) <= 0.001 then 999.0::double
+                               else greatest(1 / ((b - w) / (b + (n0 - 1) * w)) - 1, 1.0::double) end
+                      else 10.0::double end as s from anova),
+        k as (select coalesce(max(s) filter (lvl = 'host'), 10.0) as kh, coalesce(max(s) filter (lvl = 'domain'), 10.0) as kd,
+                     coalesce(max(s) filter (lvl = 'suffix'), 10.0) as ks from strengths),
+        total as (select (coalesce(sum(g), 0) + 1) / (coalesce(sum(n), 0) + 2) as p from ss),
+        level as (select names.host, coalesce(hs.n, 0) as n, coalesce(hs.g, 0) as g, kh,
+                         (coalesce(ds.g, 0) + kd * ((coalesce(ss.g, 0) + ks * p) / (coalesce(ss.n, 0) + ks)))
+                         / (coalesce(ds.n, 0) + kd) as p
+                  from names left join hs on hs.host = names.host
+                  left join ds on ds.domain = names.domain and ds.suffix = names.suffix
+                  left join ss on ss.suffix = names.suffix, k, total),
+        rated as (select host, (g + kh * p) / (n + kh) as rate, n + kh as size from level),
+        rules(verdict, rhost, rpath) as (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+            ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+        ruled as (select page_id, arg_max(rhost || rpath, length(rhost || rpath)) as rule,
+                         arg_max(verdict, length(rhost || rpath)) as verdict
+                  from u join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+                  group by page_id)
+        select u.page_id, u.host, path, rule, coalesce(ruled.verdict,
+               case when rate + 1.64 * sqrt(rate * (1 - rate) / (size + 1)) < 0.7 then 'block' else 'allow' end) as verdict,
+               round(rate, 6) as good_rate
+        from u left join ruled using (page_id) join rated on rated.host = u.host""",
     "op7_positional_index": r"""
         with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''),
                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
