@@ -24,12 +24,11 @@ from pyspark.sql import functions as F
 from daybook.llm import signature_tree as st
 from daybook.llm import textblocks as tb
 from daybook.llm.components import components
+from daybook.llm.dealing import DEALT, dealer_of, flat, frequencies, numbers, packed
 from daybook.llm.tables import small, stored
 
 SLICE_BYTES = 1 << 20
-#: Shingles that a task deals out at once.
-DEAL = 4_000_000
-#: Frequencies from here on count as equal, which bounds what one task sends for a shingle.
+#: Frequencies from here on count as equal.
 FREQUENT = 256
 #: Shingles of a group that one task joins; larger clusters are cut into blocks.
 GROUP_TOKENS = 2_000_000
@@ -66,20 +65,6 @@ def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     return value[fresh], np.bincount(owner[fresh], minlength=len(n))
 
 
-def _cut(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """Runs of 64-bit numbers as binary values."""
-    ends = np.concatenate([[0], np.cumsum(lengths)]) * 8
-    return pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int64)),
-                                          pa.py_buffer(np.ascontiguousarray(values))]).cast(pa.binary())
-
-
-def _numbers(column) -> tuple[np.ndarray, np.ndarray]:
-    """All 64-bit numbers of a binary column and their count in each value."""
-    data, offsets = tb.byte_view(column)
-    return np.frombuffer(data.tobytes(), np.uint64), np.diff(offsets) // 8
-
-
 _PROFILE = "doc_id long, n long, digest binary, cid long, region binary"
 
 
@@ -95,87 +80,14 @@ def _profiler(size: int) -> Callable:
                 keep = np.where(n > 0, n // 4 + 1, 0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(digests, pa.binary()),
-                     pa.array(cid), _cut(value[tb.ranges(ends - n, keep)], keep)],
+                     pa.array(cid), packed(value[tb.ranges(ends - n, keep)], keep)],
                     names=[f.split()[0] for f in _PROFILE.split(", ")])
     return profiler
 
 
-_DEALT = "bucket int, hashes binary, cids binary, df int"
-
-
-def _dealt(bucket: np.ndarray, hashes: np.ndarray, cids: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
-    """Rows of one bucket and one frequency each."""
-    order = np.lexsort((df, bucket))
-    bucket, df = bucket[order], df[order]
-    cut = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (df[1:] != df[:-1])])) if len(df) else np.zeros(0, np.int64)
-    n = np.diff(np.append(cut, len(df)))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket[cut].astype(np.int32)), _cut(hashes[order], n), _cut(cids[order], n),
-         pa.array(df[cut].astype(np.int32))], names=["bucket", "hashes", "cids", "df"])
-
-
-def _dealer(buckets: int) -> Callable:
-    """Deals the regions of a task out by shingle.
-
-    Of a shingle with more than ``FREQUENT`` classes in the task only so many go to its bucket; for
-    the others the frequency is known already, and they go straight on (negative bucket numbers).
-    """
-    def deal(cids: dict[int, np.ndarray]) -> pa.RecordBatch:
-        lengths = np.fromiter(map(len, cids.values()), np.int64, len(cids))
-        hashes = np.concatenate(list(cids.values()))
-        owner = np.repeat(np.fromiter(cids, np.int64, len(cids)).view(np.uint64), lengths)
-        order = np.argsort(hashes, kind="stable")
-        hashes, owner = hashes[order], owner[order]
-        at = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        place = np.arange(len(hashes)) - np.repeat(at, np.diff(np.append(at, len(hashes))))
-        on = place >= FREQUENT
-        bucket = (hashes % tb.U64(buckets)).astype(np.int64)
-        bucket[on] = -1 - (owner[on] % tb.U64(buckets)).astype(np.int64)
-        return _dealt(bucket, hashes, owner, np.where(on, FREQUENT, 0))
-
-    def dealer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = {}, 0
-        for batch in batches:
-            value, n = _numbers(batch.column("region"))
-            for cid, end, k in zip(batch.column("cid").to_pylist(), np.cumsum(n).tolist(), n.tolist()):
-                if k and cid not in held:
-                    held[cid] = value[end - k:end]
-                    total += k
-            if total >= DEAL:
-                yield deal(held)
-                held, total = {}, 0
-        if held:
-            yield deal(held)
-    return dealer
-
-
-def _flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    hashes, n = _numbers(table["hashes"])
-    return hashes, _numbers(table["cids"])[0], np.repeat(table["df"].to_numpy(), n)
-
-
-def _frequencies(buckets: int) -> Callable:
-    def frequencies(table: pa.Table) -> pa.Table:
-        if table["bucket"][0].as_py() < 0:  # known already
-            return table
-        hashes, cids, _ = _flat(table)
-        order = np.lexsort((cids, hashes))
-        hashes, cids = hashes[order], cids[order]
-        fresh = np.ones(len(hashes), bool)
-        fresh[1:] = (hashes[1:] != hashes[:-1]) | (cids[1:] != cids[:-1])
-        hashes, cids = hashes[fresh], cids[fresh]
-        at = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        n = np.diff(np.append(at, len(hashes)))
-        df = np.repeat(np.minimum(n, FREQUENT), n)
-        shared = df > 1
-        return pa.Table.from_batches([_dealt(-1 - (cids[shared] % tb.U64(buckets)).astype(np.int64),
-                                             hashes[shared], cids[shared], df[shared])])
-    return frequencies
-
-
 def _candidates(shared: pa.Table, classes: pa.Table) -> pa.Table:
     """The rarest shared shingles of classes that share enough of their regions."""
-    hashes, cids, df = _flat(shared)
+    hashes, cids, df = flat(shared)
     order = np.lexsort((hashes, df, cids))
     hashes, cids = hashes[order], cids[order]
     # a shingle that was sent twice stands twice in one class with one frequency
@@ -204,14 +116,14 @@ def _setter(size: int) -> Callable:
             for part in tb.slices(batch, "text", SLICE_BYTES):
                 value, n = shingles(*tb.byte_view(part.column("text")), size)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("cluster"), part.column("doc_id"), pa.array(n.astype(np.int64)), _cut(value, n)],
+                    [part.column("cluster"), part.column("doc_id"), pa.array(n.astype(np.int64)), packed(value, n)],
                     names=["cluster", "doc_id", "n", "tokens"])
     return setter
 
 
 def _tree_links(table: pa.Table) -> pa.Table:
     """Links (a, b) that join what the trees find to be one component."""
-    tokens, n = _numbers(table["tokens"])
+    tokens, n = numbers(table["tokens"])
     ids = table["doc_id"].to_numpy()
     known = table["comp"].to_numpy() if "comp" in table.column_names else None
     label = st.links(tokens, n, known)
@@ -290,8 +202,8 @@ def join(docs: DataFrame, size: int = 5, tokens: int = GROUP_TOKENS) -> DataFram
     profile = stored(slim.mapInArrow(_profiler(size), _PROFILE), "profiles")
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    dealt = profile.where("n > 0").select("cid", "region").mapInArrow(_dealer(buckets), _DEALT)
-    shared = dealt.groupBy("bucket").applyInArrow(_frequencies(buckets), _DEALT)
+    regions = profile.where("n > 0").select("cid", "region").mapInArrow(dealer_of(buckets, FREQUENT), DEALT)
+    shared = regions.groupBy("bucket").applyInArrow(frequencies(buckets, FREQUENT), DEALT)
     modulus = F.pmod(F.col("cid").cast("decimal(20,0)") + F.when(F.col("cid") < 0, F.lit("18446744073709551616").cast("decimal(20,0)"))
                      .otherwise(0), F.lit(buckets)).cast("int")
     classes = profile.where("n > 0").select("cid", "n").distinct().withColumn("bucket", -1 - modulus)
