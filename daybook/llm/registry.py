@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daybook.llm import (byte_convnet, content_sort, ngram_join, packing, page_text, positional_index,
-                         string_kernel, url_reputation)
+                         repeats, string_kernel, url_reputation)
 from daybook.llm.tables import table
 
 
@@ -43,6 +43,10 @@ def op5_signature_tree(spark, folder):
     return ngram_join.join(table(spark, folder, "documents"))
 
 
+def op2_suffix_array(spark, folder):
+    return repeats.remove(table(spark, folder, "documents"))
+
+
 def _shown():
     """The document that a page shows: the number its path ends with."""
     _, path = url_reputation.split(F.col("url"))
@@ -64,6 +68,7 @@ def op8_scored_regions(spark, folder):
 
 
 QUERIES = {
+    "op2_suffix_array": op2_suffix_array,
     "op3_url_reputation": op3_url_reputation,
     "op8_scored_regions": op8_scored_regions,
     "op5_signature_tree": op5_signature_tree,
