@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.llm import (byte_convnet, content_sort, ngram_join, packing, page_text, positional_index,
+from daybook.llm import (byte_convnet, content_sort, licences, ngram_join, packing, page_text, positional_index,
                          repeats, string_kernel, url_reputation)
 from daybook.llm.tables import table
 
@@ -43,6 +43,16 @@ def op5_signature_tree(spark, folder):
     return ngram_join.join(table(spark, folder, "documents"))
 
 
+def op1_licences(spark, folder):
+    """Documents as files: the source is the top directory, the leading digits of the id those below."""
+    name = F.col("doc_id").cast("string")
+    digits = F.split(F.substring(name, F.lit(1), F.greatest(F.length(name) - 2, F.lit(0))), "")
+    path = F.concat(F.lit("/"), "source", F.concat_ws("", F.transform(
+        F.filter(digits, lambda d: d != ""), lambda d: F.concat(F.lit("/"), d))), F.lit("/"), name)
+    docs = table(spark, folder, "documents")
+    return licences.scan(docs.select("doc_id", F.coalesce(path, F.lit("")).alias("path"), "text"))
+
+
 def op2_suffix_array(spark, folder):
     return repeats.remove(table(spark, folder, "documents"))
 
@@ -68,6 +78,7 @@ def op8_scored_regions(spark, folder):
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_suffix_array": op2_suffix_array,
     "op3_url_reputation": op3_url_reputation,
     "op8_scored_regions": op8_scored_regions,
@@ -80,6 +91,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_licences": licences.oracle(),
     "op3_url_reputation": r"""
         with a as (select page_id, case when strpos(url, '://') > 0
                           then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
