@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.llm import byte_convnet, content_sort, ngram_join, packing, positional_index
 from daybook.llm.registry import vocabulary
-from daybook.llm.tables import stored, table
+from daybook.llm.tables import bounded, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -20,11 +20,13 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of equal texts stays."""
+    bounded(spark)
     return content_sort.keep_first(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    bounded(spark)
     return ngram_join.keep_first(docs)
 
 
@@ -35,6 +37,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The pieces of the training sequences."""
+    bounded(spark)
     return packing.pieces(docs, vocabulary())
 
 

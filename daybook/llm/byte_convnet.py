@@ -28,7 +28,7 @@ SAMPLE_CHUNKS = 6
 #: Passes over the sample; small samples are passed until so many steps are done.
 EPOCHS = 6
 STEPS = 300
-SLICE_BYTES = 512 << 10
+SLICE_BYTES = 256 << 10
 _SCORES = "doc_id long, held_out boolean, score double"
 _SAMPLE = "key long, quality int, n int, chunks binary"
 

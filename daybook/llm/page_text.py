@@ -14,7 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,26 +152,29 @@ def fit(pages: DataFrame, known: DataFrame) -> dict[str, float]:
     rows = (pages.join(F.broadcast(picked), "page_id").select("page_id", "html")
             .join(F.broadcast(known.where("text is not null").join(F.broadcast(picked), "page_id")), "page_id"))
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()
-        for f in frames:
-            for page, text in zip(f["html"], f["text"]):
+        for batch in batches:
+            for page, text in zip(batch.column("html").to_pylist(), batch.column("text").to_pylist()):
                 a, b = _counts(page, text)
                 inside += a
                 outside += b
         names = sorted({*inside, *outside})
-        yield pd.DataFrame({"tag": names, "inside": [inside[n] for n in names], "outside": [outside[n] for n in names]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (inside, outside))],
+            names=["tag", "inside", "outside"])
 
-    found = (rows.select("html", "text").mapInPandas(count, "tag string, inside long, outside long")
+    found = (rows.select("html", "text").mapInArrow(count, "tag string, inside long, outside long")
              .groupBy("tag").agg(F.sum("inside"), F.sum("outside")).collect())
     return weights(Counter({r[0]: r[1] for r in found}), Counter({r[0]: r[2] for r in found}))
 
 
 def _extractor(weight: dict[str, float]) -> Callable:
-    def extractor(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"],
-                                "text": [extract(p, weight) for p in f["html"]]})
+    def extractor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = [extract(p, weight) for p in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())],
+                                             names=["page_id", "url", "text"])
     return extractor
 
 
@@ -183,5 +186,5 @@ def texts(pages: DataFrame, weight: dict[str, float]) -> DataFrame:
     rows and rows without id are read each for itself; other columns are not looked at.
     """
     slim = pages.select("page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
-    found = slim.mapInPandas(_extractor(weight), "page_id long, url string, text string")
+    found = slim.mapInArrow(_extractor(weight), "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

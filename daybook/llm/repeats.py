@@ -33,8 +33,8 @@ GRAM = 50
 #: Texts with one anchor from which on the anchor is dealt out by longer strings.
 FREQUENT = 4096
 PIECES = 4
-BLOCK_BYTES = 2 << 20
-PACK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
+PACK_BYTES = 4 << 20
 #: Bytes of text of one suffix array.
 SORT_BYTES = 1 << 20
 LAST_ID = (1 << 63) - 1  # stands for a missing id: after all others

@@ -11,8 +11,19 @@ from daybook.session import scratch
 BROADCAST_ROWS = 200_000
 
 
+#: Rows and bytes of text that pass between Spark and Python at once; documents can be long.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with batches for Python that stay small where documents are long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
