@@ -29,6 +29,8 @@ def _decoding(spark, folder):
         F.when(k % 2 == 0, "Yes").otherwise("No").alias("flag"), amt.alias("amount"),
         F.concat(amt, F.lit(" Nos")).alias("qty"), F.concat(amt, F.lit("/Kg")).alias("rate"),
         F.concat(F.lit("$ 1 @ 70/$ = Rs "), amt).alias("forex"),
+        F.concat(F.lit("$ 1/M2 = Rs "), amt, F.lit("/M2")).alias("forex_rate"),
+        F.concat(F.lit("$ 1/12 Nos = Rs "), amt, F.lit("/12 Nos")).alias("dozen_rate"),
         F.concat(F.lit("(-)"), amt).alias("marked"),
         F.concat(k.cast("string"), F.when(k % 3 == 0, " days").otherwise(" Days")).alias("due"),
         F.concat(F.lit("A&amp;B &#65;&lt;\t"), "o_orderpriority").alias("note"))
@@ -38,6 +40,8 @@ def _decoding(spark, folder):
         D.decode("amount", F.col("amount")).alias("amount"),
         D.decode("amount", F.col("note")).alias("not_a_number"),
         D.decode("quantity", F.col("qty")).alias("quantity"), D.decode("rate", F.col("rate")).alias("rate"),
+        D.decode("rate", F.col("forex_rate")).alias("forex_rate"),
+        D.decode("rate", F.col("dozen_rate")).alias("dozen_rate"),
         D.decode("amount", F.col("forex")).alias("home_amount"),
         D.decode("amount", F.col("marked")).alias("marked"), D.days(F.col("due")).alias("due_days"),
         D.text(F.col("note")).alias("note"),
@@ -113,11 +117,22 @@ _VOUCHER_TABLES = ["trn_accounting", "trn_bill", "trn_bank", "trn_cost_centre",
                    "trn_cost_category_centre", "trn_cost_inventory_category_centre",
                    "trn_inventory_additional_cost", "trn_employee", "trn_payhead", "trn_attendance"]
 
+def _expressed(spark, folder):
+    """Columns by SQL over the fields of an entry and of the voucher around it."""
+    spec = I.FieldSpec
+    return I.flatten_paths({"voucher": docs.voucher_documents(spark, folder)}, ["voucher.allledgerentries"], [
+        spec("guid", "string", "guid"), spec("ledger", "string", "ledgername"),
+        spec("label", "string", "", expression="concat(upper(ledgername), ' / ', vouchernumber)"),
+        spec("cents", "decimal", "", expression="try_cast(regexp_extract(amount, '[0-9.]+$', 0) as decimal(17,2)) * 100"),
+        spec("year", "string", "", expression="substr(date, 1, 4)")])
+
+
 QUERIES = {
     "t_decoding": _decoding,
     "e_field_expressions": _field_expressions,
     "n1_trn_voucher": _ingested("trn_voucher"),
     **{f"n1_{t}": _flat(docs.voucher_documents, t) for t in _VOUCHER_TABLES},
+    "x_column_expression": _expressed,
     "n1_trn_inventory": _flat(docs.stock_voucher_documents, "trn_inventory"),
     "n1_trn_batch": _flat(docs.stock_voucher_documents, "trn_batch"),
     "n1_mst_stock_item": _flat(docs.stock_item_documents, "mst_stock_item"),
@@ -168,7 +183,8 @@ ORACLE = {
     "t_decoding": with_books("""
       select k, date as date8, cast(null as date) as date7, date as short_date,
         (k % 2 = 0)::tinyint as flag, amt as amount, cast(0 as decimal(17,2)) as not_a_number,
-        cast(amt as decimal(15,4)) as quantity, cast(amt as decimal(15,4)) as rate, amt as home_amount,
+        cast(amt as decimal(15,4)) as quantity, cast(amt as decimal(15,4)) as rate,
+        cast(amt as decimal(15,4)) as forex_rate, cast(amt as decimal(15,4)) as dozen_rate, amt as home_amount,
         -amt as marked, (case when k % 3 = 0 then 0 else k end)::int as due_days,
         'A&B A<' || o_orderpriority as note,
         cast(case when k % 2 = 0 then -amt else amt end as decimal(17,2)) as signed,
@@ -189,6 +205,10 @@ ORACLE = {
         '' as place_of_supply, (m in (3, 8, 9))::tinyint as is_invoice,
         (m > 1)::tinyint as is_accounting_voucher, (m = 1)::tinyint as is_inventory_voucher,
         (m = 0)::tinyint as is_order_voucher {_LIVE}"""),
+    "x_column_expression": with_books(f"""
+      select guid, ledger, upper(ledger) || ' / ' || k as label, cast(abs(a) * 100 as decimal(15,4)) as cents,
+        strftime(date, '%Y') as year
+      from (select *, {_FIRST} as ledger, {_SIGNED} as a from ord union all select *, {_SECOND}, -({_SIGNED}) from ord)"""),
     "n1_trn_accounting": with_books(_ACCOUNTING),
     "f9_trn_accounting_in_period": with_books(
         f"{_ACCOUNTING} where date between date '1998-04-01' and date '1999-03-31'"),

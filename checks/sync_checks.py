@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from checks.oracle_books import with_books
 from daybook.plans import sync as S
+from daybook.plans.books import Books
+from daybook.plans.ingest import with_master_guids
 from daybook.plans.sinks import STATE_TRANSACTION
+from daybook.schema import TABLES
 from daybook.sources import scan
+from daybook.sources.testbed import Testbed
 from daybook.sources.testbed_changes import two_states
 
 
@@ -53,7 +57,25 @@ def _removed(b, a):
     return S.removed_keys(b.vouchers(), scan.versions(a.vouchers()))
 
 
+def _cost_centre_parents(spark, folder):
+    """Regions as cost centres above nations; one region is renamed."""
+    bed = Testbed(spark, folder)
+    region = bed.source("region").select(F.concat(F.lit("R"), "r_regionkey").alias("guid"), F.col("r_name").alias("name"),
+                                         F.lit("").alias("parent"))
+    nation = bed.source("nation").join(bed.source("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.concat(F.lit("N"), "n_nationkey").alias("guid"), F.col("n_name").alias("name"), F.col("r_name").alias("parent"))
+    before = with_master_guids(region.unionByName(nation).withColumn("alterid", F.lit(1)), TABLES["mst_cost_centre"],
+                               {"mst_cost_centre": region.unionByName(nation)})
+    asia = (F.col("name") == "ASIA")
+    after = before.withColumn("alterid", F.when(asia, 2).otherwise(1)).withColumn(
+        "name", F.when(asia, "ASIA Ltd").otherwise(F.col("name")))
+    books = Books(spark, {"mst_cost_centre": before})
+    return S.synced(books, {"mst_cost_centre": scan.versions(after)}, Books(spark, {"mst_cost_centre": after.where("alterid = 2")}))[
+        "mst_cost_centre"].select("guid", "name", "parent", "_parent")
+
+
 QUERIES = {
+    "c8_cost_centre_parents": _cost_centre_parents,
     "s10_versions": _states(lambda b, a: scan.versions(a.vouchers())),
     "s11_changed_after": _states(lambda b, a: a.delta()["trn_voucher"].select("guid", "alterid")),
     "c1_watermark": _watermark,
@@ -121,7 +143,15 @@ ORACLE = {
     "s11_changed_after": _sql(
         "select guid, k + 1 + n as alterid from chg where not gone and (edited or fresh)"),
     "c1_watermark": _sql("select max(k + 1) as last from chg where not fresh"),
-    "c2_gate": "select true as master_changed, true as transaction_changed, false as restored",
+    "c2_gate": _sql(f"""
+      select (select max(alt + case when name <> new_name then n else 0 end) > max(alt) from ledver) as master_changed,
+        (select max({_AFTER_ALT}) filter (not gone) <> max(k + 1) filter (not fresh) from chg) as transaction_changed,
+        (select max({_AFTER_ALT}) filter (not gone) < max(k + 1) filter (not fresh) from chg) as restored"""),
+    "c8_cost_centre_parents": """
+      select 'R' || r_regionkey as guid, r_name || case when r_name = 'ASIA' then ' Ltd' else '' end as name,
+        '' as parent, '' as _parent from region
+      union all select 'N' || n_nationkey, n_name, r_name || case when r_name = 'ASIA' then ' Ltd' else '' end,
+        'R' || r_regionkey from nation join region on n_regionkey = r_regionkey""",
     "c3_deleted_keys": _sql("select guid from chg where gone and not fresh"),
     "c4_modified_keys": _sql("select guid from chg where edited and not gone and not fresh"),
     "c5_without_removed": _sql(

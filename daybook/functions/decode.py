@@ -128,7 +128,10 @@ def _number_text(kind: str, raw: Column) -> Column:
     if kind in ("quantity", "time"):
         return F.split(F.trim(raw), " ").getItem(0)
     if kind == "rate":
-        return F.split(home_currency(F.trim(raw)), "/").getItem(0)
+        # the unit goes before anything else: it may hold digits, in both currencies
+        home = F.when(raw.contains("="), F.split(raw, "=").getItem(1)).otherwise(raw)
+        per_unit = F.trim(F.split(home, "/").getItem(0))
+        return F.when(raw.contains("="), F.regexp_replace(per_unit, _NOT_NUMERIC, "")).otherwise(per_unit)
     return home_currency(minus_marker(F.trim(raw)))
 
 

@@ -50,17 +50,20 @@ def salted_join(facts: DataFrame, other: DataFrame, key: str, how: str = "inner"
                 keys_from: DataFrame | None = None, share: int = HOT_SHARE) -> DataFrame:
     """``facts.join(other, key, how)`` by shuffle, with the rows of hot keys spread out.
 
-    Rows of a hot key get a salt from their own content, one of as many as there are shuffle
-    partitions; the matching rows of ``other`` are repeated once per salt. All other rows have
-    salt 0. ``how`` is inner, left, left_semi or left_anti. ``keys_from`` is where hot keys
+    Rows of a hot key get a salt from their content and the partition they come from, one of as
+    many as there are shuffle partitions, so that equal rows spread as well; the matching rows of
+    ``other`` are repeated once per salt. Rows without a key match nothing; inner and semi joins
+    drop them before the shuffle, the others spread them too. All other rows have salt 0. ``how`` is inner, left, left_semi or left_anti. ``keys_from`` is where hot keys
     are looked for when reading ``facts`` itself twice would be costly.
     """
     salts = max(2, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = F.broadcast(hot_keys(facts if keys_from is None else keys_from, key, share)
                       .withColumn("_hot", F.lit(True)))
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    spread = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(content, F.lit(salts)).cast("int")).otherwise(0))
+    if how in ("inner", "left_semi"):
+        facts = facts.where(F.col(key).isNotNull())
+    content = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in facts.columns])
+    spread = facts.join(hot, key, "left").withColumn("_salt", F.when(
+        F.col("_hot") | F.col(key).isNull(), F.pmod(content, F.lit(salts)).cast("int")).otherwise(0))
     repeated = other.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
                            .otherwise(F.array(F.lit(0)))))

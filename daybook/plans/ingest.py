@@ -140,8 +140,11 @@ class FieldSpec:
     """A column of a user-defined table.
 
     ``datatype`` is string, number, decimal, date or boolean. At most one of the transforms
-    applies, in the order replace, concat, lookup. ``replace`` is a text to strip or a
-    ``(find, put)`` pair; ``lookup`` is ``(field, collection, key, returned field)``.
+    applies, in the order expression, replace, concat, lookup. ``expression`` is SQL over the
+    fields of the enclosing objects, named as they are there (the innermost wins), and is checked
+    against their schema when the table is planned; its result is taken as it is, cast to
+    ``datatype``. ``replace`` is a text to strip or a ``(find, put)`` pair; ``lookup`` is
+    ``(field, collection, key, returned field)``.
     """
 
     name: str
@@ -150,6 +153,7 @@ class FieldSpec:
     replace: str | tuple[str, str] | None = None
     concat: str | None = None
     lookup: tuple[str, str, str, str] | None = None
+    expression: str | None = None
 
 
 _DATATYPES = {"string": "text", "number": "amount", "decimal": "number", "date": "date",
@@ -166,8 +170,22 @@ def _spec_value(rows: Rows, spec: FieldSpec) -> Column:
         raw = E.joined(rows.values(spec.source), spec.concat)
     elif spec.lookup is not None:
         raw = F.col(f"_looked_up_{spec.name}")
-    sql_type = {"number": "decimal(17,2)"}.get(spec.datatype, TYPES[kind])
-    return D.decode(kind, raw).cast(sql_type).alias(spec.name)
+    return D.decode(kind, raw).cast(_sql_type(spec)).alias(spec.name)
+
+
+def _with_expressions(df: DataFrame, rows: Rows, fields: list[FieldSpec]) -> DataFrame:
+    if not any(f.expression for f in fields):
+        return df.select(*[_spec_value(rows, f) for f in fields])
+    names = {n: None for _, schema in rows.levels for n in schema.names}
+    scope = df.select(*[_spec_value(rows, f).alias(f"_value_{f.name}") for f in fields if not f.expression],
+                      *[rows.find(n)[0][0].alias(n) for n in names])
+    return scope.select(*[
+        F.expr(f.expression).cast(_sql_type(f)).alias(f.name) if f.expression
+        else F.col(f"`_value_{f.name}`").alias(f.name) for f in fields])
+
+
+def _sql_type(spec: FieldSpec) -> str:
+    return {"number": "decimal(17,2)"}.get(spec.datatype, TYPES[_DATATYPES[spec.datatype]])
 
 
 def flatten_paths(docs: Mapping[str, DataFrame], paths: list[str], fields: list[FieldSpec],
@@ -189,7 +207,7 @@ def flatten_paths(docs: Mapping[str, DataFrame], paths: list[str], fields: list[
                                        F.col(returned).cast("string").alias(f"_looked_up_{spec.name}"))
             df = lookup(df.withColumn("_key", rows.raw(field)), found, "_key", "left", measure=True,
                         keys_from=rows.df.select(rows.raw(field).alias("_key"))).drop("_key")
-        parts.append(df.select(*[_spec_value(rows, f) for f in fields]))
+        parts.append(_with_expressions(df, rows, fields))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -57,7 +57,8 @@ def entries(books: Books, vouchers: DataFrame, lines: DataFrame | None = None,
     lines = books[table] if lines is None else lines
     if books.colocated:
         return lines.join(vouchers, "guid", how)
-    return lookup(lines, vouchers, "guid", how, keys_from=books[table].select("guid"))
+    # a voucher has few lines, so its key is never hot
+    return lookup(lines, vouchers, "guid", how, unique=True)
 
 
 def with_ledgers(books: Books, lines: DataFrame, ledgers: DataFrame, how: str = "inner") -> DataFrame:

@@ -52,25 +52,21 @@ def account_statement(books: Books, ledger: str, start, end, distinct: bool = Fa
     Vouchers without any other ledger do not appear.
     """
     own_filter = posted() if posted_only else F.col("is_accounting_voucher") == 1
-    vouchers = books.trn_voucher.where(between(start, end))
-    own = entries(
-        books,
-        vouchers.where(own_filter).select("guid", "date", "voucher_number", "voucher_type", "narration"),
-        books.trn_accounting.where(F.col("ledger") == ledger).select("guid", "amount"))
-    concerned = entries(
-        books, vouchers.where(own_filter & posted()).select("guid"),
-        books.trn_accounting.where(F.col("ledger") == ledger).select("guid")).distinct()
-    # equal ledgers of a voucher are counted first, so what is gathered is one value per ledger
-    others = (
-        entries(books, concerned,
-                books.trn_accounting.where(F.col("ledger") != ledger).select("guid", "ledger"),
-                "left_semi")
-        .groupBy("guid", "ledger").agg(F.count("*").cast("int").alias("times"))
-        .groupBy("guid").agg(F.array_sort(F.collect_list(F.struct("ledger", "times"))).alias("found"))
-        .select("guid", F.array_join(
-            F.col("found.ledger") if distinct else F.flatten(F.transform(
-                "found", lambda f: F.array_repeat(f["ledger"], f["times"]))), ",").alias("ledgers")))
-    return lookup(own, others, "guid", keys_from=books.trn_accounting.select("guid")).select(
+    head = ["guid", "date", "voucher_number", "voucher_type", "narration"]
+    vouchers = books.trn_voucher.where(between(start, end) & own_filter & posted()).select(*head)
+    lines = entries(books, vouchers, books.trn_accounting.select("guid", "ledger", "amount"))
+    own = F.col("ledger") == ledger
+    # both groupings keep the lines' partitioning by voucher; equal ledgers of a voucher are
+    # counted before they are listed, so what is gathered is one value per ledger
+    per_ledger = lines.groupBy(*head, "ledger").agg(
+        F.count("*").cast("int").alias("times"), F.collect_list(F.when(own, F.col("amount"))).alias("amounts"))
+    other = F.when(~own, F.struct("ledger", "times"))
+    per_voucher = per_ledger.groupBy(*head).agg(
+        F.flatten(F.collect_list("amounts")).alias("amounts"),
+        F.array_sort(F.collect_list(other)).alias("found")).where("size(found) > 0")
+    names = F.col("found.ledger") if distinct else F.flatten(F.transform(
+        "found", lambda f: F.array_repeat(f["ledger"], f["times"])))
+    return per_voucher.select(*head, F.array_join(names, ",").alias("ledgers"), F.explode("amounts").alias("amount")).select(
         "date", "voucher_number", "voucher_type", "ledgers",
         money(debit()).alias("debit"), money(credit()).alias("credit"), "narration",
     ).orderBy("date", "voucher_number")
@@ -88,9 +84,8 @@ def accounting_voucher_view(books: Books) -> DataFrame:
         books.trn_voucher.where(posted()).select(
             "guid", "date", "voucher_type", "voucher_number", "party_name"),
         voucher_categories(books), "voucher_type", measure=True)
-    lines = with_ledgers(books, books.trn_accounting.select("guid", "ledger", "amount"),
-                         groups.select("ledger", "primary_group"))
-    current = entries(books, vouchers, lines)
+    lines = entries(books, vouchers, books.trn_accounting.select("guid", "ledger", "amount"))
+    current = with_ledgers(books, lines, groups.select("ledger", "primary_group"))
     return opening.unionByName(current.select(opening.columns))
 
 

@@ -84,9 +84,9 @@ def _register(books: Books, categories: list[str], sign: int) -> DataFrame:
         _categorised(books, categories).where(posted()).select(
             "guid", "date", "voucher_type", "voucher_number", "party_name", "voucher_category"),
         parties, "party_name", measure=True, keys_from=books.trn_voucher.select("party_name"))
-    lines = with_ledgers(books, books.trn_accounting.select("guid", "ledger", "amount"),
-                         ledger_groups(books).select("ledger", "primary_group"))
-    counter = entries(books, vouchers, lines).where(F.col("ledger") != F.col("party_name"))
+    lines = entries(books, vouchers, books.trn_accounting.select("guid", "ledger", "amount"))
+    counter = with_ledgers(books, lines.where(F.col("ledger") != F.col("party_name")),
+                           ledger_groups(books).select("ledger", "primary_group"))
     return counter.select(
         "date", "voucher_type", "voucher_number", "ledger",
         (F.col("amount") * sign).cast("decimal(17,2)").alias("amount"),

@@ -208,10 +208,10 @@ _LINKS = {
     "mst_stock_item": "trn_inventory.item trn_batch.item trn_cost_inventory_category_centre.item "
                       "mst_stockitem_standard_cost.item mst_stockitem_standard_price.item "
                       "*mst_gst_effective_rate.item *mst_opening_batch_allocation.item",
-    "mst_cost_category": "mst_cost_centre.parent trn_cost_category_centre.costcategory "
+    "mst_cost_category": "trn_cost_category_centre.costcategory "
                          "trn_cost_inventory_category_centre.costcategory trn_employee.category "
                          "trn_payhead.category *mst_employee.parent",
-    "mst_cost_centre": "trn_cost_centre.costcentre trn_cost_category_centre.costcentre "
+    "mst_cost_centre": "mst_cost_centre.parent trn_cost_centre.costcentre trn_cost_category_centre.costcentre "
                        "trn_cost_inventory_category_centre.costcentre trn_employee.employee_name "
                        "trn_payhead.employee_name trn_attendance.employee_name",
     "mst_attendance_type": "trn_attendance.attendancetype_name *mst_attendance_type.parent",

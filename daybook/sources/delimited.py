@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.functions.decode import export_text
 from daybook.plans.books import Books, default_of
 from daybook.schema import CONFIG, TABLES, Table, incremental_columns
 
@@ -45,6 +46,22 @@ def read_table(spark: SparkSession, path: str, table: Table | str,
     return raw.select(*[_typed(name, sql_type) for name, sql_type in columns])
 
 
+def read_export(spark: SparkSession, path: str, table: Table | str,
+                incremental: bool = False) -> DataFrame:
+    """A raw tab-separated export, typed by the table definition.
+
+    Lines still hold the envelope, entities and break markers of the export. Columns are cut
+    first, so that a cleaned value cannot hold a separator; there is no header row.
+    """
+    table = TABLES[table] if isinstance(table, str) else table
+    columns = _columns(table, incremental)
+    lines = spark.read.text(path).where(~F.col("value").rlike(r"^\s*(</?ENVELOPE>)?\s*$"))
+    cells = F.split(F.regexp_replace("value", r"</?ENVELOPE>", ""), "\t")
+    named = lines.select(*[
+        export_text(F.coalesce(F.get(cells, F.lit(i)), F.lit(""))).alias(name) for i, (name, _) in enumerate(columns)])
+    return named.select(*[_typed(name, sql_type) for name, sql_type in columns])
+
+
 def read_csv(spark: SparkSession, path: str, table: Table | str,
              incremental: bool = False) -> DataFrame:
     """A CSV file written by the CSV sink: header, doubled quotes, empty = NULL."""

@@ -73,19 +73,25 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
                    row_tag: str | None = None) -> DataFrame:
     """The objects of one collection.
 
-    Exports in UTF-16LE without byte-order mark are read with the legacy parser; land large
-    ones as UTF-8, which can be split between tasks.
+    UTF-8 exports are cut at the closing tags of their objects, so tasks share a large file.
+    UTF-16LE exports without byte-order mark are read whole, with the legacy parser; land large
+    ones as UTF-8.
     """
     schema = document_schema(collection)
     tags = T.StructType([_tag(f.name, f.dataType) for f in schema.fields])
     if "name" in schema.names:
         tags = tags.add("@NAME", T.StringType())
-    reader = spark.read.format("xml").options(
-        rowTag=row_tag or collection.upper(), attributePrefix="@", encoding=encoding,
-        ignoreNamespace="true", mode="PERMISSIVE")
+    tag = row_tag or collection.upper()
+    options = {"attributePrefix": "@", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
     if encoding.upper() == "UTF-16LE":
-        reader = reader.option("useLegacyXMLParser", "true")
-    raw = reader.schema(tags).load(path)
+        raw = spark.read.format("xml").options(
+            rowTag=tag, encoding=encoding, useLegacyXMLParser="true", **options).schema(tags).load(path)
+    else:
+        pieces = spark.read.option("lineSep", f"</{tag}>").text(path)
+        start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>]"))
+        objects = pieces.where(start > 0).select(
+            F.concat(F.substring("value", start, F.length("value")), F.lit(f"</{tag}>")).alias("value"))
+        raw = objects.select(F.from_xml("value", tags, {**options, "rowTag": tag}).alias("v")).select("v.*")
 
     def column(field: T.StructField):
         tag = _tag(field.name, field.dataType).name
