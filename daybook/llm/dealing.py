@@ -79,6 +79,7 @@ def deal(cids: dict[int, np.ndarray], buckets: int, frequent: int) -> pa.RecordB
 
 
 def flat(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    tb.trim()
     hashes, n = numbers(table["hashes"])
     return hashes, numbers(table["cids"])[0], np.repeat(table["df"].to_numpy(), n)
 

@@ -123,6 +123,7 @@ def _setter(size: int) -> Callable:
 
 def _tree_links(table: pa.Table) -> pa.Table:
     """Links (a, b) that join what the trees find to be one component."""
+    tb.trim()
     tokens, n = numbers(table["tokens"])
     ids = table["doc_id"].to_numpy()
     known = table["comp"].to_numpy() if "comp" in table.column_names else None

@@ -22,7 +22,9 @@ from daybook.llm import textblocks as tb
 
 BLOCK_BYTES = 2 << 20
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 3_000_000
+CACHE_WORDS = 1_000_000
+#: New words that are encoded at once.
+ENCODE_WORDS = 20_000
 _LETTER = tb.byte_class((0x41, 0x5A), (0x61, 0x7A))
 _MARK = np.isin(np.arange(256), np.frombuffer(b".,;:!?*#%$&)", np.uint8))
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -71,9 +73,12 @@ class WordIds:
             return at
         raw = data.tobytes()
         strings = [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[new].tolist(), ends[new].tolist())]
-        found = [x.ids for x in self.encoder.encode_batch_fast(strings, add_special_tokens=False)]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum()))
+        sizes, flats = [], []
+        for i in range(0, len(strings), ENCODE_WORDS):
+            found = [x.ids for x in self.encoder.encode_batch_fast(strings[i:i + ENCODE_WORDS], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
+        counts, flat = np.concatenate(sizes), np.concatenate(flats)
         keys = np.concatenate([self.keys, unique[new]])
         order = np.argsort(keys, kind="stable")
         self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(counts) - counts])[order]

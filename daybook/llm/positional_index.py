@@ -163,6 +163,7 @@ def _answer(parts: list[Windows], gap: int, slack: int) -> Callable:
 
 
 def _block(row, parts: list[Windows], gap: int, slack: int) -> pd.DataFrame:
+    tb.trim()
     ids, nulls = np.frombuffer(row.ids, np.int64), np.frombuffer(row.nulls, bool)
     lengths = np.frombuffer(row.lengths, np.int64)
     base = np.cumsum(lengths + gap) - (lengths + gap)

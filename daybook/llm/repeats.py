@@ -151,6 +151,7 @@ def _packer(buckets: int) -> Callable:
 
 def _unpacked(table: pa.Table):
     """Classes of a bucket, each once: cid, smallest id, offsets and bytes."""
+    tb.trim()
     cid, ids, n = ((numbers(table[c])[0].view(np.int64)) for c in ("cids", "ids", "lengths"))
     raw = b"".join(zstandard.ZstdDecompressor().decompress(x) for x in table["texts"].to_pylist())
     data, start = np.frombuffer(raw, np.uint8), np.cumsum(n) - n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +37,18 @@ def byte_view(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def trim() -> None:
+    """Gives memory that earlier work of this Python worker no longer needs back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a C library that can
+        pass
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows of at most ``most`` bytes of text, one row at least."""
+    trim()
     lengths = np.diff(byte_view(batch.column(column))[1])
     start, total = 0, 0
     for i, n in enumerate(lengths.tolist()):
