@@ -8,9 +8,9 @@ from checks.oracle_books import with_books
 from checks.ingest_checks import _ACCOUNTING, _LIVE
 from daybook.operators import calendar
 from daybook.operators.reshape import explode_path
-from daybook.plans import ingest, sinks
+from daybook.plans import ingest, sinks, sync
 from daybook.plans import store as st
-from daybook.plans.books import conform
+from daybook.plans.books import Books, conform
 from daybook.schema import TABLES
 from daybook.session import scratch
 from daybook.sources import delimited, scan, testbed_documents, xml
@@ -171,7 +171,7 @@ def _streamed(table, columns, twice=False):
     def run(spark, folder):
         base = scratch(spark, "stream")
         schema = _change_files(spark, folder, f"{base}/landing")
-        store = st.Store(spark, f"{base}/store")
+        store = st.Store(spark, f"{base}/store", parts=4)
         for checkpoint in ("a", "b")[:2 if twice else 1]:  # a lost checkpoint delivers all again
             continuous.run(spark, f"{base}/landing", schema, store, f"{base}/{checkpoint}").awaitTermination()
         return store.books()[table].select(*columns)
@@ -183,13 +183,89 @@ def _redelivered(spark, folder):
     base = scratch(spark, "again")
     docs = testbed_documents.voucher_documents(spark, folder).withColumns(
         {"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
-    store = st.Store(spark, f"{base}/store")
+    store = st.Store(spark, f"{base}/store", parts=4)
     for _ in range(2):
         continuous.apply_changes(store, docs, 0)
     return store.books()["trn_accounting"].select("guid", "ledger", "amount")
 
 
+def _landed(spark, folder, *files):
+    """Runs the stream once after each landed file; ``files`` are functions of the documents."""
+    base = scratch(spark, "landed")
+    docs = testbed_documents.voucher_documents(spark, folder).withColumns(
+        {"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
+    n = Testbed(spark, folder).source("orders").agg(F.count("*").alias("n")).scalar()
+    store = st.Store(spark, f"{base}/store", parts=4)
+    for i, (file, checkpoint) in enumerate(files):
+        file(docs, n).write.parquet(f"{base}/{checkpoint}/landing/{i}")
+        landing = f"{base}/{checkpoint}/landing/*"
+        continuous.run(spark, landing, docs.schema, store, f"{base}/{checkpoint}/state").awaitTermination()
+    return store
+
+
+_NARRATED = ["guid", "alterid", "narration"]
+_URGENT = "narration like '%1-URGENT'"
+
+
+def _edit(docs, by, text):
+    return docs.where(_URGENT).withColumns({"alterid": F.col("alterid") + by, "narration": F.lit(text)})
+
+
+def _late_file(spark, folder):
+    """A file that lands later with the lower numbers, of other vouchers."""
+    upper, lower = (lambda d, n: d.where(F.col("alterid") > n / 2)), (lambda d, n: d.where(F.col("alterid") <= n / 2))
+    return _landed(spark, folder, (upper, "a"), (lower, "a")).books()["trn_voucher"].select(*_NARRATED)
+
+
+def _new_checkpoint(spark, folder):
+    """New files under a new checkpoint, whose batch numbers start at 0 again."""
+    return _landed(spark, folder, (lambda d, n: d, "a"), (lambda d, n: _edit(d, n, "one"), "a"),
+                   (lambda d, n: _edit(d, 2 * n, "two"), "b")).books()["trn_voucher"].select(*_NARRATED)
+
+
+def _older_repeat(spark, folder):
+    """A deletion followed by an older change of the same vouchers, and by a newer one of some."""
+    gone = lambda d, n: d.where(_URGENT).withColumns({"alterid": F.col("alterid") + 2 * n, "deleted": F.lit(True)})
+    again = lambda d, n: _edit(d, 3 * n, "again").where("isinvoice = 'Yes'")
+    return _landed(spark, folder, (lambda d, n: d, "a"), (gone, "a"), (lambda d, n: _edit(d, n, "older"), "a"),
+                   (again, "a")).books()["trn_voucher"].select(*_NARRATED)
+
+
+def _sync_between(spark, folder):
+    """A sync run between two batches: what it removed does not come back with an older change."""
+    store = _landed(spark, folder, (lambda d, n: d, "a"))
+    docs = testbed_documents.voucher_documents(spark, folder).withColumns(
+        {"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
+    n = docs.count()
+    source = store.books()["trn_voucher"].where(f"not {_URGENT}").select("guid", "alterid")
+    sync.run(store, {"trn_voucher": stored(source, "source")}, Books(spark, {}), {"master": 0, "transaction": 2 * n})
+    continuous.apply_changes(store, _edit(docs, n, "older"), 0, stream="b")
+    continuous.apply_changes(store, _edit(docs, 3 * n, "newer").where("isinvoice = 'Yes'"), 1, stream="b")
+    return store.books()["trn_voucher"].select(*_NARRATED)
+
+
+def stored(df, label):
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _raw_export(spark, folder):
+    """Groups written as a raw export: envelope, entities and character references, no header."""
+    path = scratch(spark, "raw")
+    c = Testbed(spark, folder).source("customer")
+    line = F.concat_ws("\t", F.concat(F.lit("G"), "c_custkey"), F.concat("c_name", F.lit(" &amp; Sons&#4; &lt;"), "c_mktsegment", F.lit("&gt;")),
+                       F.lit("<FLDBLANK></FLDBLANK>"), *[F.lit("")] * (len(TABLES["mst_group"].columns) - 3))
+    c.select(F.lit("<ENVELOPE>").alias("value")).limit(1).unionByName(c.select(line.alias("value"))).coalesce(1).write.text(path)
+    return delimited.read_export(spark, path, "mst_group").select("guid", "name", "parent")
+
+
 QUERIES = {
+    "w3_late_lower_numbers": _late_file,
+    "w3_new_checkpoint": _new_checkpoint,
+    "w3_deletion_then_older": _older_repeat,
+    "w3_sync_between_batches": _sync_between,
+    "t16_raw_export": _raw_export,
     "s1_delimited_scan": _delimited,
     "s2_xml_scan": _xml,
     "s4_csv_reimport": _csv_books,
@@ -218,7 +294,23 @@ _ALL_VOUCHERS = """
         (m in (3, 8, 9))::tinyint as is_invoice from ord"""
 _STREAM = f"{_LIVE} and o_orderpriority <> '2-HIGH'"
 
+_NARRATION = "select guid, {} as alterid, {} as narration"
+_N = "(select count(*) from orders)"
+_OWN = "'R&D ' || o_orderpriority"
+_IS_URGENT = "o_orderpriority = '1-URGENT'"
+
 ORACLE = {
+    "w3_late_lower_numbers": with_books(f"{_NARRATION.format('k + 1', _OWN)} {_LIVE}"),
+    "w3_new_checkpoint": with_books(_NARRATION.format(
+        f"k + 1 + case when {_IS_URGENT} then 2 * {_N} else 0 end", f"case when {_IS_URGENT} then 'two' else {_OWN} end") + f" {_LIVE}"),
+    "w3_deletion_then_older": with_books(_NARRATION.format(
+        f"k + 1 + case when {_IS_URGENT} then 3 * {_N} else 0 end", f"case when {_IS_URGENT} then 'again' else {_OWN} end")
+        + f" {_LIVE} and (not {_IS_URGENT} or m in (3, 8, 9))"),
+    "w3_sync_between_batches": with_books(_NARRATION.format(
+        f"k + 1 + case when {_IS_URGENT} then 3 * {_N} else 0 end", f"case when {_IS_URGENT} then 'newer' else {_OWN} end")
+        + f" {_LIVE} and (not {_IS_URGENT} or m in (3, 8, 9))"),
+    "t16_raw_export": """
+      select 'G' || c_custkey as guid, c_name || ' & Sons <' || c_mktsegment || '>' as name, '' as parent from customer""",
     "s1_delimited_scan": with_books("""
       select guid, date, '"' || o_orderpriority || '" España' as narration, '' as reference_number,
         case when m = 0 then date end as reference_date, (m in (3, 8, 9))::tinyint as is_invoice from ord"""),

@@ -114,6 +114,8 @@ STATE_FROM = "Period From"
 STATE_TO = "Period To"
 STATE_MASTER = "Last AlterID Master"
 STATE_TRANSACTION = "Last AlterID Transaction"
+#: Not one of the six: the source's number at the last sync run, which a stream does not move.
+STATE_SYNCED = "Synced AlterID Transaction"
 
 
 def run_state(spark: SparkSession, company: str, period_from, period_to, last_master: int,

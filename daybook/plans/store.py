@@ -1,73 +1,167 @@
-"""Versioned table folders with one control record per table and version.
+"""Versioned tables with one small control file per version.
 
-A version becomes visible when its control records, a single small file, are in place. Until
-then readers see the previous version, so a run that dies half-way leaves nothing behind that
-anyone reads.
+Tables with a voucher's ``guid`` are kept in parts by a hash of it, so a change rewrites only the
+parts its vouchers lie in; all other parts of the new version are the files of the old one. A
+version becomes visible when its control file is in place. Until then readers see the previous
+version, so a run that dies half-way leaves nothing behind that anyone reads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+import uuid
+from collections.abc import Collection, Mapping
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.plans.books import Books
 from daybook.plans.sinks import full_refresh, write_all
 
-_CONTROL = "version bigint, batch bigint, entry string, value string"
-_TABLE = "table:"
+PARTS = 64
+_PART = "_part"
+_WHOLE = "-"
+
+
+class Superseded(RuntimeError):
+    """Another writer has published a version since the tables were read."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int = 0
+    state: dict[str, str] = field(default_factory=dict)
+    tables: dict[str, dict] = field(default_factory=dict)  # schema, and folder by part
 
 
 class Store:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    @property
-    def _control_path(self) -> str:
-        return f"{self.folder}/control"
-
-    def _control(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._control_path)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(path):
-            return self.spark.createDataFrame([], _CONTROL)
-        return self.spark.read.schema(_CONTROL).parquet(self._control_path)
-
-    def head(self) -> tuple[int, int, dict[str, str]]:
-        """Latest version, its batch and its entries (a few dozen)."""
-        control = self._control()
-        latest = control.agg(F.max("version").alias("v")).scalar()
-        rows = control.where(F.col("version") == latest).collect()
-        if not rows:
-            return 0, -1, {}
-        return rows[0].version, rows[0].batch, {r.entry: r.value for r in rows}
-
-    def books(self) -> Books:
-        """The tables of the latest version."""
-        entries = self.head()[2]
-
-        def reader(path: str):
-            return lambda: self.spark.read.parquet(path)
-
-        return Books(self.spark, {e.removeprefix(_TABLE): reader(path)
-                                  for e, path in entries.items() if e.startswith(_TABLE)})
+    """``parts`` is fixed by the first version; names with a leading ``_`` are not part of the books."""
+
+    def __init__(self, spark: SparkSession, folder: str, parts: int = PARTS):
+        self.spark, self.folder, self.parts = spark, folder.rstrip("/"), parts
+
+    def _path(self, *names: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *names]))
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _names(self, *names: str) -> list[str]:
+        path = self._path(*names)
+        files = self._files()
+        return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
+
+    def _read(self, name: str) -> Version | None:
+        stream = self._files().open(self._path("control", name))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return Version(**json.loads(text))
+        except ValueError:  # being written just now
+            return None
+
+    def head(self) -> Version:
+        """The latest version; only its own control file is read."""
+        for name in reversed([n for n in self._names("control") if n.endswith(".json")]):
+            found = self._read(name)
+            if found is not None:
+                return found
+        return Version()
+
+    def part(self, guid: Column | str = "guid") -> Column:
+        return F.pmod(F.xxhash64(guid), F.lit(self.parts)).cast("int")
+
+    def parts_of(self, keys: DataFrame) -> set[int]:
+        """The parts that hold the given guids: at most ``parts`` numbers."""
+        return {r[0] for r in keys.select(self.part().alias("p")).distinct().collect()}
+
+    def rows(self, version: Version, name: str, parts: Collection[int] | None = None) -> DataFrame | None:
+        """A table, or some parts of it; None if the version does not have it."""
+        if name not in version.tables:
+            return None
+        table = version.tables[name]
+        schema = T.StructType.fromJson(table["schema"])
+        paths = [p for k, p in table["parts"].items() if parts is None or k == _WHOLE or int(k) in parts]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def books(self, version: Version | None = None, parts: Collection[int] | None = None) -> Books:
+        """The tables of a version, of the latest one unless given."""
+        version = version or self.head()
+
+        def reader(name: str):
+            return lambda: self.rows(version, name, parts)
+
+        return Books(self.spark, {n: reader(n) for n in version.tables if not n.startswith("_")})
 
     def state(self) -> dict[str, str]:
         """Run state of the latest version."""
-        return {e: v for e, v in self.head()[2].items() if not e.startswith(_TABLE)}
+        return self.head().state
 
     def commit(self, tables: Mapping[str, DataFrame], state: Mapping[str, str] | None = None,
-               batch: int = -1) -> dict[str, int]:
+               parts: Collection[int] | None = None, base: Version | None = None) -> dict[str, int]:
         """Write ``tables`` as the next version; tables not given keep their files.
 
-        Returns the rows written per table.
+        With ``parts`` the tables hold the rows of these parts only, and the other parts stay.
+        ``base`` is the version the tables were derived from; if another one has been published
+        since, nothing becomes visible. Returns the rows written per table.
         """
-        version, _, entries = self.head()
-        folder = f"{self.folder}/data/version={version + 1}"
-        rows = write_all(tables, lambda name, df: full_refresh(df, f"{folder}/{name}"))
-        entries = {**entries, **{f"{_TABLE}{n}": f"{folder}/{n}" for n in tables}, **(state or {})}
-        control = self.spark.createDataFrame(
-            [(version + 1, batch, e, str(v)) for e, v in entries.items()], _CONTROL)
-        control.coalesce(1).write.mode("append").parquet(self._control_path)
+        head = self.head()
+        base = base or head
+        folder = f"{self.folder}/data/{base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
+
+        def split(name: str) -> bool:
+            return "guid" in tables[name].columns and not name.startswith("mst_")
+
+        dealt = {n: df.withColumn(_PART, self.part()).hint("rebalance", _PART) if split(n) else df
+                 for n, df in tables.items()}
+        rows = write_all(dealt, lambda name, df: full_refresh(
+            df, f"{folder}/{name}", [_PART] if split(name) else None))
+        entries = dict(base.tables)
+        for name, df in tables.items():
+            if split(name):
+                kept = entries.get(name, {"parts": {}})["parts"] if parts is not None else {}
+                found = {k: p for k, p in kept.items() if int(k) not in parts} if parts is not None else {}
+                for sub in self._names(*f"{folder}/{name}".removeprefix(f"{self.folder}/").split("/")):
+                    if sub.startswith(f"{_PART}="):
+                        found[sub.split("=")[1]] = f"{folder}/{name}/{sub}"
+            else:
+                found = {_WHOLE: f"{folder}/{name}"}
+            entries[name] = {"schema": json.loads(df.schema.json()), "parts": found}
+        self._publish(Version(base.number + 1, {**base.state, **(state or {})}, entries))
         return rows
+
+    def _publish(self, version: Version) -> None:
+        """The control file is created, never replaced: of two writers one is refused."""
+        if self.head().number != version.number - 1:
+            raise Superseded(f"version {version.number} is there already")
+        path = self._path("control", f"{version.number:012d}.json")
+        try:
+            out = self._files().create(path, False)
+        except Exception as e:
+            raise Superseded(f"version {version.number} is there already") from e
+        try:
+            out.write(bytearray(json.dumps(
+                {"number": version.number, "state": version.state, "tables": version.tables}).encode()))
+        finally:
+            out.close()
+
+    def forget(self, keep: int = 2) -> int:
+        """Remove all but the last ``keep`` versions and every file none of those needs.
+
+        Not to be called while a run is writing. Returns the data folders removed.
+        """
+        files = self._files()
+        names = [n for n in self._names("control") if n.endswith(".json")]
+        versions = [v for v in map(self._read, names[-keep:]) if v is not None]
+        used = {p.removeprefix(f"{self.folder}/data/").split("/")[0] for v in versions for t in v.tables.values()
+                for p in t["parts"].values()}
+        for name in names[:-keep]:
+            files.delete(self._path("control", name), False)
+        old = [n for n in self._names("data") if n not in used]
+        for name in old:
+            files.delete(self._path("data", name), True)
+        return len(old)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
-from daybook.plans.sinks import STATE_MASTER, STATE_TRANSACTION
+from daybook.plans.sinks import STATE_MASTER, STATE_SYNCED, STATE_TRANSACTION
 from daybook.plans.store import Store
 from daybook.schema import LINKS, TABLES, tables
 from daybook.session import scratch
@@ -199,7 +199,7 @@ def synced(current: Books, source: Mapping[str, DataFrame], delta: Books,
     return Books(current.spark, {n: lazily(n) for n in current if n in TABLES})
 
 
-def touched(current: Books, delta: Books, changed: Gate) -> set[str]:
+def touched(current: Books, changed: Gate) -> set[str]:
     """Tables a run may alter: those of a changed half and those naming a changed master."""
     halves = {h for h, on in (("master", changed.master), ("transaction", changed.transaction)) if on}
     names = {t.name for t in TABLES.values() if t.half in halves}
@@ -208,28 +208,75 @@ def touched(current: Books, delta: Books, changed: Gate) -> set[str]:
     return {n for n in names if n in current}
 
 
+def _changed_vouchers(current: Books, source: Mapping[str, DataFrame], delta: Books, changed: Gate,
+                      numbers: DataFrame | None, stage: Callable[[str, DataFrame], DataFrame],
+                      party_names: bool, repair_names: bool) -> DataFrame | None:
+    """Guids of the vouchers whose rows a run alters, with repeats; None if there cannot be any."""
+    found = []
+    if changed.transaction and "trn_voucher" in source and "trn_voucher" in current:
+        found.append(stage("removed-trn_voucher", removed_keys(current["trn_voucher"], source["trn_voucher"])))
+    if changed.transaction:
+        found += [delta[t.name].select("guid") for t in tables("transaction", "Primary") if t.name in delta]
+        if numbers is not None and "trn_voucher" in current:
+            fresh = numbers.select("guid", F.col("voucher_number").alias("_fresh"))
+            found.append(lookup(current["trn_voucher"].select("guid", "voucher_number"), fresh, "guid", unique=True)
+                         .where(~F.col("voucher_number").eqNullSafe(F.col("_fresh"))).select("guid"))
+    for link in LINKS if changed.master else []:
+        table = TABLES[link.table]
+        carried = link.renames or (party_names and link.column == "party_name")
+        if not (carried and table.half == "transaction" and link.table in current
+                and link.master in source and link.master in current and link.master in delta):
+            continue
+        rows = current[link.table].select("guid", link.key)
+        if not repair_names:
+            names = stage(f"renamed-{link.master}", renamed(
+                current[link.master], appended(kept_rows(current[link.master], source[link.master]), delta[link.master])))
+            if names.isEmpty():  # nothing to carry: the table is not even read
+                continue
+            rows = lookup(rows, names.select(F.col("guid").alias(link.key)), link.key, "left_semi", measure=True)
+        found.append(rows.select("guid"))
+    if not found:
+        return None
+    every = found[0]
+    for df in found[1:]:
+        every = every.unionByName(df)
+    return every
+
+
 def run(store: Store, source: Mapping[str, DataFrame], delta: Books, source_state: Mapping[str, int],
-        numbers: DataFrame | None = None, **options) -> dict[str, int]:
+        numbers: DataFrame | None = None, party_names: bool = False, repair_names: bool = False) -> dict[str, int]:
     """One incremental run against the stored tables; rows per table written.
 
-    Nothing is written when the source's change numbers are those of the last run. Keys shared
-    by many tables are stored in scratch space first. The new change numbers become visible
-    together with the tables, so a run that fails is simply repeated.
+    Nothing is written when the source's change numbers are those of the last run. Of the
+    transaction tables only the parts are rewritten that hold a voucher the run alters; a master
+    change without a rename alters none. Keys shared by many tables are stored in scratch space
+    first. The new change numbers become visible together with the tables, so a run that fails
+    is simply repeated.
     """
     names = {"master": STATE_MASTER, "transaction": STATE_TRANSACTION}
-    state = store.state()
-    changed = gate({half: int(state.get(name, 0)) for half, name in names.items()}, source_state)
+    head = store.head()
+    changed = gate({half: int(head.state.get(name, 0)) for half, name in names.items()}, source_state)
     if not changed.any:
         return {}
     if changed.restored:
         raise ValueError("the source was restored to an older state: reload it in full")
-    folder = scratch(store.spark, "sync")
+    folder, staged = scratch(store.spark, "sync"), {}
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return store.spark.read.parquet(f"{folder}/{name}")
-
-    current = store.books()
-    after = synced(current, source, delta, numbers, changed, stage=stage, **options)
-    return store.commit({n: after[n] for n in sorted(touched(current, delta, changed))},
-                        {name: str(source_state[half]) for half, name in names.items()})
+        if name not in staged:
+            df.write.parquet(f"{folder}/{name}")
+            staged[name] = store.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        return staged[name]
+
+    whole = store.books(head)
+    vouchers = _changed_vouchers(whole, source, delta, changed, numbers, stage, party_names, repair_names)
+    parts = store.parts_of(vouchers) if vouchers is not None else set()
+    altered = touched(whole, changed)
+    lines = {n for n in altered if TABLES[n].half == "transaction" and "guid" in whole[n].columns}
+    if "trn_voucher" in source:
+        source = {**source, "trn_voucher": source["trn_voucher"].where(store.part().isin(*parts) if parts else F.lit(False))}
+    after = synced(store.books(head, parts), source, delta, numbers, changed, party_names, repair_names, stage)
+    state = {name: str(source_state[half]) for half, name in names.items()}
+    rows = store.commit({n: after[n] for n in sorted(altered - (set() if parts else lines))},
+                        {**state, STATE_SYNCED: state[STATE_TRANSACTION]}, parts, head)
+    return {**{n: 0 for n in lines}, **rows}

@@ -7,18 +7,23 @@ remembers which batch was applied, so a batch that is delivered again changes no
 
 from __future__ import annotations
 
+import json
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from daybook.operators.lookup import lookup
 from daybook.plans.ingest import flatten, with_base_types
-from daybook.plans.sinks import STATE_TRANSACTION
-from daybook.plans.store import Store
+from daybook.plans.sinks import STATE_SYNCED, STATE_TRANSACTION
+from daybook.plans.store import Store, Version
 from daybook.plans.sync import appended, without
 from daybook.schema import tables
 
+DELETED = "_deleted_voucher"
+
 
 def newest(changes: DataFrame) -> DataFrame:
     """The last change of every voucher; a deletion wins a tie."""
@@ -27,39 +32,72 @@ def newest(changes: DataFrame) -> DataFrame:
     return changes.groupBy(F.col("guid").alias("_guid")).agg(latest.alias("c")).select("c.*")
 
 
+def _to_apply(store: Store, head: Version, latest: DataFrame, parts: set[int]) -> DataFrame:
+    """Changes that are newer than what is stored of the same voucher.
+
+    A voucher that was deleted is remembered with the number of its deletion. One that is not
+    known at all is taken, unless a sync run has seen a state of the source that includes the
+    change: then the voucher is no longer there.
+    """
+    deleted = store.rows(head, DELETED, parts)
+    vouchers = store.rows(head, "trn_voucher", parts)
+    known = None
+    for df in (vouchers, deleted):
+        if df is not None:
+            keys = df.select("guid", F.col("alterid").alias("_known"))
+            known = keys if known is None else known.unionByName(keys)
+    synced = F.lit(int(head.state.get(STATE_SYNCED, -1)))
+    if known is None:
+        return latest.where(F.col("alterid") > synced)
+    known = known.groupBy("guid").agg(F.max("_known").alias("_known"))
+    return lookup(latest, known, "guid", "left", unique=True).where(
+        F.col("alterid") > F.coalesce("_known", synced)).drop("_known")
+
+
 def apply_changes(store: Store, changes: DataFrame, batch: int,
-                  voucher_types: DataFrame | None = None) -> dict[str, int]:
+                  voucher_types: DataFrame | None = None, stream: str = "changes") -> dict[str, int]:
     """Apply one micro-batch to the stored transaction tables; rows per table written.
 
-    Changes at or below the stored watermark are already in the tables.
+    Each change is compared with what is stored of its own voucher, so changes may come late, in
+    any order and more than once. A batch is known by its stream and number. Only the parts of the
+    tables that changed vouchers lie in are read and written.
     """
-    _, applied, state = store.head()
-    if batch <= applied:
+    head = store.head()
+    mark = f"Batch {stream}"
+    if batch <= int(head.state.get(mark, -1)):
         return {}
-    last = int(state.get(STATE_TRANSACTION, 0))
-    pending = newest(changes.where(F.col("alterid") > last)).persist(StorageLevel.MEMORY_AND_DISK)
+    latest = newest(changes)
+    pending = _to_apply(store, head, latest, store.parts_of(latest)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        top = pending.agg(F.max("alterid")).first()[0]
-        if top is None:
+        parts = store.parts_of(pending)
+        if not parts:
             return {}
+        top = pending.agg(F.max("alterid")).first()[0]
         removed = pending.select("guid")
         kept = pending.where(~F.col("deleted")).drop("deleted")
         if voucher_types is not None:
             kept = with_base_types(kept, voucher_types)
-        current, result = store.books(), {}
+        result = {}
         for table in tables("transaction"):
-            rows = flatten(kept, table)
-            if table.nature == "Primary":
-                rows = flatten(kept, table, masters={})
-            if table.name in current:
-                stored = current[table.name]
-                rows = appended(without(stored, removed, keys_from=stored), rows.select(stored.columns))
+            rows = flatten(kept, table, masters={} if table.nature == "Primary" else None)
+            stored = store.rows(head, table.name, parts)
+            if stored is not None:
+                rows = appended(without(stored, removed), rows.select(stored.columns))
             result[table.name] = rows
-        return store.commit(result, {STATE_TRANSACTION: str(top)}, batch)
+        gone = pending.where("deleted").select("guid", "alterid")
+        before = store.rows(head, DELETED, parts)
+        result[DELETED] = gone if before is None else appended(without(before, removed), gone)
+        last = max(int(top), int(head.state.get(STATE_TRANSACTION, 0)))
+        return store.commit(result, {STATE_TRANSACTION: str(last), mark: str(batch)}, parts, head)
     finally:
         pending.unpersist()
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity a checkpoint gave its stream; a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def run(spark: SparkSession, landing: str, schema: T.StructType, store: Store, checkpoint: str,
         every_minutes: float = 0, file_format: str = "parquet",
         voucher_types: DataFrame | None = None) -> StreamingQuery:
@@ -70,7 +108,8 @@ def run(spark: SparkSession, landing: str, schema: T.StructType, store: Store, c
     changes = spark.readStream.format(file_format).schema(schema).load(landing)
     writer = (
         changes.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, batch: apply_changes(store, df, batch, voucher_types) and None))
+        .foreachBatch(lambda df, batch: apply_changes(
+            store, df, batch, voucher_types, _stream_id(spark, checkpoint)) and None))
     writer = (writer.trigger(processingTime=f"{round(every_minutes * 60)} seconds") if every_minutes > 0
               else writer.trigger(availableNow=True))
     return writer.start()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daybook.plans import sync as S
 from daybook.plans.books import Books
 from daybook.plans.sinks import STATE_TRANSACTION
-from daybook.plans.store import Store
+from daybook.plans.store import Store, Superseded
 from daybook.schema import tables
 from daybook.sources import scan
 from daybook.sources.testbed_documents import voucher_documents
@@ -142,6 +142,51 @@ def test_failed_run_leaves_the_last_version(spark, rows, tmp_path):
     same(store.books()["trn_voucher"], source.books(rows)["trn_voucher"])
 
 
+def _files(store):
+    return {(n, k): p for n, t in store.head().tables.items() for k, p in t["parts"].items()}
+
+
+def test_one_voucher_rewrites_its_part_only(spark, folder, tmp_path):
+    docs = voucher_documents(spark, folder).withColumns({"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
+    store = Store(spark, str(tmp_path), parts=8)
+    continuous.apply_changes(store, docs, 0)
+    before, full = _files(store), {r.guid for r in store.books()["trn_voucher"].select("guid").collect()}
+    one = docs.where("vouchernumber = '5'").withColumns({"alterid": F.lit(10**9), "narration": F.lit("edited")})
+    continuous.apply_changes(store, one, 1)
+    after = _files(store)
+    part = str(store.parts_of(one).pop())
+    assert {k for k in after if after[k] != before.get(k)} == {k for k in after if k[1] == part}
+    assert {r.guid for r in store.books()["trn_voucher"].select("guid").collect()} == full
+    assert [r.narration for r in store.books()["trn_voucher"].where("alterid = 1000000000").collect()] == ["edited"]
+    removed = store.forget(keep=1)
+    assert removed == 0  # the first version's files are still in use
+    assert store.books()["trn_accounting"].count() > 0
+
+
+def test_master_change_without_rename_leaves_vouchers_alone(spark, rows, tmp_path):
+    source, store = Source(5), Store(spark, str(tmp_path), parts=4)
+    store.commit(dict(source.books(rows)), {"Last AlterID Master": "1", STATE_TRANSACTION: "1"})
+    before, full = _files(store), source.books(rows)
+    state = {t: scan.versions(full[t]) for t in PRIMARY}
+    changed = full["mst_ledger"].withColumn("alterid", F.col("alterid") + 1000)
+    S.run(store, {**state, "mst_ledger": scan.versions(changed)}, Books(spark, {"mst_ledger": changed}), {"master": 2000, "transaction": 1})
+    after = _files(store)
+    assert {n for (n, k) in after if after[n, k] != before.get((n, k))} <= {t.name for t in tables("master")}
+    assert after["mst_ledger", "-"] != before["mst_ledger", "-"]
+
+
+def test_second_writer_is_refused(spark, rows, tmp_path):
+    store, other = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    base = other.head()
+    ledger = rows("mst_ledger", {"guid": "a", "name": "x"}, incremental=True)
+    store.commit({"mst_ledger": ledger})
+    with pytest.raises(Superseded):
+        other.commit({"mst_ledger": ledger.withColumn("name", F.lit("y"))}, base=base)
+    assert [r.name for r in store.books()["mst_ledger"].collect()] == ["x"]
+    store.commit({"mst_ledger": ledger})
+    assert store.forget(keep=1) == 2  # the refused writer's folder, and the first version's
+
+
 def test_stream_equals_batch(spark, folder, tmp_path):
     """Files landed between runs, in pieces, give what one batch over all of them gives."""
     docs = voucher_documents(spark, folder).withColumns(
