@@ -10,7 +10,7 @@ import pyarrow as pa
 from daybook.llm import textblocks as tb
 
 #: Hashes that a task deals out at once.
-DEAL = 1_000_000
+DEAL = 500_000
 
 
 def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:

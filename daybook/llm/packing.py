@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from daybook.llm import textblocks as tb
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: New words that are encoded at once.
-ENCODE_WORDS = 20_000
+ENCODE_WORDS = 5_000
 _LETTER = tb.byte_class((0x41, 0x5A), (0x61, 0x7A))
 _MARK = np.isin(np.arange(256), np.frombuffer(b".,;:!?*#%$&)", np.uint8))
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

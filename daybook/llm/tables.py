@@ -12,7 +12,7 @@ BROADCAST_ROWS = 200_000
 
 
 #: Rows and bytes of text that pass between Spark and Python at once; documents can be long.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
 
 
 def bounded(spark: SparkSession) -> SparkSession:
