@@ -182,7 +182,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
               for q in (0, 1)]
     rows = (docs.select(F.col("doc_id").cast("long").alias("key"), "text")
             .join(F.broadcast(picked[0].unionByName(picked[1])), "key")  # 3,000 rows at most
-            .select("key", "quality", "text").mapInArrow(_chunks, _SAMPLE).collect())
+            .select("key", "quality", "text").mapInArrow(tb.tidy(_chunks), _SAMPLE).collect())
     rows.sort(key=lambda r: (r.key, r.quality))
     if len({r.quality for r in rows}) < 2:
         return share[1] / (share[0] + share[1])
@@ -202,7 +202,7 @@ def scores(docs: DataFrame, model: Network | float, threshold: float = 0.3) -> D
     an id are not held out; repeated rows are scored alike. Other columns are not looked at.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")
-    found = (slim.mapInArrow(_scorer(model), _SCORES) if isinstance(model, Network)
+    found = (slim.mapInArrow(tb.tidy(_scorer(model)), _SCORES) if isinstance(model, Network)
              else slim.select("doc_id", "held_out", F.lit(float(model)).alias("score")))
     return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
@@ -226,4 +226,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Dat
                 scored = pa.Table.from_batches(scorer(iter([slim])))
                 yield part.filter(pc.greater_equal(scored["score"].combine_chunks(), threshold))
 
-    return docs.mapInArrow(keep, docs.schema).select(*columns)
+    return docs.mapInArrow(tb.tidy(keep), docs.schema).select(*columns)

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm import textblocks as tb
 from daybook.llm.tables import small, stored
 
 #: White space that does not count in comparisons.
@@ -103,7 +104,7 @@ def copies(docs: DataFrame) -> DataFrame:
     ordered = keyed.repartitionByRange(*order).sortWithinPartitions(
         "head", "text_sha256", "content", F.desc("n_points"), F.asc_nulls_last("doc_id"))
     runs = stored(ordered.select("doc_id", "n_points", "text_sha256", "content")
-                  .mapInArrow(_compare, _RUNS), "runs")
+                  .mapInArrow(tb.tidy(_compare), _RUNS), "runs")
 
     best = F.min(F.struct(-F.col("run_points"), F.col("keep_id").isNull(), "keep_id"))
     # at most two runs of a partition touch its ends, so this side has two rows per partition

@@ -200,10 +200,10 @@ def join(docs: DataFrame, size: int = 5, tokens: int = GROUP_TOKENS) -> DataFram
     takes the component of the documents with an equal set, null if none has an id.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = stored(slim.mapInArrow(_profiler(size), _PROFILE), "profiles")
+    profile = stored(slim.mapInArrow(tb.tidy(_profiler(size)), _PROFILE), "profiles")
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    regions = profile.where("n > 0").select("cid", "region").mapInArrow(dealer_of(buckets, FREQUENT), DEALT)
+    regions = profile.where("n > 0").select("cid", "region").mapInArrow(tb.tidy(dealer_of(buckets, FREQUENT)), DEALT)
     shared = regions.groupBy("bucket").applyInArrow(frequencies(buckets, FREQUENT), DEALT)
     modulus = F.pmod(F.col("cid").cast("decimal(20,0)") + F.when(F.col("cid") < 0, F.lit("18446744073709551616").cast("decimal(20,0)"))
                      .otherwise(0), F.lit(buckets)).cast("int")
@@ -218,7 +218,7 @@ def join(docs: DataFrame, size: int = 5, tokens: int = GROUP_TOKENS) -> DataFram
              .where("doc_id is not null").select("doc_id", "cluster"))
     heads = stored(heads, "heads")
     sets = stored(slim.join(small(heads), "doc_id").select("cluster", "doc_id", "text")
-                  .mapInArrow(_setter(size), _SETS), "sets")
+                  .mapInArrow(tb.tidy(_setter(size)), _SETS), "sets")
     comp = components(_links(sets, tokens))
 
     first = profile.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"))

@@ -206,4 +206,4 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = 2048, end: int = 1) -
     where rows repeat or have no id; an empty table gives no pieces. Other columns are ignored.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(_packer(vocabulary, window, end), _PIECES)
+    return slim.mapInArrow(tb.tidy(_packer(vocabulary, window, end)), _PIECES)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm import textblocks as tb
+
 #: Labelled pages that the weights are learned from: those whose ids hash lowest.
 SAMPLE_PAGES = 400
 _TAG = re.compile(
@@ -164,7 +166,7 @@ def fit(pages: DataFrame, known: DataFrame) -> dict[str, float]:
             [pa.array(names, pa.string()), *(pa.array([c[n] for n in names], pa.int64()) for c in (inside, outside))],
             names=["tag", "inside", "outside"])
 
-    found = (rows.select("html", "text").mapInArrow(count, "tag string, inside long, outside long")
+    found = (rows.select("html", "text").mapInArrow(tb.tidy(count), "tag string, inside long, outside long")
              .groupBy("tag").agg(F.sum("inside"), F.sum("outside")).collect())
     return weights(Counter({r[0]: r[1] for r in found}), Counter({r[0]: r[2] for r in found}))
 
@@ -186,5 +188,5 @@ def texts(pages: DataFrame, weight: dict[str, float]) -> DataFrame:
     rows and rows without id are read each for itself; other columns are not looked at.
     """
     slim = pages.select("page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long"))
-    found = slim.mapInArrow(_extractor(weight), "page_id long, url string, text string")
+    found = slim.mapInArrow(tb.tidy(_extractor(weight)), "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

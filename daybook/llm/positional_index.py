@@ -55,7 +55,7 @@ def _build(gap: int) -> Callable:
 def index(docs: DataFrame, gap: int) -> DataFrame:
     """Stores the postings of all words of all documents, one row per block of documents."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(slim.mapInArrow(_build(gap), _INDEX), "postings")
+    return stored(slim.mapInArrow(tb.tidy(_build(gap)), _INDEX), "postings")
 
 
 class Windows:

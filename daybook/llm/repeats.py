@@ -347,9 +347,9 @@ def remove(docs: DataFrame, width: int = 100, with_text: bool = False, frequent:
     buckets = int(conf.get("spark.sql.shuffle.partitions")) * 4
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     slim = slim.withColumn("cid", F.xxhash64("text", F.octet_length("text")))
-    dealt_out = slim.select("cid", "text").mapInArrow(_dealer(buckets, width, frequent), DEALT)
+    dealt_out = slim.select("cid", "text").mapInArrow(tb.tidy(_dealer(buckets, width, frequent)), DEALT)
     shared = dealt_out.groupBy("bucket").applyInArrow(frequencies(buckets, frequent), DEALT)
-    packs = slim.mapInArrow(_packer(buckets), _PACKS)
+    packs = slim.mapInArrow(tb.tidy(_packer(buckets)), _PACKS)
     found = (packs.groupBy("bucket").cogroup(shared.groupBy("bucket"))
              .applyInArrow(_stretches(buckets, width, frequent), _STRETCHES))
     repeats = stored(found.groupBy("bucket").applyInArrow(_sorter(buckets, width), _REPEATS), "repeats")

@@ -150,4 +150,4 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                        spoken.alias("spoken"), "text")
     if model is None:
         return slim.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    return slim.mapInArrow(_predictor(model), _FOUND)
+    return slim.mapInArrow(tb.tidy(_predictor(model)), _FOUND)

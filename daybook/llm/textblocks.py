@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,14 @@ def trim() -> None:
         pass
 
 
+def tidy(operator: Callable) -> Callable:
+    """An operator on a partition's batches that leaves no unused memory behind in its worker."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from operator(batches)
+        trim()
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch into runs of rows of at most ``most`` bytes of text, one row at least."""
     trim()
