@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from daybook.llm import textblocks as tb
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 #: New words that are encoded at once.
 ENCODE_WORDS = 5_000
 _LETTER = tb.byte_class((0x41, 0x5A), (0x61, 0x7A))

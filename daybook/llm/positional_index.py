@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from daybook.llm import textblocks as tb
 from daybook.llm.tables import small, stored
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 512 << 10
 #: Benchmark words that are sent to the executors at once; a larger benchmark goes in several parts.
 PART_WORDS = 2_000_000
 _INDEX = "ids binary, nulls binary, lengths binary, terms binary, counts binary, positions binary"

@@ -30,7 +30,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: a cut that survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    # the default codec keeps buffers of the size of a page outside the heap, and packed rows are large
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
