@@ -99,26 +99,28 @@ def _rows(texts: list[bytes]) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> Model | None:
-    """Learns from documents with a language that are not held out; None if there are none.
+    """Learns from documents with an id and a language that are not held out; None if there are none.
 
     Of each language the ``SAMPLE_DOCS`` texts with the lowest hashed ids, read to ``SAMPLE_BYTES``
     bytes, are learned from; the first ``LANDMARKS`` of them are the landmarks.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()
                        & F.col("text").rlike(r"\p{L}"))
     langs = [r[0] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
              .limit(LANGUAGES).collect()]
     if not langs:
         return None
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    # the sample keys pass a heap of bounded size per task; texts are cut before they travel
+    # first the keys alone, then the texts of those: what meets in one task is a few numbers a row
     picked = None
     for lang in langs:
-        part = (known.where(F.col("lang") == lang)
-                .select(order.alias("h"), "doc_id", "lang", F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("t"))
-                .orderBy("h", "doc_id").limit(SAMPLE_DOCS))
+        part = (known.where(F.col("lang") == lang).select("doc_id", "lang").distinct()
+                .orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE_DOCS))
         picked = part if picked is None else picked.unionByName(part)
-    rows = sorted(picked.collect(), key=lambda r: (r.lang, r.h, str(r.doc_id)))
+    # SAMPLE_DOCS rows a language at most
+    rows = (known.join(F.broadcast(picked), ["doc_id", "lang"])
+            .select("doc_id", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("h"),
+                    F.substring(F.col("text").cast("binary"), 1, SAMPLE_BYTES).alias("t")).collect())
+    rows.sort(key=lambda r: (r.lang, r.h, r.doc_id, bytes(r.t)))
     return Model([bytes(r.t) for r in rows], [r.lang for r in rows])
 
 
