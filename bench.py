@@ -29,7 +29,7 @@ def ingest_queries(spark, folder: str) -> dict:
     """Flattening of voucher documents that have landed as Parquet; landing is not timed."""
     from daybook.plans.ingest import flatten
     from daybook.session import scratch
-    from daybook.sources import testbed_documents as docs
+    from checks import testbed_documents as docs
 
     landed = scratch(spark, "documents")
     docs.voucher_documents(spark, folder).write.parquet(f"{landed}/vouchers")
@@ -47,7 +47,7 @@ def report_queries(spark, folder: str, registered: dict) -> dict:
     from daybook.plans.books import open_books
     from daybook.plans.sinks import load
     from daybook.session import scratch
-    from daybook.sources.testbed import testbed
+    from checks.testbed import testbed
 
     path, books = scratch(spark, "books"), testbed(spark, folder)
     load(books, path)

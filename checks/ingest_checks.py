@@ -9,8 +9,8 @@ from daybook.functions import decode as D
 from daybook.functions import fields as E
 from daybook.operators.reshape import explode_path
 from daybook.plans import ingest as I
-from daybook.sources import testbed_documents as docs
-from daybook.sources.testbed import Testbed
+from checks import testbed_documents as docs
+from checks.testbed import Testbed
 
 
 def _flat(build, table, **kw):

@@ -13,8 +13,9 @@ from daybook.plans import store as st
 from daybook.plans.books import Books, conform
 from daybook.schema import TABLES
 from daybook.session import scratch
-from daybook.sources import delimited, scan, testbed_documents, xml
-from daybook.sources.testbed import Testbed, testbed
+from checks import testbed_documents
+from daybook.sources import delimited, scan, xml
+from checks.testbed import Testbed, testbed
 from daybook.streaming import continuous
 
 FROM, TO = "1998-04-01", "1999-03-31"

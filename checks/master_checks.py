@@ -14,7 +14,7 @@ from daybook.plans.definitions import source
 from daybook.schema import TABLES
 from daybook.session import scratch
 from daybook.sources import delimited
-from daybook.sources.testbed import testbed
+from checks.testbed import testbed
 
 
 def _yes(condition: str) -> tuple[str, str]:

@@ -11,8 +11,8 @@ from daybook.plans.ingest import with_master_guids
 from daybook.plans.sinks import STATE_TRANSACTION
 from daybook.schema import TABLES
 from daybook.sources import scan
-from daybook.sources.testbed import Testbed
-from daybook.sources.testbed_changes import two_states
+from checks.testbed import Testbed
+from checks.testbed_changes import two_states
 
 
 def _states(fn):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.books import Books, conform
-from daybook.sources.testbed import Testbed
+from checks.testbed import Testbed
 
 SUFFIX = " Ltd"
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.sources.testbed import Testbed
+from checks.testbed import Testbed
 
 
 def _struct(**fields: Column | str) -> Column:

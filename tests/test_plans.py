@@ -6,7 +6,7 @@ from checks import registry
 from daybook.plans import reports as R
 from daybook.plans.books import open_books
 from daybook.plans.sinks import load
-from daybook.sources.testbed import testbed
+from checks.testbed import testbed
 
 LAZY = [q for q in sorted(registry.queries()) if q[0] in "rvqnte" or q.startswith("c_")]
 
@@ -57,7 +57,7 @@ def test_bills_need_one_grouping_and_no_bill_join(stored):
 def test_nested_columns_are_pruned(spark, folder, tmp_path):
     """A table stored as documents is read only where the flat table needs it."""
     from daybook.plans.ingest import flatten
-    from daybook.sources.testbed_documents import voucher_documents
+    from checks.testbed_documents import voucher_documents
     voucher_documents(spark, folder).write.parquet(str(tmp_path / "docs"))
     flat = flatten(spark.read.parquet(str(tmp_path / "docs")), "trn_attendance")
     schema = plan(flat).split("ReadSchema:")[1]

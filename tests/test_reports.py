@@ -10,7 +10,7 @@ from daybook.operators import calendar, hierarchy
 from daybook.plans import reports as R
 from daybook.plans.books import Books
 from daybook.schema import TABLES
-from daybook.sources.testbed import testbed
+from checks.testbed import testbed
 
 FROM, TO = "1998-04-01", "1999-03-31"
 

@@ -154,7 +154,7 @@ def test_relational_sink_options():
 def test_bucketed_tables_join_without_shuffle(spark, folder, tmp_path):
     from daybook.plans.books import Books
     from daybook.plans.reports import accounting_effects
-    from daybook.sources.testbed import testbed
+    from checks.testbed import testbed
     bed = testbed(spark, folder)
     books = Books(spark, {n: bed[n] for n in ("trn_voucher", "trn_accounting")})
     sinks.save_bucketed(books, str(tmp_path / "b"), buckets=4)

@@ -11,7 +11,7 @@ from daybook.plans.sinks import STATE_TRANSACTION
 from daybook.plans.store import Store, Superseded
 from daybook.schema import tables
 from daybook.sources import scan
-from daybook.sources.testbed_documents import voucher_documents
+from checks.testbed_documents import voucher_documents
 from daybook.streaming import continuous
 
 
