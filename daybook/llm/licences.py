@@ -1,8 +1,9 @@
 """Licence scan: notices by TF-IDF cosine to templates, directories by inheritance.
 
-Every line of a file that speaks of a licence, and the file as a whole, is a sparse TF-IDF vector;
-its cosine to each template is a sum over the terms that both have, joined with the small table of
-template terms. A file that consists of a notice for the most part is the licence file of its
+Every line of a file that speaks of a licence, every paragraph or comment block of several lines that
+does, and the file as a whole, is a sparse TF-IDF vector; its cosine to each template (notices,
+headers and full licence texts) is a sum over the terms that both have, joined with the small table
+of template terms. A file that consists of a notice for the most part is the licence file of its
 directory. A file without a notice of its own takes the licence of its nearest directory upwards
 that has one, found by joins of the paths' prefixes.
 
@@ -14,6 +15,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,52 +39,109 @@ TEMPLATES = [
             "documentation files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
+_GNU = ("This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by the "
+        "Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+#: Headers that are too close to one of the above to go without a template of their own.
+HEADERS = [
+    ("AGPL-3.0", _GNU.format("program", "Affero General Public License", 3)),
+    ("GPL-2.0", _GNU.format("program", "General Public License", 2)),
+    ("LGPL-2.1", _GNU.format("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("library", "Lesser General Public License", 3)),
+]
 #: Lines and files without any of this hold no notice.
 NOTICE = "(?i)licen[cs]e|copyright|permission|redistribution|spdx"
 #: Cosine from which on a line is a notice, and share of a file's words in notices that makes it a licence file.
 SIMILAR, WHOLE = 0.8, 0.5
+#: Starts of comment lines; a paragraph ends where comments begin or end.
+_MARK = r"[ \t]*(?://|#|--|;|%)"
+#: Where a paragraph ends without an empty line: pattern and what is put in its place.
+_BREAKS = [
+    (r"(?md)^[^\p{L}\p{N}\n]+$", ""),  # nothing but marks
+    (r"(?md)^(?=[ \t]*(?:/\*|<!--|\"{3}|'{3}))", "\n"),
+    (r"(?md)(\*/|-->|\"{3}|'{3})[ \t\r]*$", "$1\n"),
+    (rf"(?md)^({_MARK}.*)\n(?!{_MARK})", "$1\n\n"),
+    (rf"(?md)^((?!{_MARK}).*)\n(?={_MARK})", "$1\n\n"),
+    (r"(?md)^(?=[^\p{L}\p{N}\n]*(?:[0-9]{1,2}|[a-z])[.)][ \t])", "\n"),  # items of a list
+    (r"(?mdi)^([^\p{L}\p{N}\n]*(?:copyright|c\))(?!.*(?:licen|permi|redis)).*)$", "$1\n"),
+]
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _vectors(templates) -> tuple[list[tuple], float, list[float]]:
-    """Rows (term, idf, weight in each template), the idf of other terms, and the templates' norms."""
-    counts = [Counter(re.findall("[a-z0-9]+", text.lower())) for _, text in templates]
-    df = Counter(t for c in counts for t in c)
-    idf = {t: math.log((1 + len(counts)) / (1 + n)) + 1 for t, n in df.items()}
+@cache
+def full_texts() -> list[tuple[str, str]]:
+    """Headers, full licence texts, and the paragraph of short ones that states the permission."""
+    texts = [(f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+    grants = [(name, p) for name, text in texts if name == "MIT"
+              for p in re.split(r"\n\s*\n", text) if p.startswith("Permission")]
+    return HEADERS + grants + texts
+
+
+def _vectors(templates, full) -> tuple[list[tuple], float, list[float]]:
+    """Rows (term, idf, weight in each template), the idf of other terms, and the templates' norms.
+
+    The idf is that among ``templates``; terms that only ``full`` has are other terms.
+    """
+    counts = [Counter(re.findall("[a-z0-9]+", text.lower())) for _, text in [*templates, *full]]
+    df = Counter(t for c in counts[:len(templates)] for t in c)
+    other = math.log(1 + len(templates)) + 1
+    idf = {t: math.log((1 + len(templates)) / (1 + df[t])) + 1 if t in df else other for c in counts for t in c}
     rows = [(t, idf[t], *[float(c[t] * idf[t]) for c in counts]) for t in sorted(idf)]
     norms = [math.sqrt(sum((n * idf[t]) ** 2 for t, n in c.items())) for c in counts]
-    return rows, math.log(1 + len(counts)) + 1, norms
+    return rows, other, norms
+
+
+def _blocks(text):
+    """The paragraphs and comment blocks of a text: runs of lines with words."""
+    for pattern, new in _BREAKS:
+        text = F.regexp_replace(text, F.lit(pattern), F.lit(new))
+    return F.split(text, "\n{2,}")
 
 
-def notices(files: DataFrame, templates=TEMPLATES) -> DataFrame:
+def notices(files: DataFrame, templates=TEMPLATES, full=None) -> DataFrame:
     """(path, h, licence, score, whole) of files with a notice.
 
-    ``files`` has path, text and h, a hash that tells texts of one path apart. The best line counts;
-    equal scores go to the licence first by name.
+    ``files`` has path, text and h, a hash that tells texts of one path apart. The best of a file's
+    lines, blocks of lines and the file as a whole counts; equal scores go to the licence first by
+    name. ``whole`` are files that are close to a template as a whole or have most of their words in
+    close lines and blocks. ``full`` are longer templates, by default ``full_texts()``.
     """
-    rows, other, norms = _vectors(templates)
+    full = full_texts() if full is None else full
+    rows, other, norms = _vectors(templates, full)
+    names = [name for name, _ in [*templates, *full]]
     spark = files.sparkSession
-    schema = "term string, idf double, " + ", ".join(f"w{k} double" for k in range(len(templates)))
-    terms = F.broadcast(spark.createDataFrame(rows, schema))  # the words of the templates, a few dozen rows
+    schema = "term string, idf double, " + ", ".join(f"w{k} double" for k in range(len(names)))
+    terms = F.broadcast(spark.createDataFrame(rows, schema))  # the words of the templates, a few thousand rows
     hits = files.where(F.col("text").rlike(NOTICE))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NOTICE))
-    units = (hits.select("path", "h", F.posexplode(lines).alias("unit", "line"))
-             .unionByName(hits.select("path", "h", F.lit(-1).alias("unit"), F.col("text").alias("line"))))
+    speaks = lambda x: x.rlike(NOTICE)
+    blocks = hits.select("path", "h", F.posexplode(F.filter(_blocks(F.col("text")), speaks)).alias("block", "body"))
+    # unit -1 is a block, or with block -1 the file, as a whole
+    lines = F.transform(F.filter(F.split("body", "\n"), speaks), lambda x, k: F.struct(k.alias("unit"), x.alias("line")))
+    whole = F.array(F.struct(F.lit(-1).alias("unit"), F.col("body").alias("line")))
+    units = (blocks.select("path", "h", "block", F.inline(
+                F.when(F.col("body").contains("\n"), F.concat(lines, whole)).otherwise(lines)))
+             .unionByName(hits.select("path", "h", F.lit(-1).alias("block"), F.lit(-1).alias("unit"), F.col("text").alias("line"))))
     words = F.split(F.translate("line", _UPPER, _LOWER), "[^a-z0-9]+")
-    tf = (units.select("path", "h", "unit", F.explode(words).alias("term")).where("term <> ''")
-          .groupBy("path", "h", "unit", "term").agg(F.count("*").alias("n")).join(terms, "term", "left"))
+    key = ["path", "h", "block", "unit"]
+    tf = (units.select(*key, F.explode(words).alias("term")).where("term <> ''")
+          .groupBy(*key, "term").agg(F.count("*").alias("n")).join(terms, "term", "left"))
     weight = F.col("n") * F.coalesce("idf", F.lit(other))
-    sums = tf.groupBy("path", "h", "unit").agg(
+    sums = tf.groupBy(*key).agg(
         F.sum("n").alias("words"), F.sqrt(F.sum(weight * weight)).alias("norm"),
-        *[F.coalesce(F.sum(weight * F.col(f"w{k}")), F.lit(0.0)).alias(f"d{k}") for k in range(len(templates))])
+        *[F.coalesce(F.sum(weight * F.col(f"w{k}")), F.lit(0.0)).alias(f"d{k}") for k in range(len(names))])
     scored = [F.struct((-F.round(F.col(f"d{k}") / (F.col("norm") * norms[k]), 6)).alias("low"), F.lit(name).alias("licence"))
-              for k, (name, _) in enumerate(templates)]
-    best = sums.select("path", "h", "unit", "words", F.array_min(F.array(*scored)).alias("best"))
+              for k, name in enumerate(names)]
+    best = sums.select(*key, "words", F.array_min(F.array(*scored)).alias("best"))
     close = F.col("best.low") <= -SIMILAR
-    return (best.groupBy("path", "h").agg(
+    count = F.when(close, F.col("words")).otherwise(0)
+    # of a block that is close all words count, of others those of the lines that are
+    of_blocks = best.groupBy("path", "h", "block").agg(
         F.min(F.when(close, F.col("best"))).alias("best"),
-        F.sum(F.when(close & (F.col("unit") >= 0), F.col("words")).otherwise(0)).alias("noticed"),
-        F.max(F.when(F.col("unit") == -1, F.col("words"))).alias("words"))
+        F.greatest(F.sum(F.when(F.col("unit") >= 0, count).otherwise(0)),
+                   F.max(F.when(F.col("unit") < 0, count).otherwise(0))).alias("noticed"),
+        F.max(F.when(F.col("unit") < 0, F.col("words"))).alias("words"))
+    return (of_blocks.groupBy("path", "h").agg(
+        F.min("best").alias("best"), F.sum("noticed").alias("noticed"),
+        F.max(F.when(F.col("block") < 0, F.col("words"))).alias("words"))
         .where("best is not null")
         .select("path", "h", F.col("best.licence").alias("licence"), (-F.col("best.low")).alias("score"),
                 (F.col("noticed") >= WHOLE * F.col("words")).alias("whole")))
@@ -109,7 +169,7 @@ def inherited(directories: DataFrame, licensed: DataFrame) -> DataFrame:
             .select("directory", "near.licence", "near.licence_dir"))
 
 
-def scan(files: DataFrame, templates=TEMPLATES) -> DataFrame:
+def scan(files: DataFrame, templates=TEMPLATES, full=None) -> DataFrame:
     """One row per row of ``files`` (path, text, and columns that are kept): with licence, origin, score and licence_dir.
 
     origin is ``notice`` (score tells how close), ``directory`` (licence_dir tells which) or null.
@@ -120,7 +180,7 @@ def scan(files: DataFrame, templates=TEMPLATES) -> DataFrame:
     base = files.select(F.struct(*kept).alias("kept") if kept else F.lit(None).alias("kept"),
                         F.coalesce("path", F.lit("")).alias("path"), F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumn("h", F.xxhash64("text"))
-    found = notices(base.select("path", "h", "text"), templates)
+    found = notices(base.select("path", "h", "text"), templates, full)
     licensed = found.where("whole").select(_directory(F.col("path")).alias("directory"), "licence")
     slim = base.select("kept", "path", "h").withColumn("directory", _directory(F.col("path")))
     near = inherited(slim.select("directory"), licensed).withColumnRenamed("licence", "near")

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import textwrap
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -221,6 +223,27 @@ def test_licences(spark, nothing):
     assert licences.scan(files.limit(0)).count() == 0
 
 
+def test_wrapped_licences_and_full_texts(spark):
+    wrap = lambda text, mark: "\n".join(textwrap.wrap(text, 60, initial_indent=mark, subsequent_indent=mark))
+    gpl, bsd = (next(t for n, t in reversed(licences.TEMPLATES) if n == k) for k in ("GPL-3.0", "BSD-3-Clause"))
+    code = "import os\n" + "\n".join(f"value{i} = os.path.join(root, 'n{i}')" for i in range(80))
+    full = dict(t for t in licences.full_texts() if len(t[1]) > 700)
+    files = {"/g/x.py": wrap(gpl, "# ") + "\n" + code, "/b/x.c": "/*\n" + wrap(bsd, " * ") + "\n */\n" + code,
+             "/c/x.c": "/* Copyright 2001 A. Person */\n" + wrap(bsd, "// ") + "\n" + code,
+             "/w/NOTE": wrap(bsd, ""), "/w/x.py": code, "/no/x.py": code + "\n# no licence here\n",
+             "/agpl/x.py": wrap(dict(licences.HEADERS)["AGPL-3.0"], "# ") + "\n" + code,
+             "/blank/x.py": "\n" * 50000 + wrap(gpl, "# ") + "\n" * 50000 + code}
+    files |= {f"/full/{k}/COPYING": "Copyright (c) 2020 A. Person\n\n" + v for k, v in full.items()}
+    files |= {f"/full/{k}/x.py": code for k in full}
+    rows = {r.path: (r.licence, r.origin) for r in licences.scan(
+        spark.createDataFrame(list(files.items()), "path string, text string")).collect()}
+    want = {"/g/x.py": ("GPL-3.0", "notice"), "/b/x.c": ("BSD-3-Clause", "notice"), "/c/x.c": ("BSD-3-Clause", "notice"),
+            "/w/NOTE": ("BSD-3-Clause", "notice"), "/w/x.py": ("BSD-3-Clause", "directory"), "/no/x.py": (None, None),
+            "/agpl/x.py": ("AGPL-3.0", "notice"), "/blank/x.py": ("GPL-3.0", "notice")}
+    want |= {f"/full/{k}/COPYING": (k, "notice") for k in full} | {f"/full/{k}/x.py": (k, "directory") for k in full}
+    assert rows == want
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 3), (5, 5), (101, 100)]
     found = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
