@@ -8,8 +8,9 @@ array is built by two-stage sorting, and adjacent common prefixes of ``width`` b
 which windows are equal; the earliest of them stays.
 
 Equal texts are one class, known by a 64-bit hash, and enter once, as the copy with the smallest
-id; equal stretches of one anchor enter the suffix array once, too. An anchor in very many texts is
-dealt out by longer strings around it. No row of the documents is sent to a place by source or
+id; equal stretches of one anchor enter the suffix array once, too. The windows of an anchor in very
+many texts are dealt out one by one: first their hashes, then of those that repeat the text, once a
+task, so that what meets of one window does not grow with the texts that hold it. No row of the documents is sent to a place by source or
 language, and none is gathered.
 """
 
@@ -26,13 +27,12 @@ from pyspark.sql import functions as F
 
 from daybook.llm import suffix_sort
 from daybook.llm import textblocks as tb
-from daybook.llm.dealing import DEALT, dealer_of, dealt, flat, frequencies, numbers, packed
+from daybook.llm.dealing import DEALT, deal, dealer_of, dealt, flat, frequencies, numbers, packed
 from daybook.llm.tables import stored
 
 GRAM = 50
-#: Texts with one anchor from which on the anchor is dealt out by longer strings.
+#: Texts with one anchor from which on its windows are dealt out one by one.
 FREQUENT = 4096
-PIECES = 4
 BLOCK_BYTES = 1 << 20
 PACK_BYTES = 4 << 20
 #: Bytes of text of one suffix array.
@@ -163,6 +163,64 @@ def _unpacked(table: pa.Table):
     return cid[pick], ids[pick], offsets, data[tb.ranges(start[pick], n[pick])]
 
 
+def _each_window(a: Anchors, text, first, last, width: int):
+    """Hash, text and start of each window of some stretches."""
+    n = last - first + 1
+    start = tb.ranges(first, n)
+    return a.string(start, width), np.repeat(text, n), start
+
+
+def _blocks_of(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``BLOCK_BYTES``."""
+    texts = len(offsets) - 1
+    block = np.searchsorted(offsets, np.arange(0, offsets[-1] + BLOCK_BYTES, BLOCK_BYTES), "left")
+    for lo, hi in zip(block[:-1].tolist(), block[1:].tolist()):
+        if lo < min(hi, texts):
+            yield lo, min(hi, texts)
+
+
+def _windows(buckets: int, width: int, frequent: int) -> Callable:
+    """The windows of frequent anchors by hash and class, dealt out by hash.
+
+    Two classes of a task and hash are enough to count; more than two are known to repeat.
+    """
+    def windows(key, packs: pa.Table, shared: pa.Table) -> pa.Table:
+        none = dealt(*(np.zeros(0, k) for k in (np.int64, np.uint64, np.uint64, np.int64)))
+        if not packs.num_rows or not shared.num_rows:
+            return pa.Table.from_batches([none])
+        hashes, owner, df = flat(shared)
+        hot = df >= frequent
+        frequents = np.unique(hashes[hot])
+        if not len(frequents):
+            return pa.Table.from_batches([none])
+        cid, _, offsets, data = _unpacked(packs)
+        own = np.flatnonzero(np.isin(cid, np.unique(owner[hot]).view(np.int64)))
+        n = np.diff(offsets)[own]
+        data, cid, offsets = data[tb.ranges(offsets[own], n)], cid[own], np.concatenate([[0], np.cumsum(n)])
+        held: dict[int, np.ndarray] = {}
+        twice = []
+        for lo, hi in _blocks_of(offsets):
+            a = Anchors(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], width)
+            keep = np.isin(a.hash, frequents)
+            if not keep.any():
+                continue
+            h, text, _ = _each_window(a, a.text[keep], a.first[keep], a.last[keep], width)
+            order = np.lexsort((h, text))
+            h, text = h[order], text[order] + lo
+            fresh = np.ones(len(h), bool)
+            fresh[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+            twice.append((h[~fresh], cid[text[~fresh]].view(np.uint64)))
+            h, text = h[fresh], text[fresh]
+            cuts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+            held.update(zip(cid[text[cuts]].tolist(), np.split(h, cuts[1:])))
+        if not held:
+            return pa.Table.from_batches([none])
+        h, c = (np.concatenate(x) for x in zip(*twice))
+        return pa.Table.from_batches([deal(held, buckets, 2), dealt(
+            -1 - (c % tb.U64(buckets)).astype(np.int64), h, c, np.full(len(h), 2))])
+    return windows
+
+
 _STRETCHES = "bucket int, keys binary, cids binary, ids binary, starts binary, counts binary, texts binary"
 
 
@@ -176,15 +234,16 @@ def _stretches(buckets: int, width: int, frequent: int) -> Callable:
                          for i, f in enumerate(_STRETCHES.split(", "))})
 
     def cut(cid, ids, offsets, data, hashes, owner, df):
+        single = df < 0  # windows of frequent anchors
+        again = np.unique(hashes[single])
+        hashes, df = hashes[~single], df[~single]
+        if not len(hashes):
+            return
         repeated, at = np.unique(hashes, return_inverse=True)
         top = np.zeros(len(repeated), np.int64)
         np.maximum.at(top, at, df)
-        block = np.searchsorted(offsets, np.arange(0, offsets[-1] + BLOCK_BYTES, BLOCK_BYTES), "left")
         found = []
-        for lo, hi in zip(block[:-1].tolist(), block[1:].tolist()):
-            if lo >= min(hi, len(cid)):
-                continue
-            hi = min(hi, len(cid))
+        for lo, hi in _blocks_of(offsets):
             part, base = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             a = Anchors(part, base, width)
             place = np.minimum(np.searchsorted(repeated, a.hash), len(repeated) - 1)
@@ -192,7 +251,7 @@ def _stretches(buckets: int, width: int, frequent: int) -> Callable:
             key, text, first, last = a.hash[keep], a.text[keep], a.first[keep], a.last[keep]
             hot = top[place[keep]] >= frequent
             if hot.any():
-                key, text, first, last = split(a, key, text, first, last, a.place[keep], hot)
+                key, text, first, last = split(a, key, text, first, last, hot, again)
             found.append((key, text + lo, first + offsets[lo], last - first + 1))
         key, text, first, count = (np.concatenate(x) for x in zip(*found))
         length = count + width - 1
@@ -209,6 +268,14 @@ def _stretches(buckets: int, width: int, frequent: int) -> Callable:
         go, stay = order[fresh], order[~fresh]
         press = zstandard.ZstdCompressor(level=3)
         start = first - offsets[text]
+        # windows that stand next to each other in one text go on as one run
+        stay = stay[np.lexsort((start[stay], text[stay]))]
+        if len(stay):
+            run = np.concatenate([[True], (text[stay][1:] != text[stay][:-1])
+                                  | (start[stay][1:] != start[stay][:-1] + count[stay][:-1])])
+            total = np.add.reduceat(count[stay], np.flatnonzero(run))
+            stay = stay[run]
+            count[stay] = total
         for rows, b, send in ((go, (key[go] % tb.U64(buckets)).astype(np.int64), True),
                               (stay, -1 - (cid[text[stay]].view(np.uint64) % tb.U64(buckets)).astype(np.int64), False)):
             by = np.argsort(b, kind="stable")
@@ -219,17 +286,13 @@ def _stretches(buckets: int, width: int, frequent: int) -> Callable:
                 yield (number, key[own].tobytes() if send else b"", cid[text[own]].tobytes(), ids[text[own]].tobytes(),
                        start[own].tobytes(), count[own].tobytes(), raw)
 
-    def split(a: Anchors, key, text, first, last, place, hot):
-        """Windows of frequent anchors in pieces, each known by the string that its windows share."""
-        out = [(key[~hot], text[~hot], first[~hot], last[~hot])]
-        bounds = np.linspace(0, width - GRAM + 1, PIECES + 1).astype(int)
-        for low, high in zip(bounds[:-1], bounds[1:] - 1):  # distance from a window's start to its anchor
-            p = np.maximum(first[hot], place[hot] - high)
-            q = np.minimum(last[hot], place[hot] - low)
-            some = p <= q
-            shared = a.string(place[hot][some] - low, width + low - high)
-            out.append((shared, text[hot][some], p[some], q[some]))
-        return tuple(np.concatenate(x) for x in zip(*out))
+    def split(a: Anchors, key, text, first, last, hot, again):
+        """Stretches of frequent anchors cut into the windows that repeat, each known by its own hash."""
+        h, t, start = _each_window(a, text[hot], first[hot], last[hot], width)
+        some = np.isin(h, again)
+        h, t, start = h[some], t[some], start[some]
+        return (np.concatenate([key[~hot], h]), np.concatenate([text[~hot], t]),
+                np.concatenate([first[~hot], start]), np.concatenate([last[~hot], start]))
 
     return stretches
 
@@ -334,6 +397,19 @@ def _cleaner(width: int, with_text: bool = False) -> Callable:
     return cleaner
 
 
+def _found(slim: DataFrame, buckets: int, width: int, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """The texts packed by class, and the stretches that can repeat."""
+    dealt_out = slim.select("cid", "text").mapInArrow(tb.tidy(_dealer(buckets, width, frequent)), DEALT)
+    shared = dealt_out.groupBy("bucket").applyInArrow(frequencies(buckets, frequent), DEALT)
+    packs = slim.mapInArrow(tb.tidy(_packer(buckets)), _PACKS)
+    single = (packs.groupBy("bucket").cogroup(shared.groupBy("bucket"))
+              .applyInArrow(_windows(buckets, width, frequent), DEALT)
+              .groupBy("bucket").applyInArrow(frequencies(buckets, 2), DEALT).withColumn("df", -F.col("df")))
+    found = (packs.groupBy("bucket").cogroup(shared.unionByName(single).groupBy("bucket"))
+             .applyInArrow(_stretches(buckets, width, frequent), _STRETCHES))
+    return packs, found
+
+
 def remove(docs: DataFrame, width: int = 100, with_text: bool = False, frequent: int = FREQUENT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left).
 
@@ -347,11 +423,7 @@ def remove(docs: DataFrame, width: int = 100, with_text: bool = False, frequent:
     buckets = int(conf.get("spark.sql.shuffle.partitions")) * 4
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     slim = slim.withColumn("cid", F.xxhash64("text", F.octet_length("text")))
-    dealt_out = slim.select("cid", "text").mapInArrow(tb.tidy(_dealer(buckets, width, frequent)), DEALT)
-    shared = dealt_out.groupBy("bucket").applyInArrow(frequencies(buckets, frequent), DEALT)
-    packs = slim.mapInArrow(tb.tidy(_packer(buckets)), _PACKS)
-    found = (packs.groupBy("bucket").cogroup(shared.groupBy("bucket"))
-             .applyInArrow(_stretches(buckets, width, frequent), _STRETCHES))
+    packs, found = _found(slim, buckets, width, frequent)
     repeats = stored(found.groupBy("bucket").applyInArrow(_sorter(buckets, width), _REPEATS), "repeats")
     schema = _CLASSES + (", kept binary" if with_text else "")
     classes = stored(packs.groupBy("bucket").cogroup(repeats.groupBy("bucket"))

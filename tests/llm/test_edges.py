@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from daybook.llm import (byte_convnet, content_sort, licences, ngram_join, packing, page_text, positional_index,
                          repeats, signature_tree, string_kernel, suffix_sort, textblocks, url_reputation)
@@ -98,6 +99,23 @@ def test_repeats_of_frequent_strings(spark):
         assert all(len(x.kept) == x.n_bytes - x.n_removed for x in rows)
 
 
+def test_edges_of_frequent_strings_do_not_meet(spark):
+    r = np.random.default_rng(3)
+    text = lambda n: "".join(r.choice(list("abcdefgh "), n))
+    passage, width, buckets = text(130), 100, 8
+    df = spark.createDataFrame([(i, text(150) + passage + text(150)) for i in range(600)], "doc_id long, text string")
+    slim = df.withColumn("cid", F.xxhash64("text", F.octet_length("text"))).repartition(3)
+    _, found = repeats._found(slim, buckets, width, 64)
+    held = {}
+    for row in found.where("bucket >= 0").collect():
+        for k, n in zip(np.frombuffer(row["keys"], np.uint64).tolist(), np.frombuffer(row["counts"], np.int64).tolist()):
+            held[k] = held.get(k, 0) + n + width - 1
+    # of a frequent anchor's windows one a bucket, of others fewer than 64 stretches
+    assert len(held) >= 31 and max(held.values()) <= max(buckets * width, 64 * 2 * width)
+    rows = repeats.remove(df, frequent=64).collect()
+    assert {x.doc_id: tuple(x)[1:] for x in rows} == repeated({x.doc_id: x.text for x in df.collect()})
+
+
 def test_decontamination(awkward, nothing, bench):
     rows = positional_index.matches(awkward, bench).collect()
     r = one(rows)
