@@ -141,18 +141,38 @@ class Postings:
         return (self.keys[at] == key) & (position >= 0)
 
     def _near(self, window, ids, slack):
-        n = self.counts[ids[:, 0]] if len(window) else np.zeros(0, np.int64)
-        row = np.repeat(np.arange(len(window)), n)
-        start = self.positions[tb.ranges(self.first[ids[:, 0]], n)] if len(window) else np.zeros(0, np.int64)
+        """All reachable places of a window's words, spread in both directions from its rarest word."""
+        rows, size = np.arange(len(window)), ids.shape[1]
+        rare = self.counts[ids].argmin(axis=1) if len(window) else np.zeros(0, np.int64)
+        n = self.counts[ids[rows, rare]] if len(window) else np.zeros(0, np.int64)
+        row = np.repeat(rows, n)
+        start = self.positions[tb.ranges(self.first[ids[rows, rare]], n)] if len(window) else np.zeros(0, np.int64)
         end = start
-        for k in range(1, ids.shape[1]):
-            key = (ids[row, k] << 33) | (end + 1)
-            at = np.searchsorted(self.keys, key)
-            found = self.keys[np.minimum(at, len(self.keys) - 1)]
-            keep = (at < len(self.keys)) & (found - key <= slack) & (found >= key)
-            row, start, end = row[keep], start[keep], (found & ((1 << 33) - 1))[keep]
+        for k in range(1, size):  # the words after the rarest, then those before it
+            go = rare[row] + k < size
+            on = self._within(ids[row[go], rare[row[go]] + k], end[go] + 1, end[go] + 1 + slack)
+            row, start, end = self._distinct(row, start, end, go, on, forward=True)
+        for k in range(1, size):
+            go = rare[row] - k >= 0
+            on = self._within(ids[row[go], rare[row[go]] - k], start[go] - 1 - slack, start[go] - 1)
+            row, start, end = self._distinct(row, start, end, go, on, forward=False)
         return window[row], start, end
 
+    def _within(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of terms from ``low`` to ``high``, and how many each has."""
+        first = np.searchsorted(self.keys, (term << 33) | np.maximum(low, 0))
+        n = np.where(high >= 0, np.searchsorted(self.keys, (term << 33) | np.maximum(high, 0), "right") - first, 0)
+        return self.positions[tb.ranges(first, n)], n
+
+    @staticmethod
+    def _distinct(row, start, end, go, on, forward: bool):
+        """The rows not to ``go`` further and the others moved to the places ``on``, each once."""
+        place, n = on
+        moved = [np.repeat(x[go], n) for x in (row, start, end)]
+        moved[2 if forward else 1] = place
+        found = np.stack([np.concatenate([x[~go], y]) for x, y in zip((row, start, end), moved)], 1)
+        return tuple(np.unique(found, axis=0).T) if len(found) else (found[:, 0],) * 3
+
 
 def _answer(parts: list[Windows], gap: int, slack: int) -> Callable:
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

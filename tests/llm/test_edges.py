@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import itertools
 import textwrap
 
 import numpy as np
@@ -136,6 +137,22 @@ def test_proximity(spark):
     assert hits == {1: [(0, 3)], 2: [], 3: [(0, 1)], 4: []}
 
 
+def test_proximity_of_repeated_words(spark):
+    r = np.random.default_rng(4)
+    texts = ["a b b x c", *(" ".join(r.choice(list("abcdx"), int(r.integers(0, 14)))) for _ in range(60))]
+    windows = [("a", "b", "c"), ("b", "a", "b"), ("d", "c", "a"), ("a", "a", "d")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(windows)], "item_id long, text string")
+    for slack in (1, 3):
+        for row in positional_index.matches(docs, bench, slack=slack).collect():
+            words = texts[row.doc_id].split()
+            hits = {(i, p) for i, w in enumerate(windows) for p in itertools.combinations(range(len(words)), 3)
+                    if all(words[a] == b for a, b in zip(p, w)) and all(b - a - 1 <= slack for a, b in zip(p, p[1:]))}
+            assert row["items"] == sorted({str(i) for i, _ in hits})
+            covered = {x for _, p in hits for x in range(p[0], p[-1] + 1)}
+            assert {x for s in row.spans for x in range(s["first"], s["last"] + 1)} == covered
+
+
 def test_benchmark_in_parts(awkward, bench, monkeypatch):
     whole = sorted(map(str, positional_index.matches(awkward, bench).collect()))
     monkeypatch.setattr(positional_index, "PART_WORDS", 1)
