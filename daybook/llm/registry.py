@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daybook.llm import (byte_convnet, content_sort, licences, ngram_join, packing, page_text, positional_index,
-                         repeats, string_kernel, url_reputation)
+from daybook.llm import (byte_convnet, content_sort, doubling, licences, ngram_join, packing, page_text, positional_index,
+                         prefix_trie, repeats, string_kernel, url_reputation, whitening)
 from daybook.llm.tables import table
 
 
@@ -77,6 +77,19 @@ def op8_scored_regions(spark, folder):
     return page_text.texts(pages, page_text.fit(pages, known))
 
 
+def op11_prefix_trie(spark, folder):
+    return prefix_trie.nodes(prefix_trie.rebuilt(table(spark, folder, "conversations")))
+
+
+def op12_doubling(spark, folder):
+    return doubling.remove(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"), "n_spans")
+
+
+def op13_block_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_licences": op1_licences,
     "op2_suffix_array": op2_suffix_array,
@@ -88,6 +101,9 @@ QUERIES = {
     "op10_min_bin_slack": op10_min_bin_slack,
     "op7_positional_index": op7_positional_index,
     "op6_content_sort": op6_content_sort,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_doubling": op12_doubling,
+    "op13_block_whitening": op13_block_whitening,
 }
 
 ORACLE = {
@@ -170,4 +186,33 @@ ORACLE = {
                count(*) over (partition by content) as group_size,
                doc_id = first_value(doc_id) over w as kept, sha256(content) as text_sha256
         from n window w as (partition by content order by points desc, doc_id)""",
+    "op11_prefix_trie": r"""
+        with t as (select conv_id as c, coalesce(text, '') as x,
+                          substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) as g,
+                          turn from conversations where conv_id is not null),
+        k as (select c, x, g, row_number() over (partition by c order by turn nulls first, g) as k from t),
+        ids as (select distinct c from k),
+        -- crc32 of the decimal id: its bytes, each followed by eight shifts (-1)
+        m as (select c, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+                     string_split(c::varchar, ''), lambda s: [ascii(s)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda a, e: case when e >= 0 then xor(a, e) else xor(a >> 1, 3988292384 * (a & 1)) end), 4294967295) % 4 as h
+              from ids),
+        b as (select m.c, 0 as own, k.k, k.x, k.g from m join k on k.c = m.c - m.c % 20 and k.k <= m.h
+              union all select m.c, 1, k.k, k.x, k.g from m join k on k.c = m.c and k.k > m.h),
+        r as (select c, x, row_number() over w as d, string_agg(g, '') over (w rows unbounded preceding) as pid
+              from b window w as (partition by c order by own, k)),
+        p as (select c, 0 as d, '' as pid, null as parent, 0 as w from ids
+              union all select c, d, pid, coalesce(lag(pid) over (partition by c order by d), ''),
+                               len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) from r),
+        node as (select pid, any_value(d) as d, any_value(parent) as parent, min(c) as conv_id, count(*) as n, any_value(w) as w
+                 from p group by pid),
+        ends as (select pid, sha256(string_agg(c::varchar, ',' order by c)) as ended
+                 from (select c, pid from p qualify row_number() over (partition by c order by d desc) = 1) group by pid),
+        kids as (select parent as pid, count(*) as kids from node where parent is not null group by parent),
+        sub as (select a.pid, sum((n - 1) * y.w)::bigint as saved, count(*) filter (kids is null) as leaves
+                from node y left join kids on kids.pid = y.pid join p a on a.c = y.conv_id and a.d <= y.d group by a.pid)
+        select node.conv_id, node.d::bigint as depth, above.conv_id as parent_conv_id, node.n as n_convs,
+               coalesce(kids, 0) as n_children, leaves as n_leaves, saved as saved_tokens, coalesce(ended, sha256('')) as ends_sha256
+        from node join sub using (pid) left join node above on above.pid = node.parent
+        left join kids on kids.pid = node.pid left join ends on ends.pid = node.pid""",
 }
