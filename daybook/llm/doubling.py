@@ -5,7 +5,8 @@ A window can only repeat if the shorter windows in it repeat. So the first level
 windows of half the width, and of these only for the least by hash in each full window: equal
 windows choose the same one, at the same place. Full windows are formed, at the second level, only
 where the chosen half repeats in another document; what repeats there is removed. Doubling once
-more would not change what is removed, so the levels end at the width.
+more would not change what is removed, so the levels end at the width. Documents that equal an
+earlier one are known by a digest of the whole and form no windows.
 
 Documents are kept in compressed blocks, a stored table. A level sends the names of its windows
 (64-bit hashes, at the last level 96 bits) to be compared with those of all other blocks, and gets
@@ -34,7 +35,7 @@ BLOCK, LOT, MEET = 2 << 20, 1_000_000, 2_000_000
 #: A word longer than this is named by a digest.
 LONG_WORD = 1 << 16
 _LAST = np.iinfo(np.int64).max
-_BLOCKS = "block long, ids binary, known binary, offsets binary, n_words long, text binary"
+_BLOCKS = "block long, ids binary, known binary, offsets binary, wholes binary, n_words long, text binary"
 _STEP, _CHECK = tb.U64(0x5851F42D4C957F2D), tb.U64(0xD1342543DE82EF95)
 
 
@@ -72,12 +73,14 @@ def _to_blocks(most: int) -> Callable:
             apart[np.arange(len(data)) + np.repeat(np.arange(n), np.diff(offsets))] = data
             inside = ~tb.SPACE[apart]
             words = int((inside[1:] & ~inside[:-1]).sum() + inside[:1].sum())
+            raw = memoryview(data)
+            wholes = b"".join(hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
             yield pa.RecordBatch.from_arrays([
                 pa.array([part << 33 | k], pa.int64()),
                 pa.array([ids.fill_null(_LAST).to_numpy().astype(np.int64).tobytes()], pa.binary()),
                 pa.array([ids.is_valid().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()], pa.binary()),
                 pa.array([(offsets + np.arange(n + 1)).astype(np.int64).tobytes()], pa.binary()),
-                pa.array([words], pa.int64()), pa.array([press.compress(apart.tobytes())], pa.binary())],
+                pa.array([wholes], pa.binary()), pa.array([words], pa.int64()), pa.array([press.compress(apart.tobytes())], pa.binary())],
                 names=[f.split()[0] for f in _BLOCKS.split(", ")])
     return pack
 
@@ -94,6 +97,7 @@ class Block:
         self.starts, self.ends, self.owner = tb.words(self.data, self.offsets, tb.SPACE, lower=False)
         self.words = _names_of_words(self.data, self.starts, self.ends)
         self.again = np.unique(np.array(row.get("names") or [], np.int64).view(np.uint64))
+        self.copy = copies(self.ids, np.frombuffer(row["wholes"], np.uint64), row.get("copied") or [])
 
     def windows(self, n: int, step: np.uint64 = _STEP) -> np.ndarray:
         """Hashes of all runs of ``n`` words, whether or not they cross a border."""
@@ -132,7 +136,19 @@ class Block:
         name, owner = names[at][order], self.owner[at][order]
         same = name[1:] == name[:-1]
         twice = np.unique(name[1:][same & (owner[1:] != owner[:-1])])
-        return first[_among(names[place], self.again) | _among(names[place], twice)]
+        repeats = _among(names[place], self.again) | _among(names[place], twice)
+        return first[repeats & ~self.copy[self.owner[first]]]  # all that a copy has, its original has too
+
+
+def copies(ids: np.ndarray, wholes: np.ndarray, told: list[int]) -> np.ndarray:
+    """Which documents of a block equal one with a smaller id, here or (``told``) in another block."""
+    name, check = wholes[::2], wholes[1::2]
+    order = np.lexsort((ids, check, name))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (name[order][1:] != name[order][:-1]) | (check[order][1:] != check[order][:-1])
+    out = np.zeros(len(order), bool)
+    out[order] = ids[order] > ids[order][np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    return out | _among(name, np.unique(np.array(told, np.int64).view(np.uint64)))
 
 
 def _among(values: np.ndarray, some: np.ndarray) -> np.ndarray:
@@ -148,13 +164,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             tb.trim()
 
 
-_SENT = "name long, check int, doc long, block long, told boolean"
+#: What is sent; the number of a block that is told what it sent repeats is given as -1 - number.
+_HALF, _FULL = "name long, block long", "name long, block long, check int, doc long"
 
 
-def _sent(name, check, doc, block, told) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([
-        pa.array(name.view(np.int64)), pa.array(check.view(np.int32)), pa.array(doc), pa.array(block),
-        pa.array(told)], names=[f.split()[0] for f in _SENT.split(", ")])
+def _sent(names: list[str], *columns: np.ndarray) -> pa.RecordBatch:
+    kinds = {"check": pa.int32()}
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int32) if n == "check" else c.view(np.int64), kinds.get(n, pa.int64()))
+                                       for n, c in zip(names, columns)], names=names)
 
 
 def _compared(held: list[tuple], either: bool) -> Iterator[pa.RecordBatch]:
@@ -174,18 +191,19 @@ def _compared(held: list[tuple], either: bool) -> Iterator[pa.RecordBatch]:
         also = at[np.logical_or.reduceat(told, at)]
         name, check, doc, block = (np.concatenate([x, x[also]]) for x in (name, check, doc, block))
         told = np.concatenate([told, np.ones(len(also), bool)])
+    block = np.where(told, -1 - block, block)
+    columns = (name, block) if either else (name, block, check, doc)
     for at in range(0, len(name), 100_000):
-        s = slice(at, at + 100_000)
-        yield _sent(name[s], check[s], doc[s], block[s], told[s])
+        yield _sent(["name", "block", "check", "doc"][:len(columns)], *(c[at:at + 100_000] for c in columns))
 
 
-def _level(entries: Callable[[Block], tuple], either: bool) -> Callable:
+def _level(entries: Callable[[dict], tuple], either: bool) -> Callable:
+    """Sends names of blocks on; with ``either`` it does not matter which of two blocks is the first."""
     def level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for row in _rows(batches):
-            block = Block(row)
-            name, check, doc = entries(block)
-            held.append((name, check, doc, np.full(len(name), block.number)))
+            name, check, doc = entries(row)
+            held.append((name, check, doc, np.full(len(name), row["block"])))
             total += len(name)
             if total >= LOT:
                 yield from _compared(held, either)
@@ -195,28 +213,40 @@ def _level(entries: Callable[[Block], tuple], either: bool) -> Callable:
     return level
 
 
+def _least(name: np.ndarray, check: np.ndarray, doc: np.ndarray) -> tuple:
+    """Each name once, with its least document."""
+    order = np.lexsort((doc, check, name))
+    name, check, doc = name[order], check[order], doc[order]
+    fresh = np.ones(len(name), bool)
+    fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
+    return name[fresh], check[fresh], doc[fresh]
+
+
+def _whole(row: dict) -> tuple:
+    """Digests of a block's documents, with the least document of each."""
+    wholes = np.frombuffer(row["wholes"], np.uint64)
+    return _least(wholes[::2], (wholes[1::2] >> tb.U64(32)).astype(np.uint32), np.frombuffer(row["ids"], np.int64))
+
+
 def _halves(width: int) -> Callable:
-    def halves(block: Block) -> tuple:
-        """Names of the chosen halves of a block; for want of a need for documents, the block's number."""
-        _, place, names = block.chosen(width)
+    def halves(row: dict) -> tuple:
+        """Names of the chosen halves of a block, whose number stands for a document."""
+        _, place, names = Block(row).chosen(width)
         name = np.unique(names[place])
-        return name, np.zeros(len(name), np.uint32), np.full(len(name), block.number)
+        return name, np.zeros(len(name), np.uint32), np.full(len(name), row["block"])
     return halves
 
 
 def _full(width: int) -> Callable:
-    def full(block: Block) -> tuple:
+    def full(row: dict) -> tuple:
         """Names of the full windows of a block that may repeat, with the least document of each."""
+        block = Block(row)
         first = block.candidates(width)
         if not len(first):
             return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
         name, check = block.windows(width)[first], _checks(block, width)[first]
         doc = block.ids[block.owner[first]]
-        order = np.lexsort((doc, check, name))
-        name, check, doc = name[order], check[order], doc[order]
-        fresh = np.ones(len(name), bool)
-        fresh[1:] = (name[1:] != name[:-1]) | (check[1:] != check[:-1])
-        return name[fresh], check[fresh], doc[fresh]
+        return _least(name, check, doc)
     return full
 
 
@@ -234,8 +264,11 @@ def _meet(either: bool) -> Callable:
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        name, doc, block = (table[c].to_numpy() for c in ("name", "doc", "block"))
-        check, told = table["check"].to_numpy(), table["told"].to_numpy()
+        name, block = table["name"].to_numpy(), table["block"].to_numpy()
+        check = np.zeros(len(name), np.int32) if either else table["check"].to_numpy()
+        doc = block if either else table["doc"].to_numpy()
+        told = block < 0
+        block = np.where(told, -1 - block, block)
         # the told ones are dealt out anywhere; only the others meet by name
         own = np.flatnonzero(~told)
         order = own[np.lexsort((doc[own], check[own], name[own]))]
@@ -256,13 +289,12 @@ def _meet(either: bool) -> Callable:
     return meet
 
 
-def _told(blocks: DataFrame, sent: DataFrame, either: bool, most: int) -> DataFrame:
-    """The blocks with the names that they were told repeat; ``most`` bounds the entries sent."""
+def _told(sent: DataFrame, either: bool, most: int, label: str) -> DataFrame:
+    """Per block the names that repeat; ``most`` bounds the entries sent."""
     # of a name that is everywhere one entry a task meets the others; what is told goes by its block
-    deal = F.when(F.col("told"), F.xxhash64("block", "name")).otherwise(F.col("name"))
-    met = (sent.withColumn("deal", deal).repartition(max(1, -(-most // MEET)), "deal").drop("deal")
-           .mapInArrow(tb.tidy(_meet(either)), "block long, name long"))
-    return blocks.join(met.groupBy("block").agg(F.collect_list("name").alias("names")), "block", "left")
+    deal = F.when(F.col("block") < 0, F.xxhash64("block", "name")).otherwise(F.col("name"))
+    met = sent.repartition(max(1, -(-most // MEET)), deal).mapInArrow(tb.tidy(_meet(either)), "block long, name long")
+    return met.groupBy("block").agg(F.collect_list("name").alias(label))
 
 
 _KEPT = "doc_id long, n_words long, n_removed long, n_spans long, kept string"
@@ -292,6 +324,8 @@ def _without(block: Block, width: int) -> pa.RecordBatch:
         again |= _among(name, block.again)
         change = np.bincount(first[again], minlength=words + 1) - np.bincount(first[again] + width, minlength=words + 1)
         gone = np.cumsum(change)[:-1] > 0
+        long = np.bincount(block.owner, minlength=len(block.ids)) >= width
+        gone |= (block.copy & long)[block.owner]
     docs = len(block.ids)
     n_words = np.bincount(block.owner, minlength=docs)
     n_gone = np.bincount(block.owner[gone], minlength=docs)
@@ -325,7 +359,11 @@ def remove(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame
     bounded(docs.sparkSession)
     blocks = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
                     .mapInArrow(tb.tidy(_to_blocks(block)), _BLOCKS), "word-blocks")
-    words = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    halves = _told(blocks, blocks.mapInArrow(tb.tidy(_level(_halves(width), True)), _SENT), True, words // 3)
-    full = _told(blocks, halves.mapInArrow(tb.tidy(_level(_full(width), False)), _SENT), False, words)
-    return full.mapInArrow(tb.tidy(_remove(width)), _KEPT)
+    size = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum(F.length("ids")), F.lit(0)).alias("ids")).first()
+    copied = _told(blocks.select("block", "ids", "wholes").mapInArrow(tb.tidy(_level(_whole, False)), _FULL), False, size["ids"] // 8, "copied")
+    halves = _told(blocks.mapInArrow(tb.tidy(_level(_halves(width), True)), _HALF), True, size["words"] // 3, "names")
+    copied = stored(copied, "copied")
+    known = blocks.join(halves, "block", "left").join(copied, "block", "left")
+    full = _told(known.mapInArrow(tb.tidy(_level(_full(width), False)), _FULL), False, size["words"], "names")
+    return (blocks.join(full, "block", "left").join(copied, "block", "left")
+            .mapInArrow(tb.tidy(_remove(width)), _KEPT))

@@ -15,13 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.llm import textblocks as tb
 from daybook.llm.tables import bounded, stored
@@ -129,10 +128,33 @@ def _added(df: DataFrame, column: str) -> list:
     return [r["v"] for r in rows]
 
 
+_PLACE = T.StructType([T.StructField("i", T.LongType()), T.StructField("j", T.LongType())])
+_INTS, _DOUBLES = (pa.list_(pa.field("element", kind, False)) for kind in (pa.int32(), pa.float64()))
+#: A matrix as Spark stores it.
+_MATRIX = [pa.field("type", pa.int8(), False), pa.field("numRows", pa.int32(), False), pa.field("numCols", pa.int32(), False),
+           pa.field("colPtrs", _INTS), pa.field("rowIndices", _INTS), pa.field("values", _DOUBLES),
+           pa.field("isTransposed", pa.bool_(), False)]
+_BLOCK = T.StructType([T.StructField("place", _PLACE), T.StructField("block", MatrixUDT())])
+
+
+def _assembled(rows: pa.Table) -> pa.Table:
+    """One block of the matrix from its rows, in the layout of a dense matrix kept row by row."""
+    rows = rows.sort_by("index").combine_chunks()
+    y = rows["y"].combine_chunks() if isinstance(rows["y"], pa.ChunkedArray) else rows["y"]
+    n, none = rows.num_rows, pa.array([None], _INTS)
+    dims = len(y.flatten()) // n
+    block = pa.StructArray.from_arrays(
+        [pa.array([1], pa.int8()), pa.array([n], pa.int32()), pa.array([dims], pa.int32()), none, none,
+         pa.ListArray.from_arrays(pa.array([0, n * dims], pa.int32()), y.flatten(), type=_DOUBLES), pa.array([True])],
+        fields=_MATRIX)
+    place = pa.StructArray.from_arrays([pa.array([rows["index"][0].as_py() // BLOCK_ROWS]), pa.array([0])], names=["i", "j"])
+    return pa.table([place, block], names=["place", "block"])
+
+
 def _blocks(rows: DataFrame, dims: int) -> BlockMatrix:
-    """(index, y) as blocks of ``BLOCK_ROWS`` rows and all columns; everything stays in the JVM."""
-    vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector("y").alias("vector")), "vector")
-    return IndexedRowMatrix(vectors).toBlockMatrix(BLOCK_ROWS, dims)
+    """(index, y) as blocks of ``BLOCK_ROWS`` rows and all columns."""
+    dealt = rows.select("index", "y").groupBy(F.floor(F.col("index") / BLOCK_ROWS)).applyInArrow(_assembled, _BLOCK)
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", dealt, BLOCK_ROWS, dims, 0, 0), BLOCK_ROWS, dims)
 
 
 def _scatter(blocks: BlockMatrix, splits: int) -> np.ndarray:
@@ -212,6 +234,18 @@ def _projected(spark, blocks: BlockMatrix, matrix: np.ndarray) -> DataFrame:
     d, k = matrix.shape
     local = DenseMatrix(d, k, matrix.ravel(order="F").tolist())
     right = BlockMatrix(spark.sparkContext.parallelize([((0, 0), local)], 1), d, k)
-    product = blocks.multiply(right).toIndexedRowMatrix()
-    rows = callMLlibFunc("getIndexedRows", product._java_matrix_wrapper._java_model)
-    return rows.select("index", vector_to_array(F.col("vector")).alias("z"))
+    product = blocks.multiply(right)
+    return callMLlibFunc("getMatrixBlocks", product._java_matrix_wrapper._java_model).mapInArrow(
+        _rows_of_blocks, "index long, z array<double>")
+
+
+def _rows_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            place, block = row.values()
+            n, k = block["numRows"], block["numCols"]
+            z = np.array(block["values"]).reshape((n, k) if block["isTransposed"] else (k, n))
+            z = z if block["isTransposed"] else np.ascontiguousarray(z.T)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(place["_1"] * BLOCK_ROWS + np.arange(n)),
+                pa.ListArray.from_arrays(np.arange(0, n * k + 1, k, dtype=np.int32), z.ravel())], names=["index", "z"])
