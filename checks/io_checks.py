@@ -172,7 +172,7 @@ def _streamed(table, columns, twice=False):
     def run(spark, folder):
         base = scratch(spark, "stream")
         schema = _change_files(spark, folder, f"{base}/landing")
-        store = st.Store(spark, f"{base}/store", parts=4)
+        store = st.Store(spark, f"{base}/store", parts=1, by="year")
         for checkpoint in ("a", "b")[:2 if twice else 1]:  # a lost checkpoint delivers all again
             continuous.run(spark, f"{base}/landing", schema, store, f"{base}/{checkpoint}").awaitTermination()
         return store.books()[table].select(*columns)
@@ -184,7 +184,7 @@ def _redelivered(spark, folder):
     base = scratch(spark, "again")
     docs = testbed_documents.voucher_documents(spark, folder).withColumns(
         {"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
-    store = st.Store(spark, f"{base}/store", parts=4)
+    store = st.Store(spark, f"{base}/store", parts=1, by="year")
     for _ in range(2):
         continuous.apply_changes(store, docs, 0)
     return store.books()["trn_accounting"].select("guid", "ledger", "amount")
@@ -196,7 +196,7 @@ def _landed(spark, folder, *files):
     docs = testbed_documents.voucher_documents(spark, folder).withColumns(
         {"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
     n = Testbed(spark, folder).source("orders").agg(F.count("*").alias("n")).scalar()
-    store = st.Store(spark, f"{base}/store", parts=4)
+    store = st.Store(spark, f"{base}/store", parts=1, by="year")
     for i, (file, checkpoint) in enumerate(files):
         file(docs, n).write.parquet(f"{base}/{checkpoint}/landing/{i}")
         landing = f"{base}/{checkpoint}/landing/*"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import ingest_checks, io_checks, master_checks, report_checks, sync_checks
+from checks import ingest_checks, io_checks, master_checks, report_checks, stream_checks, sync_checks
 
-_PARTS = [report_checks, ingest_checks, master_checks, sync_checks, io_checks]
+_PARTS = [report_checks, ingest_checks, master_checks, sync_checks, io_checks, stream_checks]
 
 
 def queries():

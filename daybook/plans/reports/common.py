@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.operators.calendar import as_date
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
+from daybook.plans.months import MONTH, within
 
 MONEY = "decimal(27,2)"
 QUANTITY = "decimal(25,4)"
@@ -52,19 +53,24 @@ def total(c: Column, sql_type: str = MONEY) -> Column:
 
 
 def entries(books: Books, vouchers: DataFrame, lines: DataFrame | None = None,
-            how: str = "inner", table: str = "trn_accounting") -> DataFrame:
-    """Lines of ``table`` (or ``lines`` cut from it) joined to already filtered vouchers."""
-    lines = books[table] if lines is None else lines
+            how: str = "inner", table: str = "trn_accounting", start=None, end=None) -> DataFrame:
+    """Lines of ``table`` (or ``lines`` cut from it) joined to already filtered vouchers.
+
+    With the period of the vouchers, lines stored by month are read from its folders only.
+    """
+    lines = within(books[table], start, end) if lines is None else lines
+    lines = lines.drop(MONTH)
     if books.colocated:
         return lines.join(vouchers, "guid", how)
     # a voucher has few lines, so its key is never hot
     return lookup(lines, vouchers, "guid", how, unique=True)
 
 
-def with_ledgers(books: Books, lines: DataFrame, ledgers: DataFrame, how: str = "inner") -> DataFrame:
+def with_ledgers(books: Books, lines: DataFrame, ledgers: DataFrame, how: str = "inner",
+                 keys_from: DataFrame | None = None) -> DataFrame:
     """Accounting lines joined to attributes of their ledger."""
-    return lookup(lines, ledgers, "ledger", how, keys_from=books.trn_accounting.select("ledger"),
-                  measure=True)
+    keys_from = books.trn_accounting if keys_from is None else keys_from
+    return lookup(lines, ledgers, "ledger", how, keys_from=keys_from.select("ledger"), measure=True)
 
 
 def ledger_groups(books: Books) -> DataFrame:

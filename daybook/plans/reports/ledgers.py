@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.operators.calendar import as_date
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
+from daybook.plans.months import within
 from daybook.plans.reports.common import (
     between, credit, debit, entries, ledger_groups, money, posted, total, voucher_categories,
     with_ledgers,
@@ -21,8 +22,8 @@ def trial_balance(books: Books, start, end) -> DataFrame:
     within it. Revenue ledgers start every period at zero.
     """
     before = F.col("date") < as_date(start)
-    vouchers = books.trn_voucher.where(posted() & between(end=end)).select("guid", "date")
-    moved = entries(books, vouchers).groupBy("ledger").agg(
+    vouchers = within(books.trn_voucher, end=end).where(posted() & between(end=end)).select("guid", "date")
+    moved = entries(books, vouchers, end=end).groupBy("ledger").agg(
         F.sum(F.when(before, F.col("amount"))).alias("prior"),
         F.sum(F.when(~before, debit())).alias("debit"),
         F.sum(F.when(~before, credit())).alias("credit"),
@@ -53,8 +54,8 @@ def account_statement(books: Books, ledger: str, start, end, distinct: bool = Fa
     """
     own_filter = posted() if posted_only else F.col("is_accounting_voucher") == 1
     head = ["guid", "date", "voucher_number", "voucher_type", "narration"]
-    vouchers = books.trn_voucher.where(between(start, end) & own_filter & posted()).select(*head)
-    lines = entries(books, vouchers, books.trn_accounting.select("guid", "ledger", "amount"))
+    vouchers = within(books.trn_voucher, start, end).where(between(start, end) & own_filter & posted()).select(*head)
+    lines = entries(books, vouchers, within(books.trn_accounting, start, end).select("guid", "ledger", "amount"))
     own = F.col("ledger") == ledger
     # both groupings keep the lines' partitioning by voucher; equal ledgers of a voucher are
     # counted before they are listed, so what is gathered is one value per ledger
@@ -96,8 +97,8 @@ def accounting_effects(books: Books) -> DataFrame:
 
 def ledger_closing_balances(books: Books, as_of=None) -> DataFrame:
     """Opening, debit, credit and closing of every ledger that has entries."""
-    vouchers = books.trn_voucher.where(posted() & between(end=as_of)).select("guid")
-    moved = entries(books, vouchers).groupBy("ledger").agg(
+    vouchers = within(books.trn_voucher, end=as_of).where(posted() & between(end=as_of)).select("guid")
+    moved = entries(books, vouchers, end=as_of).groupBy("ledger").agg(
         total(debit()).alias("net_debit"), total(credit()).alias("net_credit"))
     ledgers = books.mst_ledger.select(F.col("name").alias("ledger"), "opening_balance")
     opening = money(F.coalesce("opening_balance", F.lit(0)))

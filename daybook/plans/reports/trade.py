@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daybook.operators import calendar
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
+from daybook.plans.months import within
 from daybook.plans.reports.common import (
     between, credit, debit, entries, ledger_groups, money, posted, voucher_categories,
     with_ledgers,
@@ -17,10 +18,11 @@ SALES = ["Sales", "Credit Note"]
 PURCHASES = ["Purchase", "Debit Note"]
 
 
-def _group_entries(books: Books, group: str, vouchers: DataFrame) -> DataFrame:
+def _group_entries(books: Books, group: str, vouchers: DataFrame, start=None, end=None) -> DataFrame:
     """Entries on the ledgers of one primary group; ledgers are cut down before vouchers join."""
     ledgers = ledger_groups(books).where(F.lower("primary_group") == group.lower()).select("ledger")
-    lines = with_ledgers(books, books.trn_accounting.select("guid", "ledger", "amount"), ledgers)
+    lines = within(books.trn_accounting, start, end).select("guid", "ledger", "amount")
+    lines = with_ledgers(books, lines, ledgers, keys_from=lines)
     return entries(books, vouchers, lines)
 
 
@@ -29,17 +31,17 @@ def daily_cash_movement(books: Books, start, end, posted_only: bool = False) ->
     effect = posted() if posted_only else F.lit(True)
     types = voucher_categories(books).where(
         F.lower("voucher_category").isin("receipt", "payment", "contra")).select("voucher_type")
-    vouchers = lookup(books.trn_voucher.where(between(start, end) & effect)
+    vouchers = lookup(within(books.trn_voucher, start, end).where(between(start, end) & effect)
                       .select("guid", "date", "voucher_type"), types, "voucher_type", measure=True)
-    moved = _group_entries(books, "Cash-in-hand", vouchers.select("guid", "date")).groupBy("date").agg(
+    moved = _group_entries(books, "Cash-in-hand", vouchers.select("guid", "date"), start, end).groupBy("date").agg(
         money(F.sum(debit())).alias("receipt"), money(F.sum(credit())).alias("payment"))
     return calendar.fill(calendar.days(books.spark, start, end), moved, ["date"]).orderBy("date")
 
 
 def _movement(books: Books, group: str, start, end, sign: int, posted_only: bool) -> DataFrame:
     effect = posted() if posted_only else F.lit(True)
-    vouchers = books.trn_voucher.where(between(start, end) & effect).select("guid", "date")
-    return _group_entries(books, group, vouchers).groupBy("date").agg(
+    vouchers = within(books.trn_voucher, start, end).where(between(start, end) & effect).select("guid", "date")
+    return _group_entries(books, group, vouchers, start, end).groupBy("date").agg(
         money(F.sum("amount") * sign).alias("amount"))
 
 

@@ -1,9 +1,10 @@
 """Versioned tables with one small control file per version.
 
-Tables with a voucher's ``guid`` are kept in parts by a hash of it, so a change rewrites only the
-parts its vouchers lie in; all other parts of the new version are the files of the old one. A
-version becomes visible when its control file is in place. Until then readers see the previous
-version, so a run that dies half-way leaves nothing behind that anyone reads.
+Tables with a voucher's ``guid`` are kept in parts: by the voucher's month, and in the month by a
+hash of ``guid``. A change rewrites only the parts that its vouchers lie in or move to; all other
+parts of the new version are the files of the old one. A version becomes visible when its control
+file is in place. Until then readers see the previous version, so a run that dies half-way leaves
+nothing behind that anyone reads.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.plans.books import Books
+from daybook.plans.months import MONTH, is_dealt, placed
 from daybook.plans.sinks import full_refresh, write_all
 
-PARTS = 64
-_PART = "_part"
+PARTS = 16
+_BUCKET, _RUN = "_bucket", "_run"
 _WHOLE = "-"
 
 
@@ -37,10 +39,16 @@ class Version:
 
 
 class Store:
-    """``parts`` is fixed by the first version; names with a leading ``_`` are not part of the books."""
+    """``parts`` of a month are fixed by the first version; names with a leading ``_`` are no books.
 
-    def __init__(self, spark: SparkSession, folder: str, parts: int = PARTS):
-        self.spark, self.folder, self.parts = spark, folder.rstrip("/"), parts
+    A part is named by month and bucket, ``202004-3``. Small books go ``by`` year.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, parts: int = PARTS, by: str = "month"):
+        self.spark, self.folder, self.parts, self.by = spark, folder.rstrip("/"), parts, by
+
+    def placed(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        return placed(tables, self.by)
 
     def _path(self, *names: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *names]))
@@ -53,6 +61,9 @@ class Store:
         files = self._files()
         return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
 
+    def _controls(self) -> list[str]:
+        return [n for n in self._names("control") if n.endswith(".json") and not n.startswith(".")]
+
     def _read(self, name: str) -> Version | None:
         stream = self._files().open(self._path("control", name))
         try:
@@ -61,39 +72,59 @@ class Store:
             stream.close()
         try:
             return Version(**json.loads(text))
-        except ValueError:  # being written just now
+        except (ValueError, TypeError):  # torn: files come here whole, so nobody is writing it
             return None
 
     def head(self) -> Version:
         """The latest version; only its own control file is read."""
-        for name in reversed([n for n in self._names("control") if n.endswith(".json")]):
+        for name in reversed(self._controls()):
             found = self._read(name)
             if found is not None:
                 return found
         return Version()
 
-    def part(self, guid: Column | str = "guid") -> Column:
+    def bucket(self, guid: Column | str = "guid") -> Column:
         return F.pmod(F.xxhash64(guid), F.lit(self.parts)).cast("int")
 
-    def parts_of(self, keys: DataFrame) -> set[int]:
-        """The parts that hold the given guids: at most ``parts`` numbers."""
-        return {r[0] for r in keys.select(self.part().alias("p")).distinct().collect()}
+    def parts_of(self, keys: DataFrame) -> set[str]:
+        """The parts of the given guids and months: at most ``parts`` names a month."""
+        found = keys.select(F.coalesce(MONTH, F.lit(0)).alias(MONTH), self.bucket().alias("b")).distinct().collect()
+        return {f"{r[MONTH]}-{r.b}" for r in found}
+
+    def undated_parts(self, keys: DataFrame) -> set[str]:
+        """The parts that rows without a month and with the given guids lie in."""
+        return self.parts_of(keys.select("guid", F.lit(0).alias(MONTH)))
 
-    def rows(self, version: Version, name: str, parts: Collection[int] | None = None) -> DataFrame | None:
-        """A table, or some parts of it; None if the version does not have it."""
+    def rows(self, version: Version, name: str, parts: Collection[str] | None = None,
+             months: bool = False) -> DataFrame | None:
+        """A table, or some parts of it; None if the version does not have it.
+
+        With ``months`` the month is a column, by which Spark skips whole folders.
+        """
         if name not in version.tables:
             return None
         table = version.tables[name]
         schema = T.StructType.fromJson(table["schema"])
-        paths = [p for k, p in table["parts"].items() if parts is None or k == _WHOLE or int(k) in parts]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
-    def books(self, version: Version | None = None, parts: Collection[int] | None = None) -> Books:
+        paths = [p for k, p in table["parts"].items() if parts is None or k == _WHOLE or k in parts]
+        if _WHOLE in table["parts"]:
+            return self.spark.read.schema(schema).parquet(*paths)
+        kept = [*schema.names, MONTH] if months else list(schema.names)
+        schema = schema.add(MONTH, T.IntegerType()).add(_BUCKET, T.IntegerType()).add(_RUN, T.StringType())
+        if not paths:
+            return self.spark.createDataFrame([], schema).select(*kept)
+        return (self.spark.read.schema(schema).option("basePath", f"{self.folder}/tables/{name}")
+                .parquet(*paths).select(*kept))
+
+    def columns(self, version: Version, name: str) -> list[str] | None:
+        """The columns of a table, from the control file; None if the version does not have it."""
+        return [f["name"] for f in version.tables[name]["schema"]["fields"]] if name in version.tables else None
+
+    def books(self, version: Version | None = None, parts: Collection[str] | None = None, months: bool = False) -> Books:
         """The tables of a version, of the latest one unless given."""
         version = version or self.head()
 
         def reader(name: str):
-            return lambda: self.rows(version, name, parts)
+            return lambda: self.rows(version, name, parts, months)
 
         return Books(self.spark, {n: reader(n) for n in version.tables if not n.startswith("_")})
 
@@ -102,66 +133,91 @@ class Store:
         return self.head().state
 
     def commit(self, tables: Mapping[str, DataFrame], state: Mapping[str, str] | None = None,
-               parts: Collection[int] | None = None, base: Version | None = None) -> dict[str, int]:
+               parts: Collection[str] | Mapping[str, Collection[str]] | None = None,
+               base: Version | None = None) -> dict[str, int]:
         """Write ``tables`` as the next version; tables not given keep their files.
 
-        With ``parts`` the tables hold the rows of these parts only, and the other parts stay.
+        With ``parts``, of all tables or by table, they hold the rows of these parts only, and the
+        other parts stay.
         ``base`` is the version the tables were derived from; if another one has been published
-        since, nothing becomes visible. Returns the rows written per table.
+        since, nothing becomes visible. Lines without a month take that of their header in
+        ``tables``. Returns the rows written per table.
         """
-        head = self.head()
-        base = base or head
-        folder = f"{self.folder}/data/{base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
-
-        def split(name: str) -> bool:
-            return "guid" in tables[name].columns and not name.startswith("mst_")
-
-        dealt = {n: df.withColumn(_PART, self.part()).hint("rebalance", _PART) if split(n) else df
+        base = base or self.head()
+        run = f"{base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
+        tables = self.placed(tables)
+        split = {n for n, df in tables.items() if is_dealt(n, df)}
+        dealt = {n: df.withColumn(_BUCKET, self.bucket()).hint("rebalance", MONTH, _BUCKET) if n in split else df
                  for n, df in tables.items()}
         rows = write_all(dealt, lambda name, df: full_refresh(
-            df, f"{folder}/{name}", [_PART] if split(name) else None))
+            df, f"{self.folder}/data/{run}/{name}", [MONTH, _BUCKET] if name in split else None))
         entries = dict(base.tables)
         for name, df in tables.items():
-            if split(name):
-                kept = entries.get(name, {"parts": {}})["parts"] if parts is not None else {}
-                found = {k: p for k, p in kept.items() if int(k) not in parts} if parts is not None else {}
-                for sub in self._names(*f"{folder}/{name}".removeprefix(f"{self.folder}/").split("/")):
-                    if sub.startswith(f"{_PART}="):
-                        found[sub.split("=")[1]] = f"{folder}/{name}/{sub}"
+            if name in split:
+                own = parts.get(name) if isinstance(parts, Mapping) else parts
+                kept = entries.get(name, {"parts": {}})["parts"] if own is not None else {}
+                found = {k: p for k, p in kept.items() if k not in own}
+                found.update(self._moved(run, name))
+                schema = T.StructType([f for f in df.schema.fields if f.name != MONTH])
             else:
-                found = {_WHOLE: f"{folder}/{name}"}
-            entries[name] = {"schema": json.loads(df.schema.json()), "parts": found}
+                found, schema = {_WHOLE: f"{self.folder}/data/{run}/{name}"}, df.schema
+            entries[name] = {"schema": json.loads(schema.json()), "parts": found}
+        if split == set(tables):
+            self._files().delete(self._path("data", run), True)
         self._publish(Version(base.number + 1, {**base.state, **(state or {})}, entries))
         return rows
 
+    def _moved(self, run: str, name: str) -> dict[str, str]:
+        """The run's parts of a table, put where readers find them below the table's folder."""
+        files, found = self._files(), {}
+        for status in files.globStatus(self._path("data", run, name, f"{MONTH}=*", f"{_BUCKET}=*")) or []:
+            month, bucket = str(status.getPath()).split("/")[-2:]
+            place = ["tables", name, month, bucket]
+            files.mkdirs(self._path(*place))
+            files.rename(status.getPath(), self._path(*place, f"{_RUN}={run}"))
+            found[f"{month.split('=')[1]}-{bucket.split('=')[1]}"] = "/".join([self.folder, *place, f"{_RUN}={run}"])
+        return found
+
     def _publish(self, version: Version) -> None:
-        """The control file is created, never replaced: of two writers one is refused."""
+        """The control file is written aside and then put in place, never over another one."""
         if self.head().number != version.number - 1:
             raise Superseded(f"version {version.number} is there already")
-        path = self._path("control", f"{version.number:012d}.json")
-        try:
-            out = self._files().create(path, False)
-        except Exception as e:
-            raise Superseded(f"version {version.number} is there already") from e
+        name, hadoop = f"{version.number:012d}.json", self.spark._jvm.org.apache.hadoop.fs
+        path, aside = self._path("control", name), self._path("control", f".{uuid.uuid4().hex}")
+        out = self._files().create(aside, False)
         try:
             out.write(bytearray(json.dumps(
                 {"number": version.number, "state": version.state, "tables": version.tables}).encode()))
         finally:
             out.close()
+        if name in self._controls() and self._read(name) is None:  # a torn file of an earlier crash
+            self._files().rename(path, self._path("control", f".torn-{uuid.uuid4().hex}"))
+        kind = getattr(hadoop, "Options$Rename")
+        how = self.spark.sparkContext._gateway.new_array(kind, 1)
+        how[0] = kind.NONE
+        try:
+            hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration()).rename(aside, path, how)
+        except Exception as e:
+            self._files().delete(aside, False)
+            raise Superseded(f"version {version.number} is there already") from e
 
     def forget(self, keep: int = 2) -> int:
         """Remove all but the last ``keep`` versions and every file none of those needs.
 
-        Not to be called while a run is writing. Returns the data folders removed.
+        Not to be called while a run is writing. Returns the folders removed.
         """
         files = self._files()
-        names = [n for n in self._names("control") if n.endswith(".json")]
+        names = self._controls()
         versions = [v for v in map(self._read, names[-keep:]) if v is not None]
-        used = {p.removeprefix(f"{self.folder}/data/").split("/")[0] for v in versions for t in v.tables.values()
-                for p in t["parts"].values()}
+        used = {p.removeprefix(f"{self.folder}/") for v in versions for t in v.tables.values() for p in t["parts"].values()}
         for name in names[:-keep]:
             files.delete(self._path("control", name), False)
-        old = [n for n in self._names("data") if n not in used]
-        for name in old:
-            files.delete(self._path("data", name), True)
+        runs = {"/".join(p.split("/")[:2]) for p in used}
+        old = [f"data/{n}" for n in self._names("data") if f"data/{n}" not in runs]
+        for status in files.globStatus(self._path("tables", "*", f"{MONTH}=*", f"{_BUCKET}=*", f"{_RUN}=*")) or []:
+            place = "/".join(str(status.getPath()).split("/")[-5:])
+            if place not in used:
+                old.append(place)
+        for place in old:
+            files.delete(self._path(place), True)
         return len(old)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.lookup import lookup
 from daybook.plans.books import Books
+from daybook.plans.months import MONTH
 from daybook.plans.sinks import STATE_MASTER, STATE_SYNCED, STATE_TRANSACTION
 from daybook.plans.store import Store
 from daybook.schema import LINKS, TABLES, tables
@@ -211,47 +212,65 @@ def touched(current: Books, changed: Gate) -> set[str]:
 def _changed_vouchers(current: Books, source: Mapping[str, DataFrame], delta: Books, changed: Gate,
                       numbers: DataFrame | None, stage: Callable[[str, DataFrame], DataFrame],
                       party_names: bool, repair_names: bool) -> DataFrame | None:
-    """Guids of the vouchers whose rows a run alters, with repeats; None if there cannot be any."""
+    """Guid and month, old and new, of the vouchers a run alters, with repeats; None if there are none."""
     found = []
-    if changed.transaction and "trn_voucher" in source and "trn_voucher" in current:
-        found.append(stage("removed-trn_voucher", removed_keys(current["trn_voucher"], source["trn_voucher"])))
-    if changed.transaction:
-        found += [delta[t.name].select("guid") for t in tables("transaction", "Primary") if t.name in delta]
-        if numbers is not None and "trn_voucher" in current:
+    if changed.transaction and "trn_voucher" in current:
+        heads = current["trn_voucher"].select("guid", "voucher_number", MONTH)
+        if "trn_voucher" in source:
+            gone = stage("removed-trn_voucher", removed_keys(current["trn_voucher"], source["trn_voucher"]))
+            found.append(lookup(heads, gone, "guid", "left_semi", measure=True, keys_from=gone))
+        if numbers is not None:
             fresh = numbers.select("guid", F.col("voucher_number").alias("_fresh"))
-            found.append(lookup(current["trn_voucher"].select("guid", "voucher_number"), fresh, "guid", unique=True)
-                         .where(~F.col("voucher_number").eqNullSafe(F.col("_fresh"))).select("guid"))
+            found.append(lookup(heads, fresh, "guid", unique=True)
+                         .where(~F.col("voucher_number").eqNullSafe(F.col("_fresh"))))
+    if changed.transaction and "trn_voucher" in delta:
+        found.append(delta["trn_voucher"])
     for link in LINKS if changed.master else []:
         table = TABLES[link.table]
         carried = link.renames or (party_names and link.column == "party_name")
         if not (carried and table.half == "transaction" and link.table in current
                 and link.master in source and link.master in current and link.master in delta):
             continue
-        rows = current[link.table].select("guid", link.key)
+        rows = current[link.table].select("guid", link.key, MONTH)
         if not repair_names:
             names = stage(f"renamed-{link.master}", renamed(
                 current[link.master], appended(kept_rows(current[link.master], source[link.master]), delta[link.master])))
             if names.isEmpty():  # nothing to carry: the table is not even read
                 continue
             rows = lookup(rows, names.select(F.col("guid").alias(link.key)), link.key, "left_semi", measure=True)
-        found.append(rows.select("guid"))
+        found.append(rows)
     if not found:
         return None
-    every = found[0]
+    every = found[0].select("guid", MONTH)
     for df in found[1:]:
-        every = every.unionByName(df)
+        every = every.unionByName(df.select("guid", MONTH))
     return every
 
 
+def _refuse_lines_without_header(delta: Books) -> None:
+    """Lines come with their voucher; without it nobody could tell which of its rows they replace."""
+    lines = [delta[t.name].select("guid") for t in tables("transaction", "Derived") if t.name in delta]
+    if not lines:
+        return
+    every = lines[0]
+    for df in lines[1:]:
+        every = every.unionByName(df)
+    if "trn_voucher" in delta:
+        every = every.join(delta["trn_voucher"].select("guid"), "guid", "left_anti")
+    if not every.isEmpty():
+        raise ValueError("the change set has lines of vouchers that it does not have itself")
+
+
 def run(store: Store, source: Mapping[str, DataFrame], delta: Books, source_state: Mapping[str, int],
         numbers: DataFrame | None = None, party_names: bool = False, repair_names: bool = False) -> dict[str, int]:
     """One incremental run against the stored tables; rows per table written.
 
     Nothing is written when the source's change numbers are those of the last run. Of the
-    transaction tables only the parts are rewritten that hold a voucher the run alters; a master
-    change without a rename alters none. Keys shared by many tables are stored in scratch space
-    first. The new change numbers become visible together with the tables, so a run that fails
-    is simply repeated.
+    transaction tables only the parts are rewritten that hold a voucher the run alters or that one
+    moves to; a master change without a rename alters none. Keys shared by many tables are stored in
+    scratch space first. The new change numbers become visible together with the tables, so a run
+    that fails is simply repeated. The number of the transaction half moves only in a run that
+    compared the vouchers with the source, or found that half unchanged.
     """
     names = {"master": STATE_MASTER, "transaction": STATE_TRANSACTION}
     head = store.head()
@@ -268,15 +287,23 @@ def run(store: Store, source: Mapping[str, DataFrame], delta: Books, source_stat
             staged[name] = store.spark.read.schema(df.schema).parquet(f"{folder}/{name}")
         return staged[name]
 
-    whole = store.books(head)
+    whole = store.books(head, months=True)
+    _refuse_lines_without_header(delta)
+    delta = Books(store.spark, store.placed({n: delta[n] for n in delta}))
     vouchers = _changed_vouchers(whole, source, delta, changed, numbers, stage, party_names, repair_names)
     parts = store.parts_of(vouchers) if vouchers is not None else set()
     altered = touched(whole, changed)
-    lines = {n for n in altered if TABLES[n].half == "transaction" and "guid" in whole[n].columns}
+    lines = {n for n in altered if TABLES[n].half == "transaction" and "guid" in store.columns(head, n)}
+    compared = changed.transaction and "trn_voucher" in source
     if "trn_voucher" in source:
-        source = {**source, "trn_voucher": source["trn_voucher"].where(store.part().isin(*parts) if parts else F.lit(False))}
-    after = synced(store.books(head, parts), source, delta, numbers, changed, party_names, repair_names, stage)
-    state = {name: str(source_state[half]) for half, name in names.items()}
-    rows = store.commit({n: after[n] for n in sorted(altered - (set() if parts else lines))},
-                        {**state, STATE_SYNCED: state[STATE_TRANSACTION]}, parts, head)
+        buckets = {int(p.split("-")[1]) for p in parts}
+        source = {**source, "trn_voucher": source["trn_voucher"].where(
+            store.bucket().isin(*buckets) if buckets else F.lit(False))}
+    after = synced(store.books(head, parts, months=True), source, delta, numbers, changed, party_names, repair_names, stage)
+    state = {STATE_MASTER: str(source_state["master"])}
+    if compared or not changed.transaction:
+        state[STATE_TRANSACTION] = str(source_state["transaction"])
+    if compared:
+        state[STATE_SYNCED] = state[STATE_TRANSACTION]
+    rows = store.commit({n: after[n] for n in sorted(altered - (set() if parts else lines))}, state, parts, head)
     return {**{n: 0 for n in lines}, **rows}
