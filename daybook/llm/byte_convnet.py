@@ -208,7 +208,11 @@ def scores(docs: DataFrame, model: Network | float, threshold: float = 0.3) -> D
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without those that the classifier rejects."""
+    """``docs`` without those that the classifier rejects.
+
+    Every row is scored by its own text, whatever its id; null counts as empty. Rows without an id
+    have no label to learn from.
+    """
     model = fit(docs, labels)
     if not isinstance(model, Network):
         return docs if model >= threshold else docs.limit(0)

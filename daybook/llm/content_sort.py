@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textblocks as tb
-from daybook.llm.tables import small, stored
+from daybook.llm.tables import by_row, narrow, stored, without_rows
 
 #: White space that does not count in comparisons.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -121,6 +121,10 @@ def copies(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts."""
-    dropped = stored(copies(docs).where("not kept").select("doc_id"), "dropped")
-    return docs.join(small(dropped), "doc_id", "left_anti")
+    """``docs`` with one row of each group of equal texts: the longest, then the smallest doc_id.
+
+    Decided row by row: of rows that repeat an id or have none each stays or goes for its own text,
+    and among equal ones a row without an id, or with an id that an earlier row has, comes last.
+    """
+    rows = by_row(docs)
+    return without_rows(rows, copies(narrow(rows)).where("not kept"))

@@ -25,7 +25,7 @@ from daybook.llm import signature_tree as st
 from daybook.llm import textblocks as tb
 from daybook.llm.components import components
 from daybook.llm.dealing import DEALT, dealer_of, flat, frequencies, numbers, packed
-from daybook.llm.tables import small, stored
+from daybook.llm.tables import by_row, narrow, small, stored, without_rows
 
 SLICE_BYTES = 256 << 10
 #: Frequencies from here on count as equal.
@@ -230,6 +230,10 @@ def join(docs: DataFrame, size: int = 5, tokens: int = GROUP_TOKENS) -> DataFram
 
 
 def keep_first(docs: DataFrame, size: int = 5) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; rows without id stay."""
-    drop = stored(join(docs, size).where("doc_id > component_id").select("doc_id"), "dropped")
-    return docs.join(small(drop), "doc_id", "left_anti")
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Decided row by row: rows that repeat an id or have none are documents of their own and come
+    after all others of their component. Null, empty and blank texts stay.
+    """
+    rows = by_row(docs)
+    return without_rows(rows, join(narrow(rows), size).where("doc_id > component_id"))

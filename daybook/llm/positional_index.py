@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import textblocks as tb
-from daybook.llm.tables import small, stored
+from daybook.llm.tables import by_row, narrow, stored, without_rows
 
 BLOCK_BYTES = 512 << 10
 #: Benchmark words that are sent to the executors at once; a larger benchmark goes in several parts.
@@ -271,6 +271,10 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, bench: DataFrame, size: int = 10) -> DataFrame:
-    """``docs`` without those in which a benchmark window occurs."""
-    hit = stored(matches(docs, bench, size).where(F.size("spans") > 0).select("doc_id"), "dropped")
-    return docs.join(small(hit), "doc_id", "left_anti")
+    """``docs`` without those in which a benchmark window occurs.
+
+    Decided row by row, so a row that shares its id with a contaminated one, or has none, stays or
+    goes for its own text. Null and empty texts stay.
+    """
+    rows = by_row(docs)
+    return without_rows(rows, matches(narrow(rows), bench, size).where(F.size("spans") > 0))

@@ -64,3 +64,39 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 def held_out(column: str = "doc_id"):
     """Rows that no label may be learned from: crc32 of the id as text divisible by five."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 5 == 0, F.lit(False))
+
+
+#: The column that tells rows apart.
+ROW = "__row"
+
+
+def by_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for every row, in the order of doc_id.
+
+    The first row of each doc_id has the id itself. Further rows with that id, and those without
+    one, get numbers beyond all ids (which are below 2**62). Where no id is missing or repeated,
+    nothing is written or joined.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("__id"))
+    odd = ids.groupBy("__id").agg(F.count("*").alias("n")).where("n > 1 or __id is null")
+    if odd.isEmpty():
+        return docs.withColumn(ROW, F.col("doc_id").cast("long"))
+    placed = stored(docs.withColumn("__id", F.col("doc_id").cast("long"))
+                    .withColumn("__place", F.monotonically_increasing_id()), "rows")
+    top = placed.agg(F.coalesce(F.max("__id"), F.lit(0))).first()[0]
+    firsts = (placed.select("__id", "__place").where("__id is not null").groupBy("__id")
+              .agg(F.min("__place").alias("__first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    first = F.col("__id").isNotNull() & F.coalesce(F.col("__first") == F.col("__place"), F.lit(True))
+    return placed.join(small(firsts), "__id", "left").withColumn(
+        ROW, F.when(first, F.col("__id")).otherwise(F.col("__place") + F.lit(max(top, 0) + 1))).select(*docs.columns, ROW)
+
+
+def without_rows(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``by_row`` whose number is not among ``dropped`` (doc_id), in their old columns."""
+    gone = stored(dropped.select(F.col("doc_id").alias(ROW)), "dropped")
+    return rows.join(small(gone), ROW, "left_anti").drop(ROW)
+
+
+def narrow(rows: DataFrame) -> DataFrame:
+    """Row number as doc_id, and text."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
