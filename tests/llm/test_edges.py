@@ -199,16 +199,6 @@ def test_languages(awkward, nothing):
     assert {x.lang_pred for x in string_kernel.predict(awkward, None).collect()} == {"und"}
 
 
-def test_presence_by_hand():
-    texts = ["Ab c", "", "é"]
-    data, offsets = textblocks.byte_view(pa.array(texts))
-    got = string_kernel.presence(data, offsets)
-    low = [b"ab c", b"", "é".encode()]
-    for t, row in zip(low, got):
-        grams = {t[i:i + k] for k in string_kernel.ORDERS for i in range(len(t) - k + 1)}
-        assert row.sum() == len(grams)
-
-
 def test_urls(spark):
     urls = [(1, "http://A.Example.org/es/x"), (2, "https://example.org/en/12?q"), (3, "ftp://b.org/"), (4, "x.org/"), (5, None),
             (6, "http://z.com/fr/"), (7, "http://z.com/de/"), (8, "http://notexample.org/es/"), (9, "http://b.org"), (10, "http://")]
