@@ -16,53 +16,150 @@ from daybook.functions import fields as E
 from daybook.operators.reshape import Rows
 from daybook.schema import TABLES, Table
 
-# column=field where the field is not the column name without underscores.
-_SOURCES = {
-    "mst_group": "primary_group=_primarygroup",
-    "mst_ledger": "alias=onlyalias notes=narration mailing_address=address mailing_state=ledstatename "
-                  "mailing_country=countryname mailing_pincode=pincode mobile=ledgermobile "
-                  "it_pan=incometaxnumber gstn=partygstin gst_supply_type=gsttypeofsupply "
-                  "tax_rate=rateoftaxcalculation bank_account_holder=bankaccholdername "
-                  "bank_account_number=bankdetails bank_ifsc=ifscode bank_swift=swiftcode "
-                  "bank_name=bankingconfigbank bank_branch=bankbranchname",
-    "mst_uom": "name=symbol",
-    "mst_stock_item": "alias=onlyalias notes=narration part_number=partno uom=baseunits "
-                      "alternate_uom=additionalunits gst_type_of_supply=gstmsttypeofsupply "
-                      "gst_hsn_code=infgsthsncode gst_hsn_description=infgsthsndescription "
-                      "gst_rate=infgstigstrate gst_taxability=infgsttaxablility",
-    "mst_attendance_type": "uom=baseunits attendance_type=attendanceproductiontype",
-    "mst_employee": "id_number=mailingname date_of_joining=dateofjoin "
-                    "date_of_release=deactivationdate function_role=function "
-                    "father_mother_name=fathername mobile=mobilenumber email=emailid pan=pannumber "
-                    "aadhar=aadharnumber uan=uannumber pf_number=pfaccountnumber",
-    "mst_payhead": "income_type=paystattype",
-    "mst_gst_effective_rate": "item=name hsn_description=hsn duty_head=gstratedutyhead rate=gstrate "
-                              "rate_per_unit=gstrateperunit valuation_type=gstratevaluationtype "
-                              "is_rcm_applicable=isreversechargeapplicable "
-                              "nature_of_transaction=gstnatureoftransaction",
-    "mst_opening_batch_allocation": "name=batchname item=..name godown=godownname manufactured_on=mfdon",
-    "mst_opening_bill_allocation": "ledger=..name",
-    "trn_closingstock_ledger": "ledger=..name stock_date=date stock_value=amount",
-    "mst_stockitem_standard_cost": "item=..name",
-    "mst_stockitem_standard_price": "item=..name",
-    "trn_voucher": "voucher_type=vouchertypename reference_number=reference party_name=partyledgername",
-    "trn_accounting": "ledger=ledgername",
-    "trn_inventory": "item=stockitemname quantity=actualqty additional_amount=addlamount "
-                     "discount_amount=discount godown=godownname order_number=orderno",
-    "trn_cost_centre": "ledger=ledgername costcentre=name",
-    "trn_cost_category_centre": "ledger=ledgername costcategory=category costcentre=name",
-    "trn_cost_inventory_category_centre": "ledger=ledgername item=stockitemname "
-                                          "costcategory=category costcentre=name",
-    "trn_bill": "ledger=ledgername",
-    "trn_bank": "ledger=..ledgername",
-    "trn_batch": "item=stockitemname name=batchname quantity=actualqty godown=godownname "
-                 "destination_godown=destinationgodownname",
-    "trn_inventory_additional_cost": "ledger=ledgername additional_allocation_type=addlalloctype",
-    "trn_attendance": "employee_name=name attendancetype_name=attendancetype "
-                      "time_value=attdtypetimevalue type_value=attdtypevalue",
-}
+# The field of a column, where it is not the column name without underscores.
 SOURCES: dict[str, dict[str, str]] = {
-    t: dict(pair.split("=") for pair in pairs.split()) for t, pairs in _SOURCES.items()}
+    "mst_group": {
+        "primary_group": "_primarygroup",
+    },
+    "mst_ledger": {
+        "alias": "onlyalias",
+        "notes": "narration",
+        "mailing_address": "address",
+        "mailing_state": "ledstatename",
+        "mailing_country": "countryname",
+        "mailing_pincode": "pincode",
+        "mobile": "ledgermobile",
+        "it_pan": "incometaxnumber",
+        "gstn": "partygstin",
+        "gst_supply_type": "gsttypeofsupply",
+        "tax_rate": "rateoftaxcalculation",
+        "bank_account_holder": "bankaccholdername",
+        "bank_account_number": "bankdetails",
+        "bank_ifsc": "ifscode",
+        "bank_swift": "swiftcode",
+        "bank_name": "bankingconfigbank",
+        "bank_branch": "bankbranchname",
+    },
+    "mst_uom": {
+        "name": "symbol",
+    },
+    "mst_stock_item": {
+        "alias": "onlyalias",
+        "notes": "narration",
+        "part_number": "partno",
+        "uom": "baseunits",
+        "alternate_uom": "additionalunits",
+        "gst_type_of_supply": "gstmsttypeofsupply",
+        "gst_hsn_code": "infgsthsncode",
+        "gst_hsn_description": "infgsthsndescription",
+        "gst_rate": "infgstigstrate",
+        "gst_taxability": "infgsttaxablility",
+    },
+    "mst_attendance_type": {
+        "uom": "baseunits",
+        "attendance_type": "attendanceproductiontype",
+    },
+    "mst_employee": {
+        "id_number": "mailingname",
+        "date_of_joining": "dateofjoin",
+        "date_of_release": "deactivationdate",
+        "function_role": "function",
+        "father_mother_name": "fathername",
+        "mobile": "mobilenumber",
+        "email": "emailid",
+        "pan": "pannumber",
+        "aadhar": "aadharnumber",
+        "uan": "uannumber",
+        "pf_number": "pfaccountnumber",
+    },
+    "mst_payhead": {
+        "income_type": "paystattype",
+    },
+    "mst_gst_effective_rate": {
+        "item": "name",
+        "hsn_description": "hsn",
+        "duty_head": "gstratedutyhead",
+        "rate": "gstrate",
+        "rate_per_unit": "gstrateperunit",
+        "valuation_type": "gstratevaluationtype",
+        "is_rcm_applicable": "isreversechargeapplicable",
+        "nature_of_transaction": "gstnatureoftransaction",
+    },
+    "mst_opening_batch_allocation": {
+        "name": "batchname",
+        "item": "..name",
+        "godown": "godownname",
+        "manufactured_on": "mfdon",
+    },
+    "mst_opening_bill_allocation": {
+        "ledger": "..name",
+    },
+    "trn_closingstock_ledger": {
+        "ledger": "..name",
+        "stock_date": "date",
+        "stock_value": "amount",
+    },
+    "mst_stockitem_standard_cost": {
+        "item": "..name",
+    },
+    "mst_stockitem_standard_price": {
+        "item": "..name",
+    },
+    "trn_voucher": {
+        "voucher_type": "vouchertypename",
+        "reference_number": "reference",
+        "party_name": "partyledgername",
+    },
+    "trn_accounting": {
+        "ledger": "ledgername",
+    },
+    "trn_inventory": {
+        "item": "stockitemname",
+        "quantity": "actualqty",
+        "additional_amount": "addlamount",
+        "discount_amount": "discount",
+        "godown": "godownname",
+        "order_number": "orderno",
+    },
+    "trn_cost_centre": {
+        "ledger": "ledgername",
+        "costcentre": "name",
+    },
+    "trn_cost_category_centre": {
+        "ledger": "ledgername",
+        "costcategory": "category",
+        "costcentre": "name",
+    },
+    "trn_cost_inventory_category_centre": {
+        "ledger": "ledgername",
+        "item": "stockitemname",
+        "costcategory": "category",
+        "costcentre": "name",
+    },
+    "trn_bill": {
+        "ledger": "ledgername",
+    },
+    "trn_bank": {
+        "ledger": "..ledgername",
+    },
+    "trn_batch": {
+        "item": "stockitemname",
+        "name": "batchname",
+        "quantity": "actualqty",
+        "godown": "godownname",
+        "destination_godown": "destinationgodownname",
+    },
+    "trn_inventory_additional_cost": {
+        "ledger": "ledgername",
+        "additional_allocation_type": "addlalloctype",
+    },
+    "trn_attendance": {
+        "employee_name": "name",
+        "attendancetype_name": "attendancetype",
+        "time_value": "attdtypetimevalue",
+        "type_value": "attdtypevalue",
+    },
+}
 
 # Base voucher types by their effect; any other type has none of the three.
 ACCOUNTING_TYPES = ["Journal", "Receipt", "Payment", "Contra", "Purchase", "Sales", "Credit Note",

@@ -22,17 +22,23 @@ from daybook.plans.store import Store
 from daybook.schema import LINKS, TABLES, tables
 from daybook.session import scratch
 
-# Rows that go with a removed master, as table.column holding its guid.
+# Rows that go with a removed master, as (table, column holding its guid).
 # Everything below a voucher goes with the voucher.
 _CASCADE_DELETE = {
-    "mst_ledger": "mst_opening_bill_allocation._ledger trn_closingstock_ledger._ledger",
-    "mst_stock_item": "mst_gst_effective_rate._item mst_opening_batch_allocation._item "
-                      "mst_stockitem_standard_cost._item mst_stockitem_standard_price._item",
-    "trn_voucher": " ".join(f"{t.name}.guid" for t in tables("transaction", "Derived")),
+    "mst_ledger": [
+        ("mst_opening_bill_allocation", "_ledger"),
+        ("trn_closingstock_ledger", "_ledger"),
+    ],
+    "mst_stock_item": [
+        ("mst_gst_effective_rate", "_item"),
+        ("mst_opening_batch_allocation", "_item"),
+        ("mst_stockitem_standard_cost", "_item"),
+        ("mst_stockitem_standard_price", "_item"),
+    ],
+    "trn_voucher": [(t.name, "guid") for t in tables("transaction", "Derived")],
 }
 CASCADE_DELETE: list[tuple[str, str, str]] = [
-    (parent, *target.split(".")) for parent, targets in _CASCADE_DELETE.items()
-    for target in targets.split()]
+    (parent, table, column) for parent, targets in _CASCADE_DELETE.items() for table, column in targets]
 
 
 def watermark(config: DataFrame, name: str) -> DataFrame:

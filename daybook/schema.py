@@ -189,32 +189,97 @@ def tables(half: str | None = None, nature: str | None = None) -> list[Table]:
             if half in (None, t.half) and nature in (None, t.nature)]
 
 
-# Which column of which table names a row of which master. In the incremental
-# schema each such column ``x`` has a sibling ``_x`` holding the guid of the named row.
-# Starred links exist as columns but a rename of the master is not carried over to them.
-_LINKS = {
-    "mst_group": "mst_group.parent mst_ledger.parent",
-    "mst_ledger": "trn_accounting.ledger trn_cost_centre.ledger trn_cost_category_centre.ledger "
-                  "trn_cost_inventory_category_centre.ledger trn_bill.ledger trn_bank.ledger "
-                  "trn_inventory_additional_cost.ledger trn_payhead.payhead_name "
-                  "*mst_opening_bill_allocation.ledger *trn_closingstock_ledger.ledger "
-                  "*trn_voucher.party_name *mst_payhead.parent",
-    "mst_vouchertype": "mst_vouchertype.parent trn_voucher.voucher_type",
-    "mst_uom": "mst_stock_item.uom *mst_stock_item.alternate_uom *mst_attendance_type.uom",
-    "mst_godown": "mst_godown.parent mst_opening_batch_allocation.godown trn_inventory.godown "
-                  "trn_batch.godown trn_batch.destination_godown",
-    "mst_stock_category": "mst_stock_item.category *mst_stock_category.parent",
-    "mst_stock_group": "mst_stock_group.parent mst_stock_item.parent",
-    "mst_stock_item": "trn_inventory.item trn_batch.item trn_cost_inventory_category_centre.item "
-                      "mst_stockitem_standard_cost.item mst_stockitem_standard_price.item "
-                      "*mst_gst_effective_rate.item *mst_opening_batch_allocation.item",
-    "mst_cost_category": "trn_cost_category_centre.costcategory "
-                         "trn_cost_inventory_category_centre.costcategory trn_employee.category "
-                         "trn_payhead.category *mst_employee.parent",
-    "mst_cost_centre": "mst_cost_centre.parent trn_cost_centre.costcentre trn_cost_category_centre.costcentre "
-                       "trn_cost_inventory_category_centre.costcentre trn_employee.employee_name "
-                       "trn_payhead.employee_name trn_attendance.employee_name",
-    "mst_attendance_type": "trn_attendance.attendancetype_name *mst_attendance_type.parent",
+# Which column of which table names a row of which master, as (table, column). In the
+# incremental schema each such column ``x`` has a sibling ``_x`` holding the guid of the named row.
+# A rename of the master is carried over to these columns.
+_RENAMED_LINKS = {
+    "mst_group": [
+        ("mst_group", "parent"),
+        ("mst_ledger", "parent"),
+    ],
+    "mst_ledger": [
+        ("trn_accounting", "ledger"),
+        ("trn_cost_centre", "ledger"),
+        ("trn_cost_category_centre", "ledger"),
+        ("trn_cost_inventory_category_centre", "ledger"),
+        ("trn_bill", "ledger"),
+        ("trn_bank", "ledger"),
+        ("trn_inventory_additional_cost", "ledger"),
+        ("trn_payhead", "payhead_name"),
+    ],
+    "mst_vouchertype": [
+        ("mst_vouchertype", "parent"),
+        ("trn_voucher", "voucher_type"),
+    ],
+    "mst_uom": [
+        ("mst_stock_item", "uom"),
+    ],
+    "mst_godown": [
+        ("mst_godown", "parent"),
+        ("mst_opening_batch_allocation", "godown"),
+        ("trn_inventory", "godown"),
+        ("trn_batch", "godown"),
+        ("trn_batch", "destination_godown"),
+    ],
+    "mst_stock_category": [
+        ("mst_stock_item", "category"),
+    ],
+    "mst_stock_group": [
+        ("mst_stock_group", "parent"),
+        ("mst_stock_item", "parent"),
+    ],
+    "mst_stock_item": [
+        ("trn_inventory", "item"),
+        ("trn_batch", "item"),
+        ("trn_cost_inventory_category_centre", "item"),
+        ("mst_stockitem_standard_cost", "item"),
+        ("mst_stockitem_standard_price", "item"),
+    ],
+    "mst_cost_category": [
+        ("trn_cost_category_centre", "costcategory"),
+        ("trn_cost_inventory_category_centre", "costcategory"),
+        ("trn_employee", "category"),
+        ("trn_payhead", "category"),
+    ],
+    "mst_cost_centre": [
+        ("mst_cost_centre", "parent"),
+        ("trn_cost_centre", "costcentre"),
+        ("trn_cost_category_centre", "costcentre"),
+        ("trn_cost_inventory_category_centre", "costcentre"),
+        ("trn_employee", "employee_name"),
+        ("trn_payhead", "employee_name"),
+        ("trn_attendance", "employee_name"),
+    ],
+    "mst_attendance_type": [
+        ("trn_attendance", "attendancetype_name"),
+    ],
+}
+
+# Columns that name a master as well, to which a rename is not carried over.
+_FIXED_LINKS = {
+    "mst_ledger": [
+        ("mst_opening_bill_allocation", "ledger"),
+        ("trn_closingstock_ledger", "ledger"),
+        ("trn_voucher", "party_name"),
+        ("mst_payhead", "parent"),
+    ],
+    "mst_uom": [
+        ("mst_stock_item", "alternate_uom"),
+        ("mst_attendance_type", "uom"),
+    ],
+    "mst_stock_category": [
+        ("mst_stock_category", "parent"),
+    ],
+    "mst_stock_item": [
+        ("mst_gst_effective_rate", "item"),
+        ("mst_opening_batch_allocation", "item"),
+    ],
+    "mst_cost_category": [
+        ("mst_employee", "parent"),
+    ],
+    "mst_attendance_type": [
+        ("mst_attendance_type", "parent"),
+    ],
 }
 
 
@@ -231,8 +296,9 @@ class Link:
 
 
 LINKS: list[Link] = [
-    Link(master, *entry.lstrip("*").split("."), not entry.startswith("*"))
-    for master, entries in _LINKS.items() for entry in entries.split()
+    Link(master, table, column, renames)
+    for links, renames in ((_RENAMED_LINKS, True), (_FIXED_LINKS, False))
+    for master, entries in links.items() for table, column in entries
 ]
 
 
