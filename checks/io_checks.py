@@ -43,6 +43,30 @@ def _xml(spark, folder):
     return ingest.flatten(xml.read_documents(spark, path, "voucher"), "trn_accounting")
 
 
+def _landed_once(spark, folder):
+    """The same export parsed once and landed; the table is flattened from there."""
+    path = scratch(spark, "xml")
+    docs = testbed_documents.voucher_documents(spark, folder)
+    docs.select(*[F.col(f.name).cast(xml.export_type(f.dataType)).alias(xml.export_tag(f.name, f.dataType)) for f in docs.schema.fields]
+                ).write.format("xml").options(rootTag="ENVELOPE", rowTag="VOUCHER").save(f"{path}/export")
+    xml.land(spark, f"{path}/export", "voucher", f"{path}/landed")
+    return ingest.flatten(xml.landed(spark, f"{path}/landed"), "trn_accounting")
+
+
+def _quarantined(spark, folder):
+    """Objects with an unclosed field go into quarantine and into the quality table, all others are read."""
+    path = scratch(spark, "broken")
+    guid, broken = F.col("guid"), F.col("k") % 50 == 0
+    Testbed(spark, folder).orders().select(F.concat(
+        F.lit("<VOUCHER><GUID>"), guid, F.when(broken, "</GUID><DATE>2020</VOUCHER>").otherwise("</GUID><DATE>20200401</DATE></VOUCHER>")
+    ).alias("value")).write.text(f"{path}/export")
+    counts = xml.land(spark, f"{path}/export", "voucher", f"{path}/landed")
+    apart = xml.quarantine(spark, f"{path}/landed").select(F.lit("broken").alias("kind"), F.regexp_extract(xml.BROKEN, "<GUID>(.*?)<", 1).alias("guid"))
+    return (xml.landed(spark, f"{path}/landed").select(F.lit("document").alias("kind"), "guid").unionByName(apart)
+            .unionByName(ingest.landed_quality(spark, "voucher", counts).select(
+                F.lit("quality").alias("kind"), F.concat_ws("-", "table", "present", "rejected").alias("guid"))))
+
+
 def _csv_books(spark, folder):
     """Ledgers through the CSV sink into a bare set of tables, queried as a view."""
     path = scratch(spark, "csv")
@@ -269,6 +293,8 @@ QUERIES = {
     "t16_raw_export": _raw_export,
     "s1_delimited_scan": _delimited,
     "s2_xml_scan": _xml,
+    "s2_xml_landed_once": _landed_once,
+    "s17_quarantine": _quarantined,
     "s4_csv_reimport": _csv_books,
     "s5_period_scan": lambda spark, folder: scan.in_period(
         Testbed(spark, folder).vouchers(), FROM, TO).select("guid", "date"),
@@ -316,6 +342,10 @@ ORACLE = {
       select guid, date, '"' || o_orderpriority || '" España' as narration, '' as reference_number,
         case when m = 0 then date end as reference_date, (m in (3, 8, 9))::tinyint as is_invoice from ord"""),
     "s2_xml_scan": with_books(_ACCOUNTING),
+    "s2_xml_landed_once": with_books(_ACCOUNTING),
+    "s17_quarantine": with_books("""
+      select if(k % 50 = 0, 'broken', 'document') as kind, guid from ord
+      union all select 'quality', 'voucher-' || count(*) filter (k % 50 <> 0) || '-' || count(*) filter (k % 50 = 0) from ord"""),
     "s4_csv_reimport": with_books("""
       select guid, name, parent, is_revenue::tinyint as is_revenue,
         cast(opening_balance as decimal(17,2)) as opening_balance, gstn from mst_ledger"""),

@@ -135,6 +135,14 @@ def quality(docs: DataFrame, table: Table | str) -> DataFrame:
         F.lit(table.name).alias("table"), "column", "present", "defaulted", "rejected")
 
 
+def landed_quality(spark, collection: str, counts: Mapping[str, int]) -> DataFrame:
+    """The row of the quality table for a landed collection's objects; broken ones are rejected."""
+    return spark.range(1).select(
+        F.lit(collection).alias("table"), F.lit("").alias("column"),
+        F.lit(counts["objects"] - counts["broken"]).cast("long").alias("present"), F.lit(0).cast("long").alias("defaulted"),
+        F.lit(counts["broken"]).cast("long").alias("rejected"))
+
+
 @dataclass(frozen=True)
 class FieldSpec:
     """A column of a user-defined table.

@@ -7,7 +7,7 @@ lists occur varies from export to export.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,9 +69,12 @@ def _tag(name: str, dtype: T.DataType) -> T.StructField:
     return T.StructField(upper, dtype)
 
 
-def read_documents(spark: SparkSession, path: str, collection: str, encoding: str = "UTF-8",
-                   row_tag: str | None = None) -> DataFrame:
-    """The objects of one collection.
+BROKEN = "_broken"
+
+
+def read_objects(spark: SparkSession, path: str, collection: str, encoding: str = "UTF-8",
+                 row_tag: str | None = None) -> DataFrame:
+    """The objects of one collection, those that are no XML as their text in ``_broken`` alone.
 
     UTF-8 exports are cut at the closing tags of their objects, so tasks share a large file.
     UTF-16LE exports without byte-order mark are read whole, with the legacy parser; land large
@@ -81,8 +84,9 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
     tags = T.StructType([_tag(f.name, f.dataType) for f in schema.fields])
     if "name" in schema.names:
         tags = tags.add("@NAME", T.StringType())
+    tags = tags.add(BROKEN, T.StringType())
     tag = row_tag or collection.upper()
-    options = {"attributePrefix": "@", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
+    options = {"attributePrefix": "@", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
     if encoding.upper() == "UTF-16LE":
         raw = spark.read.format("xml").options(
             rowTag=tag, encoding=encoding, useLegacyXMLParser="true", **options).schema(tags).load(path)
@@ -103,7 +107,41 @@ def read_documents(spark: SparkSession, path: str, collection: str, encoding: st
             c = F.coalesce(c, F.col("`@NAME`"))
         return c.cast(field.dataType).alias(field.name)  # struct casts rename by position
 
-    return raw.select(*[column(f) for f in schema.fields])
+    return raw.select(*[column(f) for f in schema.fields], BROKEN)
+
+
+def read_documents(spark: SparkSession, path: str, collection: str, encoding: str = "UTF-8",
+                   row_tag: str | None = None) -> DataFrame:
+    """The objects of one collection that are XML; see ``read_objects``."""
+    return documents(read_objects(spark, path, collection, encoding, row_tag))
+
+
+def documents(objects: DataFrame) -> DataFrame:
+    return objects.where(F.col(BROKEN).isNull()).drop(BROKEN)
+
+
+def land(spark: SparkSession, path: str, collection: str, folder: str, encoding: str = "UTF-8",
+         row_tag: str | None = None) -> dict[str, int]:
+    """Parse an export once and store its objects as nested Parquet below ``folder``.
+
+    All tables of the collection are flattened from there, each reading the columns it needs.
+    Returns how many objects there are and how many of them are broken, counted while writing.
+    """
+    seen = Observation(f"landed {collection}")
+    objects = read_objects(spark, path, collection, encoding, row_tag)
+    objects.observe(seen, F.count(F.lit(1)).alias("objects"), F.count(BROKEN).alias("broken")).write.mode(
+        "overwrite").parquet(folder)
+    return seen.get
+
+
+def landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that ``land`` has stored."""
+    return documents(spark.read.parquet(folder))
+
+
+def quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The text of the objects that could not be parsed."""
+    return spark.read.parquet(folder).where(F.col(BROKEN).isNotNull()).select(BROKEN)
 
 
 def export_tag(name: str, dtype: T.DataType) -> str:

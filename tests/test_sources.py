@@ -176,3 +176,21 @@ def test_schema_catalogue():
     assert sum(link.renames for link in LINKS) == 38
     assert [c for c, _ in incremental_columns(TABLES["mst_group"])][:5] == [
         "guid", "alterid", "name", "parent", "_parent"]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "utf-16-le"])
+def test_broken_objects_are_kept_apart(spark, tmp_path, encoding):
+    text = ("<ENVELOPE><LEDGER NAME='a'><GUID>1</GUID></LEDGER><LEDGER NAME='b'><GUID>2</LEDGER>"
+            "<LEDGER NAME='c'><GUID>3</GUID></LEDGER></ENVELOPE>")
+    (tmp_path / "b.xml").write_bytes(text.encode(encoding))
+    name = "UTF-16LE" if encoding != "utf-8" else "UTF-8"
+    if name == "UTF-8":
+        counts = xml.land(spark, str(tmp_path / "b.xml"), "ledger", str(tmp_path / "landed"), name)
+        assert counts == {"objects": 3, "broken": 1}
+        assert [r[0] for r in xml.quarantine(spark, str(tmp_path / "landed")).collect()] == ["<LEDGER NAME='b'><GUID>2</LEDGER>"]
+        landed = xml.landed(spark, str(tmp_path / "landed"))
+        assert sorted((r.name, r.guid) for r in landed.collect()) == [("a", "1"), ("c", "3")]
+        plan = landed.select("guid")._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and "FileScan text" not in plan and "from_xml" not in plan
+    found = {(r.name, r.guid) for r in xml.read_documents(spark, str(tmp_path / "b.xml"), "ledger", name).collect()}
+    assert found <= {("a", "1"), ("c", "3")} and ("a", "1") in found
