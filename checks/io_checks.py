@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import report_checks
 from checks.oracle_books import with_books
 from checks.ingest_checks import _ACCOUNTING, _LIVE
 from daybook.operators import calendar
 from daybook.operators.reshape import explode_path
-from daybook.plans import ingest, sinks, sync
+from daybook.plans import ingest, reports, sinks, sync
 from daybook.plans import store as st
-from daybook.plans.books import Books, conform
+from daybook.plans.books import Books, conform, open_books
+from daybook.plans.months import save_by_month
 from daybook.schema import TABLES
 from daybook.session import scratch
 from checks import testbed_documents
@@ -67,6 +69,14 @@ def _quarantined(spark, folder):
                 F.lit("quality").alias("kind"), F.concat_ws("-", "table", "present", "rejected").alias("guid"))))
 
 
+def _sales_by_month(spark, folder):
+    """Daily sales of the period from books stored by month: folders of other months are not read."""
+    path, bed = scratch(spark, "by-month"), testbed(spark, folder)
+    names = ["mst_group", "mst_ledger", "mst_vouchertype", "trn_voucher", "trn_accounting"]
+    save_by_month(Books(spark, {n: bed[n] for n in names}), path)
+    return reports.sales_daily(open_books(spark, path, names), report_checks.FROM, report_checks.TO)
+
+
 def _csv_books(spark, folder):
     """Ledgers through the CSV sink into a bare set of tables, queried as a view."""
     path = scratch(spark, "csv")
@@ -294,6 +304,7 @@ QUERIES = {
     "s1_delimited_scan": _delimited,
     "s2_xml_scan": _xml,
     "s2_xml_landed_once": _landed_once,
+    "s5_sales_daily_by_month": _sales_by_month,
     "s17_quarantine": _quarantined,
     "s4_csv_reimport": _csv_books,
     "s5_period_scan": lambda spark, folder: scan.in_period(
@@ -343,6 +354,7 @@ ORACLE = {
         case when m = 0 then date end as reference_date, (m in (3, 8, 9))::tinyint as is_invoice from ord"""),
     "s2_xml_scan": with_books(_ACCOUNTING),
     "s2_xml_landed_once": with_books(_ACCOUNTING),
+    "s5_sales_daily_by_month": report_checks.ORACLE["r12_sales_daily"],
     "s17_quarantine": with_books("""
       select if(k % 50 = 0, 'broken', 'document') as kind, guid from ord
       union all select 'quality', 'voucher-' || count(*) filter (k % 50 <> 0) || '-' || count(*) filter (k % 50 = 0) from ord"""),
