@@ -2,6 +2,7 @@
 
 import itertools
 import textwrap
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -216,7 +217,7 @@ def test_bad_hosts_are_blocked(spark):
     assert {(r.host, r.verdict) for r in rows} == {("bad.site.net", "block"), ("good.site.net", "allow")}
 
 
-WEIGHT = {"word": 1.0, "p": -0.05, "/p": -0.05}
+WEIGHT = {"word": 1.0, "p": -0.05, "/p": -0.05, ".sidebar": -3.0, ".comments": -3.0, ".ad": -3.0}
 
 
 @pytest.mark.parametrize("page, text", [
@@ -225,11 +226,43 @@ WEIGHT = {"word": 1.0, "p": -0.05, "/p": -0.05}
     ("<div class='sidebar left'>a b</div><div id=main><p>c d e</p></div><div class=comments><p>f g h i</p></div>", "c d e"),
     ("<article><p>1 &lt; 2<br>3</p><script>var a='</p>'</script><form>x</form></article><footer>y", "1 < 2 3"),
     ("<form><p>never closed <article><p>kept text</p></article>", "kept text"),
+    # an element that frames the page is no form beside the article
+    ("<body><form action='/x'><h1>Head</h1><p>a b c d</p><p>e f g</p></form><footer>z</footer></body>", "Head\na b c d\ne f g"),
+    ("<form><p>q</p><main><p>a b c d</p></main></form>", "a b c d"),
+    # names that no labelled page has as something else than text say nothing
+    ("<div class='share-price-table'><h1>Head</h1><p>a b c</p></div>", "Head\na b c"),
+    ("<div class='search-results main'><p>a b c</p></div>", "a b c"),
+    ("<article><p>a b</p><section id='related-work'><p>c d</p></section><p class='notice'>e f</p></article>", "a b\nc d\ne f"),
+    ("<article><div class='article-header'><h1>T u</h1><p>lead a</p></div><p>b c</p></article>", "T u\nlead a\nb c"),
+    ("<article><p>a b</p><div class='ad'>buy now</div><p>c d</p></article>", "a b\nc d"),
+    ("<div class='ad'>buy<p>a b c", "a b c"),
+    ("<aside><article><p>teaser x</p></article></aside><main><p>a b c</p></main>", "a b c"),
+    ("<a href=x title='a > b'>link</a> if a < b <!-- <p> --> and c", "link if a < b and c"),
 ])
 def test_page_text(page, text):
     assert page_text.extract(page, WEIGHT) == text
 
 
+@pytest.mark.parametrize("piece", [
+    "<div class='ad'>x", "<a \"' x", "<a b=\"' x", "<! x", "<script></script", "<nav><p>x</nav>", "</p><b>", "<", "<a b='x "])
+def test_long_odd_pages(piece):
+    begin = time.monotonic()
+    page_text.extract(piece * (5_000_000 // len(piece)), WEIGHT)
+    assert time.monotonic() - begin < 60
+
+
+def test_marks_are_learned(spark):
+    words = "one two three four five six seven eight nine ten"
+    html = ("<div class='top-7 x'>buy this thing today</div><div class='text'><p>{0}</p><p class='aside-like'>{1}</p>"
+            "<div id='r2'>more from our shop</div><p>{0} end</p></div>")
+    pages = spark.createDataFrame([(i, "u", html.format(f"{words} {i}", f"and {words}")) for i in range(30)],
+                                  "page_id long, url string, html string")
+    known = spark.createDataFrame([(i, f"{words} {i}\nand {words}\n{words} {i} end") for i in range(30)], "page_id long, text string")
+    weight = page_text.fit(pages, known)
+    assert weight[".top"] < -3 and weight[".r"] < -3 and weight[".text"] == weight[".aside-like"] == 0
+    assert one(page_text.texts(pages, weight).collect(), "page_id")[3].text == f"{words} 3\nand {words}\n{words} 3 end"
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a b</p>"), (1, "u", "<p>a b</p>"), (None, None, None)], "page_id long, url string, html string")
     weight = page_text.fit(pages, spark.createDataFrame([(1, "a b")], "page_id long, text string"))
