@@ -4,8 +4,9 @@ The index is partitioned by document: one stored row per block of documents hold
 postings, the ascending positions of each term in the block. A gap between documents keeps matches
 inside them. Benchmark windows are then answered block by block: candidates come from the rarest
 term of a window in that block, and the postings of its other terms, moved back by their offsets,
-are intersected one after another in order of rarity. Only the benchmark travels to the blocks, in
-parts of a bounded size; no document text or posting is shuffled.
+are intersected one after another in order of rarity. The executors make and store the windows in
+parts of a bounded size; these travel to the blocks round by round, one bounded round at a time in
+the driver. No document text or posting is shuffled.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from daybook.llm import textblocks as tb
 from daybook.llm.tables import by_row, narrow, stored, without_rows
 
 BLOCK_BYTES = 512 << 10
-#: Benchmark words that are sent to the executors at once; a larger benchmark goes in several parts.
-PART_WORDS = 2_000_000
+#: Benchmark windows that the executors are sent at once (about 70 bytes each); a larger benchmark
+#: goes in several rounds.
+PART_WORDS = 500_000
 _INDEX = "ids binary, nulls binary, lengths binary, terms binary, counts binary, positions binary"
+_PARTS = "size int, n long, items array<string>, vocabulary binary, matrix binary, owner binary, owners binary"
 
 
 def _tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,44 +58,76 @@ def _build(gap: int) -> Callable:
 def index(docs: DataFrame, gap: int) -> DataFrame:
     """Stores the postings of all words of all documents, one row per block of documents."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(slim.mapInArrow(tb.tidy(_build(gap)), _INDEX), "postings")
+    blocks = slim.mapInArrow(tb.tidy(_build(gap)), _INDEX)
+    return stored(blocks.withColumn("block", F.monotonically_increasing_id()), "postings")
 
 
 class Windows:
-    """A part of the benchmark: its distinct windows of equal length in a matrix, and their items."""
-
-    def __init__(self, size: int, items: list, windows: dict[tuple, set]):
-        self.size, self.items = size, items
-        keys = list(windows)
-        self.matrix = np.array(keys, np.uint64).reshape(len(keys), size)
-        self.owner = np.concatenate([np.fromiter(windows[k], np.int64) for k in keys])
-        self.owners = np.array([len(windows[k]) for k in keys], np.int64)
-
-
-def _parts(bench: DataFrame, size: int) -> Iterator[list[Windows]]:
-    """Benchmark windows by length, in parts of bounded size.
-
-    The benchmark is read item by item; an item joins the part under way until it is full.
-    """
-    items, windows, held = [], {}, 0
-
-    def done() -> list[Windows]:
-        return [Windows(n, items, w) for n, w in windows.items()]
-
-    for row in bench.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        hashes, _ = _tokens(pa.array([row[1]], pa.string()))
-        if not len(hashes):
-            continue
-        n = min(size, len(hashes))
-        items.append(row[0])
-        for i in range(len(hashes) - n + 1):
-            windows.setdefault(n, {}).setdefault(tuple(hashes[i:i + n].tolist()), set()).add(len(items) - 1)
-        held += len(hashes)
-        if held >= PART_WORDS:
-            yield done()
-            items, windows, held = [], {}, 0
-    if held:
-        yield done()
+    """A part of the benchmark: its distinct windows of equal length, as places in a sorted vocabulary, and their items."""
+
+    def __init__(self, row: dict):
+        self.items = row["items"]
+        self.vocabulary = np.frombuffer(row["vocabulary"], np.uint64)
+        self.matrix = np.frombuffer(row["matrix"], np.uint32).reshape(-1, row["size"])
+        self.owner, self.owners = np.frombuffer(row["owner"], np.int64), np.frombuffer(row["owners"], np.int64)
+
+
+def _cutter(size: int, most: int) -> Callable:
+    """Items to the rows of ``_PARTS``, of about ``most`` windows each; a long item is cut."""
+    def part(items: list, held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for n, chunks in held.items():
+            keys, window = np.unique(np.concatenate([c for c, _ in chunks]), axis=0, return_inverse=True)
+            item = np.repeat([k for _, k in chunks], [len(c) for c, _ in chunks])
+            pairs = np.unique(np.stack([window.reshape(-1), item], 1), axis=0)
+            vocabulary, matrix = np.unique(keys, return_inverse=True)
+            fields = vocabulary, matrix.astype(np.uint32), pairs[:, 1], np.bincount(pairs[:, 0], minlength=len(keys))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([items], pa.list_(pa.string())),
+                 *(pa.array([x.tobytes()], pa.binary()) for x in fields)],
+                names=[x.split()[0] for x in _PARTS.split(", ")])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, held, total = [], {}, 0
+        for batch in batches:
+            for name, text in zip(batch.column("item_id").to_pylist(), batch.column("text")):
+                hashes, _ = _tokens(pa.array([text.as_py()], pa.string()))
+                if not len(hashes):
+                    continue
+                n = min(size, len(hashes))
+                view = np.lib.stride_tricks.sliding_window_view(hashes, n)
+                for at in range(0, len(view), most):
+                    if not at or not items:
+                        items.append(name)
+                    held.setdefault(n, []).append((view[at:at + most], len(items) - 1))
+                    total += len(held[n][-1][0])
+                    if total >= most:
+                        yield from part(items, held)
+                        items, held, total = [], {}, 0
+        if total:
+            yield from part(items, held)
+    return cut
+
+
+def windows(bench: DataFrame, size: int) -> DataFrame:
+    """Stores the benchmark's windows in parts of at most about ``PART_WORDS``, made by the executors."""
+    slim = bench.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
+    held = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a word and what follows it take two bytes or more
+    dealt = slim.repartition(1 + held // (2 * PART_WORDS), F.xxhash64("item_id", "text"))
+    parts = dealt.mapInArrow(tb.tidy(_cutter(size, PART_WORDS)), _PARTS)
+    return stored(parts.withColumn("part", F.monotonically_increasing_id()), "windows")
+
+
+def _rounds(parts: DataFrame) -> list[list[int]]:
+    """Numbers of parts that go out together: at most ``PART_WORDS`` windows, or one part."""
+    rounds, total = [], 0
+    for part, n in sorted(map(tuple, parts.select("part", "n").collect())):
+        if not rounds or total + n > PART_WORDS:
+            rounds.append([])
+            total = 0
+        rounds[-1].append(part)
+        total += n
+    return rounds
 
 
 class Postings:
@@ -112,16 +147,16 @@ class Postings:
         at = np.minimum(np.searchsorted(self.terms, words), max(len(self.terms) - 1, 0))
         return np.where(self.terms[at] == words, at, -1) if len(self.terms) else np.full(words.shape, -1)
 
-    def search(self, matrix: np.ndarray, slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, part: Windows, slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window numbers, first and last positions of their occurrences.
 
         With ``slack`` 0 the words stand next to each other. Otherwise they stand in order, and
         each at most ``slack`` positions further on than right after its predecessor.
         """
-        ids = self.find(matrix)
-        window = np.flatnonzero((ids >= 0).all(axis=1))
-        ids = ids[window]
-        rows, size = np.arange(len(window)), matrix.shape[1]
+        known = self.find(part.vocabulary)
+        window = np.flatnonzero((known >= 0)[part.matrix].all(axis=1))
+        ids = known[part.matrix[window]]
+        rows, size = np.arange(len(window)), part.matrix.shape[1]
         if slack:
             return self._near(window, ids, slack)
         order = np.argsort(self.counts[ids], axis=1, kind="stable")  # rarest first
@@ -174,8 +209,9 @@ class Postings:
         return tuple(np.unique(found, axis=0).T) if len(found) else (found[:, 0],) * 3
 
 
-def _answer(parts: list[Windows], gap: int, slack: int) -> Callable:
+def _answer(sent, gap: int, slack: int) -> Callable:
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [Windows(row) for row in sent.value]
         for frame in frames:
             for row in frame.itertuples(index=False):
                 yield _block(row, parts, gap, slack)
@@ -188,15 +224,16 @@ def _block(row, parts: list[Windows], gap: int, slack: int) -> pd.DataFrame:
     lengths = np.frombuffer(row.lengths, np.int64)
     base = np.cumsum(lengths + gap) - (lengths + gap)
     postings = Postings(row)
-    found, owner, label = [], [], []
+    found, owner, label, names = [], [], [], []
     for part in parts:
-        window, start, end = postings.search(part.matrix, slack)
+        window, start, end = postings.search(part, slack)
         doc = np.searchsorted(base, start, "right") - 1
         found.append(np.stack([doc, start - base[doc], end - base[doc]], 1))
         n = part.owners[window]
         first = np.cumsum(part.owners) - part.owners
         owner.append(np.repeat(doc, n))
-        label.append(part.owner[tb.ranges(first[window], n)])
+        label.append(part.owner[tb.ranges(first[window], n)] + len(names))
+        names += part.items
     hits, owner, label = (np.concatenate(x) if x else np.zeros((0, 3), np.int64) for x in (found, owner, label))
     spans = [[] for _ in ids]
     items = [[] for _ in ids]
@@ -206,17 +243,16 @@ def _block(row, parts: list[Windows], gap: int, slack: int) -> pd.DataFrame:
             last[1] = max(last[1], b)
         else:
             spans[d].append([a, b])
-    names = parts[0].items if parts else []
     if len(owner):
         for d, k in np.unique(np.stack([owner, label], 1), axis=0).tolist():
             if names[k] is not None:
                 items[d].append(names[k])
-    return pd.DataFrame({"doc_id": pd.Series(ids, dtype="Int64").mask(nulls), "n_words": lengths,
+    return pd.DataFrame({"block": row.block, "place": np.arange(len(ids)), "doc_id": pd.Series(ids, dtype="Int64").mask(nulls), "n_words": lengths,
                          "spans": [[{"first": a, "last": b} for a, b in s] for s in spans],
                          "items": [sorted(set(x)) for x in items]})
 
 
-_MATCHES = "doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<string>"
+_MATCHES = "block long, place long, doc_id long, n_words long, spans array<struct<first:long,last:long>>, items array<string>"
 
 
 def matches(docs: DataFrame, bench: DataFrame, size: int = 10, slack: int = 0) -> DataFrame:
@@ -230,23 +266,33 @@ def matches(docs: DataFrame, bench: DataFrame, size: int = 10, slack: int = 0) -
     are judged each for itself.
     """
     gap = slack + 1
-    postings = index(docs, gap)
-    answers = [postings.mapInPandas(_answer(part, gap, slack), _MATCHES) for part in _parts(bench, size)]
-    if not answers:
-        return postings.mapInPandas(_answer([], gap, slack), _MATCHES)
-    if len(answers) == 1:
-        return answers[0]
+    postings, parts = index(docs, gap), windows(bench, size)
+    rounds = _rounds(parts) or [[]]
+    first = _round(postings, parts, rounds[0], gap, slack)
+    if len(rounds) == 1:
+        return first.drop("block", "place")
+    # each round's answer is stored before the next one's windows are read
+    answers = [stored(first, "answer")]
+    for numbers in rounds[1:]:
+        answers.append(stored(_round(postings, parts, numbers, gap, slack).where(F.size("spans") > 0), "answer"))
     return _merged(answers)
 
 
+def _round(postings: DataFrame, parts: DataFrame, numbers: list[int], gap: int, slack: int) -> DataFrame:
+    """The matches of some parts; what is broadcast is bounded by how ``_rounds`` puts them together."""
+    picked = parts.where(F.col("part").isin(numbers)).orderBy("part").collect() if numbers else []
+    sent = postings.sparkSession.sparkContext.broadcast([r.asDict() for r in picked])
+    return postings.mapInPandas(_answer(sent, gap, slack), _MATCHES)
+
+
 def _merged(answers: list[DataFrame]) -> DataFrame:
-    """Answers of several benchmark parts as one: spans united, items joined.
+    """Answers of several rounds as one: spans united, items joined.
 
-    Blocks keep their order of documents, so a row is known by its block and place.
+    The first has a row for every document, the others for those that they match; a row is known by
+    its block and place.
     """
-    placed = [a.withColumn("place", F.monotonically_increasing_id()) for a in answers]
-    every = placed[0]
-    for a in placed[1:]:
+    every = answers[0]
+    for a in answers[1:]:
         every = every.unionByName(a)
     united = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
@@ -256,9 +302,9 @@ def _merged(answers: list[DataFrame]) -> DataFrame:
                                   F.element_at(acc, -1)["first"].alias("first"),
                                   F.greatest(F.element_at(acc, -1)["last"], s["last"]).alias("last")))))
         .otherwise(F.concat(acc, F.array(s))))
-    return every.groupBy("place").agg(
+    return every.groupBy("block", "place").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), united.alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("place")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("block", "place")
 
 
 def digest(found: DataFrame) -> DataFrame:
