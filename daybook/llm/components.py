@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from daybook.llm.tables import stored
 
+#: A node with more edges than this, and than a thousandth of all their ends, is a hub.
+HUB_EDGES = 1000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of edges (a, b) of longs; root is the smallest node reachable.
 
     Alternates large-star and small-star steps until nothing changes; each step is one combinable
     minimum per node and one join, and its result is a stored table. Loops and nulls are ignored.
+    The edges of a hub stay where they are and its minimum goes to them.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .distinct(), "edges")
     mark = _mark(now)
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+        hub = max(HUB_EDGES, 2 * mark[0] // 1000)
+        large = _beside(both, low, hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        small = (_beside(large, least, hub).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         now = stored(small, "edges")
         before, mark = mark, _mark(now)
@@ -32,5 +37,15 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
+def _beside(edges: DataFrame, least: DataFrame, hub: int) -> DataFrame:
+    """Edges (a, b) with the minimum m of their a.
+
+    Nodes of more than ``hub`` edges, of which there are at most 1000, are broadcast.
+    """
+    hubs = F.broadcast(least.where(F.col("n") > hub).select("a", "m"))
+    others = least.where(F.col("n") <= hub).select("a", "m")
+    return edges.join(hubs, "a").unionByName(edges.join(hubs.select("a"), "a", "left_anti").join(others, "a"))
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
