@@ -7,10 +7,26 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from daybook.llm import textblocks as tb
 
 #: Hashes that a task deals out at once.
 DEAL = 500_000
+#: Buckets for each shuffle partition, and the least and most bytes of text that a bucket stands for.
+BUCKETS, LEAST_BYTES, MOST_BYTES = 4, 1 << 20, 32 << 20
+
+
+def buckets_of(texts: DataFrame, column: str = "text") -> int:
+    """Number of buckets to deal the texts out to.
+
+    A multiple of the shuffle partitions, within what the texts need: a task's rows for each bucket
+    hold something to pack, and a bucket's share fits a worker, whatever the number of partitions.
+    """
+    total = texts.agg(F.sum(F.octet_length(column))).first()[0] or 0
+    wanted = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) * BUCKETS
+    return max(1, -(-total // MOST_BYTES), min(wanted, -(-total // LEAST_BYTES)))
 
 
 def packed(values: np.ndarray, lengths: np.ndarray) -> pa.Array:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import suffix_sort
 from daybook.llm import textblocks as tb
-from daybook.llm.dealing import DEALT, deal, dealer_of, dealt, flat, frequencies, numbers, packed
+from daybook.llm.dealing import DEALT, buckets_of, deal, dealer_of, dealt, flat, frequencies, numbers, packed
 from daybook.llm.tables import stored
 
 GRAM = 50
@@ -419,9 +419,8 @@ def remove(docs: DataFrame, width: int = 100, with_text: bool = False, frequent:
     others, and strings at one place of rows that share an id (or have none) count as one.
     Other columns are not looked at.
     """
-    conf = docs.sparkSession.conf
-    buckets = int(conf.get("spark.sql.shuffle.partitions")) * 4
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    buckets = buckets_of(slim)
     slim = slim.withColumn("cid", F.xxhash64("text", F.octet_length("text")))
     packs, found = _found(slim, buckets, width, frequent)
     repeats = stored(found.groupBy("bucket").applyInArrow(_sorter(buckets, width), _REPEATS), "repeats")

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from daybook.llm import (byte_convnet, content_sort, licences, ngram_join, packing, page_text, positional_index,
+from daybook.llm import (byte_convnet, content_sort, dealing, licences, ngram_join, packing, page_text, positional_index,
                          repeats, signature_tree, string_kernel, suffix_sort, textblocks, url_reputation)
 from daybook.llm.components import components
 from daybook.llm.registry import vocabulary
@@ -81,14 +81,18 @@ def test_near_copies_in_blocks(spark):
         assert {x.doc_id: (x.n_shingles, x.component_id) for x in rows} == near_components(docs)
 
 
-def test_repeats(awkward, nothing):
+@pytest.mark.parametrize("least", [200, 1 << 20])
+def test_repeats(awkward, nothing, monkeypatch, least):
+    monkeypatch.setattr(dealing, "LEAST_BYTES", least)  # many buckets, and one
+    assert dealing.buckets_of(awkward) == (16 if least == 200 else 1) and dealing.buckets_of(nothing) == 1
     rows = repeats.remove(awkward).collect()
     want = repeated({r.doc_id: r.text for r in awkward.where("doc_id is not null").collect()})
     assert {d: tuple(r)[1:] for d, r in one(rows).items()} == want
     assert len(rows) == awkward.count() and repeats.remove(nothing).count() == 0
 
 
-def test_repeats_of_frequent_strings(spark):
+def test_repeats_of_frequent_strings(spark, monkeypatch):
+    monkeypatch.setattr(dealing, "LEAST_BYTES", 1000)
     r = np.random.default_rng(2)
     text = lambda n: "".join(r.choice(list("abcdefgh "), n))
     passage = text(160)
