@@ -29,6 +29,8 @@ SAMPLE_CHUNKS = 6
 EPOCHS = 6
 STEPS = 300
 SLICE_BYTES = 256 << 10
+#: Bytes whose responses are held at once.
+PIECE_BYTES = 64 << 10
 _SCORES = "doc_id long, held_out boolean, score double"
 _SAMPLE = "key long, quality int, n int, chunks binary"
 
@@ -103,6 +105,25 @@ def _gradients(net: Network, x, lengths, at, n, label, weight) -> list[np.ndarra
     return [d_filters, features.T @ d_h, d_h.sum(0), h.T @ d_logit, d_logit.sum(keepdims=True)]
 
 
+def _block_maxima(padded: np.ndarray, cuts: np.ndarray, pairs: list[np.ndarray]) -> np.ndarray:
+    """The largest responses between neighbouring cuts, in pieces that overlap by the filters' width.
+
+    The responses of a piece are all that is held at once, however long a text is.
+    """
+    ends = np.append(cuts[1:], len(padded) - WIDTH)
+    at = np.unique(np.searchsorted(cuts, np.arange(0, ends[-1] + PIECE_BYTES, PIECE_BYTES)))
+    out = np.empty((len(cuts), FILTERS), np.float32)
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+        start, n = cuts[lo], ends[hi - 1] - cuts[lo]
+        piece = padded[start:start + n + WIDTH]
+        pair = piece[:-1].astype(np.int32) << 8 | piece[1:]
+        response = pairs[0][pair[:n]]
+        for k in range(1, WIDTH // 2):
+            response += pairs[k][pair[2 * k:2 * k + n]]
+        out[lo:hi] = np.maximum.reduceat(response, cuts[lo:hi] - start)
+    return out
+
+
 def features(net: Network, data: np.ndarray, offsets: np.ndarray,
              pairs: list[np.ndarray]) -> np.ndarray:
     """Mean and maximum over the overlapping chunks of each document of the pooled responses."""
@@ -111,11 +132,6 @@ def features(net: Network, data: np.ndarray, offsets: np.ndarray,
     base = np.cumsum(spans + WIDTH) - (spans + WIDTH)
     padded = np.zeros(int((spans + WIDTH).sum()) + WIDTH, np.uint8)
     padded[tb.ranges(base, lengths)] = data
-    pair = padded[:-1].astype(np.int32) << 8 | padded[1:]
-    n = len(padded) - WIDTH
-    response = pairs[0][pair[:n]]
-    for k in range(1, WIDTH // 2):
-        response += pairs[k][pair[2 * k:2 * k + n]]
     blocks = -(-spans // STEP)
     owner = np.repeat(np.arange(len(spans)), blocks)
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -123,7 +139,7 @@ def features(net: Network, data: np.ndarray, offsets: np.ndarray,
     cuts = np.concatenate([base[owner] + inner * STEP, base + spans])
     order = np.argsort(cuts, kind="stable")
     best = np.empty((len(cuts), FILTERS), np.float32)
-    best[order] = np.maximum.reduceat(response, cuts[order])
+    best[order] = _block_maxima(padded, cuts[order], pairs)
     best = np.maximum(best[:len(owner)], 0)
     follows = np.concatenate([owner[1:] == owner[:-1], [False]])
     chunk = best.copy()
