@@ -115,18 +115,13 @@ def profit_and_loss(books: Books, keep_notes: bool = False, zero_if_empty: bool
     """
     effect = F.col("is_order_voucher") == 0 if keep_notes else posted()
     types = voucher_categories(books).where(F.col("affects_stock") == 0).select("voucher_type")
-    vouchers = lookup(books.trn_voucher.where(effect).select("guid", "voucher_type"),
-                      types, "voucher_type", measure=True).select("guid")
+    vouchers = books.trn_voucher.where(effect).select("guid", "voucher_type")
     groups = ledger_groups(books)
-    # per-ledger sums first: few rows remain to be matched with groups, whatever the hot ledgers
-    revenue = groups.where(F.col("group_is_revenue") == 1)
-    balances = entries(
-        books, vouchers,
-        with_ledgers(books, books.trn_accounting.select("guid", "ledger", "amount"),
-                     revenue.select("ledger").distinct(), "left_semi"),
-    ).groupBy("ledger").agg(F.sum("amount").alias("balance"))
+    # sums by ledger and type first: few rows remain to meet the masters, whatever the hot ledgers
+    moved = entries(books, vouchers, books.trn_accounting.select("guid", "ledger", "amount")).groupBy(
+        "ledger", "voucher_type").agg(F.sum("amount").alias("balance"))
     by_group = (
-        balances.join(revenue, "ledger")
+        moved.join(types, "voucher_type").join(groups.where(F.col("group_is_revenue") == 1), "ledger")
         .groupBy(F.col("primary_group").alias("group"), "ledger")
         .agg(F.when(F.max("group_is_deemedpositive") == 1, "expense").otherwise("income").alias("nature"),
              F.when(F.max("affects_gross_profit") == 1, "Y").otherwise("N").alias("affects_gross_profit"),

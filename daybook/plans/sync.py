@@ -14,7 +14,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.operators.lookup import lookup
+from daybook.operators.lookup import is_small, lookup
 from daybook.plans.books import Books
 from daybook.plans.months import MONTH
 from daybook.plans.sinks import STATE_MASTER, STATE_SYNCED, STATE_TRANSACTION
@@ -40,6 +40,10 @@ _CASCADE_DELETE = {
 CASCADE_DELETE: list[tuple[str, str, str]] = [
     (parent, table, column) for parent, targets in _CASCADE_DELETE.items() for table, column in targets]
 
+KEYS = ("guid", "alterid")
+#: Groups that keys are compared in before they are joined.
+LEAVES = 1 << 16
+
 
 def watermark(config: DataFrame, name: str) -> DataFrame:
     """The last synchronised change number of one half, 0 before the first run."""
@@ -66,9 +70,42 @@ def gate(last: Mapping[str, int], source: Mapping[str, int]) -> Gate:
                 any(source[half] < last[half] for half in ("master", "transaction")))
 
 
+def _leaf() -> Column:
+    return F.pmod(F.xxhash64("guid"), F.lit(LEAVES)).cast("int").alias("_leaf")
+
+
+def _signed(keys: DataFrame, sign: int) -> DataFrame:
+    digest = F.xxhash64(*keys.columns)
+    return keys.select(
+        _leaf(), F.lit(sign).alias("n"), (F.shiftright(digest, 32) * sign).alias("high"),
+        (digest.bitwiseAND(F.lit(0xFFFFFFFF)) * sign).alias("low"), F.col("guid").isNull().alias("odd"))
+
+
+def changed_leaves(current: DataFrame, source: DataFrame) -> DataFrame:
+    """The groups of keys that are not the same on both sides, at most ``LEAVES`` numbers.
+
+    Groups are formed by a hash of ``guid``. Their counts and sums of 64-bit digests over all columns
+    do not depend on the order of rows and are combined before the shuffle, so no key is shuffled. A
+    group with keys missing altogether counts as changed.
+    """
+    sides = _signed(current, 1).unionByName(_signed(source, -1))
+    return sides.groupBy("_leaf").agg(*[F.sum(c).alias(c) for c in ("n", "high", "low")], F.max("odd").alias("odd")).where(
+        "n <> 0 or high <> 0 or low <> 0 or odd").select("_leaf")
+
+
+def suspects(current: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys of both sides, cut down to the groups that differ, where the source's are too many to broadcast."""
+    if is_small(source):
+        return current, source
+    leaves = F.broadcast(changed_leaves(current, source))
+    cut = [df.withColumn("_leaf", _leaf()).join(leaves, "_leaf", "left_semi").drop("_leaf") for df in (current, source)]
+    return cut[0], cut[1]
+
+
 def deleted_keys(current: DataFrame, source: DataFrame) -> DataFrame:
     """Keys of rows that the source no longer has."""
-    return lookup(current.select("guid"), source.select("guid"), "guid", "left_anti", unique=True)
+    ours, theirs = suspects(current.select("guid"), source.select("guid"))
+    return lookup(ours, theirs, "guid", "left_anti", unique=True)
 
 
 def _with_source(current: DataFrame, source: DataFrame, how: str) -> DataFrame:
@@ -83,12 +120,12 @@ def _modified() -> Column:
 
 def modified_keys(current: DataFrame, source: DataFrame) -> DataFrame:
     """Keys of rows whose change number differs in the source."""
-    return _with_source(current.select("guid", "alterid"), source, "inner").where(_modified()).select("guid")
+    return _with_source(*suspects(current.select(*KEYS), source.select(*KEYS)), "inner").where(_modified()).select("guid")
 
 
 def removed_keys(current: DataFrame, source: DataFrame) -> DataFrame:
     """Deleted and modified keys, in one pass; modified rows come back with the append."""
-    compared = _with_source(current.select("guid", "alterid"), source, "left")
+    compared = _with_source(*suspects(current.select(*KEYS), source.select(*KEYS)), "left")
     return compared.where(F.col("_in_source").isNull() | _modified()).select("guid")
 
 

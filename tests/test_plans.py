@@ -3,6 +3,7 @@
 import pytest
 
 from checks import registry
+from daybook.operators import lookup
 from daybook.plans import reports as R
 from daybook.plans.books import open_books
 from daybook.plans.sinks import load
@@ -67,3 +68,20 @@ def test_nested_columns_are_pruned(spark, folder, tmp_path):
 def test_oracle_texts_read_whole_tables():
     for name, sql in registry.oracle_sql().items():
         assert " limit " not in sql.lower(), name
+
+
+def test_profit_and_loss_reads_its_facts_once(spark, stored, monkeypatch):
+    """Without any broadcast: no sketch of hot keys, one scan of each fact table."""
+    want = sorted(map(tuple, R.profit_and_loss(stored).collect()), key=str)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = R.profit_and_loss(stored)
+        p = plan(df)
+        assert "approx_top_k" not in p and "Generate" not in p
+        scans = [line for line in p.split("\n") if "FileScan" in line]
+        assert sum("/trn_accounting" in s for s in scans) == 1 and sum("/trn_voucher" in s for s in scans) == 1
+        assert sorted(map(tuple, df.collect()), key=str) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.operators import lookup
 from daybook.plans import sync as S
 from daybook.plans.books import Books
 from daybook.plans.sinks import STATE_TRANSACTION
@@ -222,3 +223,30 @@ def test_polling_stream(spark, folder, tmp_path):
     finally:
         query.stop()
     assert store.books()["trn_voucher"].count() == 1
+
+
+def test_keys_are_joined_only_where_digests_differ(spark, monkeypatch):
+    """Removed, changed and new keys, and one without a guid, among many that stay."""
+    before = spark.range(20000).selectExpr("if(id = 7, null, concat('g', id)) as guid", "id as alterid")
+    after = (before.where("alterid not in (11, 12)")
+             .selectExpr("guid", "if(alterid in (100, 2000), alterid + 1000000, alterid) as alterid")
+             .unionByName(spark.sql("select 'new' as guid, 3000000L as alterid")).repartition(3))
+    found = lambda f: {r.guid for r in f(before, after).collect()}
+    functions = (S.deleted_keys, S.modified_keys, S.removed_keys)
+    want = [found(f) for f in functions]
+    assert want[1] == {"g100", "g2000"} and want[0] >= {"g11", "g12"}
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    assert [found(f) for f in functions] == want
+    ours, theirs = S.suspects(before, after)
+    assert {"g11", "g12", "g100", "g2000"} <= {r.guid for r in ours.collect()}
+    assert ours.count() + theirs.count() < 40
+    # what is shuffled by guid has met the digests before
+    for side in S.removed_keys(before, after)._jdf.queryExecution().executedPlan().toString().split("hashpartitioning(guid")[1:]:
+        assert "LeftSemi" in side.split("hashpartitioning(guid")[0]
+
+
+def test_equal_sides_have_no_changed_leaves(spark):
+    keys = spark.range(5000).selectExpr("concat('g', id % 4000) as guid", "id as alterid")
+    assert S.changed_leaves(keys, keys.repartition(5)).isEmpty()
+    assert S.changed_leaves(keys.limit(0), keys.limit(0)).isEmpty()
+    assert S.changed_leaves(keys, keys.unionByName(keys.limit(1))).count() == 1
