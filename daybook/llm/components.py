@@ -22,11 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
                  .distinct(), "edges")
     mark = _mark(now)
     while True:
+        # each step is a table of its own: composed, one round's plan would hold the edges dozens of times
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("a", "m"))
+        low = stored(both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+                     .withColumn("m", F.least("a", "m")), "low")
         hub = max(HUB_EDGES, 2 * mark[0] // 1000)
-        large = _beside(both, low, hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
+        large = stored(_beside(both, low, hub).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                       .distinct(), "large")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "least")
         small = (_beside(large, least, hub).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         now = stored(small, "edges")
