@@ -42,7 +42,7 @@ def _xml(spark, folder):
     tags = docs.select(*[F.col(f.name).cast(xml.export_type(f.dataType)).alias(
         xml.export_tag(f.name, f.dataType)) for f in docs.schema.fields])
     tags.write.format("xml").options(rootTag="ENVELOPE", rowTag="VOUCHER").save(path)
-    return ingest.flatten(xml.read_documents(spark, path, "voucher"), "trn_accounting")
+    return ingest.flatten(xml.read_documents(spark, path, "voucher", names=["trn_accounting"]), "trn_accounting")
 
 
 def _landed_once(spark, folder):

@@ -7,6 +7,8 @@ lists occur varies from export to export.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +16,11 @@ from pyspark.sql import types as T
 from daybook.plans.definitions import EXTRA_FIELDS, PLAIN_LISTS, collections, source
 
 
-def document_schema(collection: str) -> T.StructType:
+def document_schema(collection: str, names: Collection[str] | None = None) -> T.StructType:
     """Lower-case nested schema of a collection; every leaf is text.
 
     A field used by a list's table is declared on every object along the path, because it may
-    be given on any of them.
+    be given on any of them. With ``names`` it has what these tables read, and what selects documents.
     """
     tree: dict = {}
 
@@ -30,7 +32,7 @@ def document_schema(collection: str) -> T.StructType:
             node.setdefault(field, None)
 
     plain = PLAIN_LISTS.get(collection, [])
-    for table in collections()[collection]:
+    for table in (t for t in collections()[collection] if names is None or t.name in names):
         path = table.path.split(".")[1:]
         for column in table.columns:
             field = source(table, column).lstrip(".")
@@ -73,14 +75,16 @@ BROKEN = "_broken"
 
 
 def read_objects(spark: SparkSession, path: str, collection: str, encoding: str = "UTF-8",
-                 row_tag: str | None = None) -> DataFrame:
+                 row_tag: str | None = None, names: Collection[str] | None = None) -> DataFrame:
     """The objects of one collection, those that are no XML as their text in ``_broken`` alone.
 
+    With ``names`` only what these tables need is taken out of an object; all of it is still read.
+
     UTF-8 exports are cut at the closing tags of their objects, so tasks share a large file.
     UTF-16LE exports without byte-order mark are read whole, with the legacy parser; land large
     ones as UTF-8.
     """
-    schema = document_schema(collection)
+    schema = document_schema(collection, names)
     tags = T.StructType([_tag(f.name, f.dataType) for f in schema.fields])
     if "name" in schema.names:
         tags = tags.add("@NAME", T.StringType())
@@ -92,10 +96,15 @@ def read_objects(spark: SparkSession, path: str, collection: str, encoding: str
             rowTag=tag, encoding=encoding, useLegacyXMLParser="true", **options).schema(tags).load(path)
     else:
         pieces = spark.read.option("lineSep", f"</{tag}>").text(path)
+        # most pieces are white space and the object: nothing is searched there
+        trimmed = F.ltrim("value", F.lit(" \t\r\n"))
         start = F.regexp_instr("value", F.lit(rf"<{tag}[\s>]"))
-        objects = pieces.where(start > 0).select(
-            F.concat(F.substring("value", start, F.length("value")), F.lit(f"</{tag}>")).alias("value"))
-        raw = objects.select(F.from_xml("value", tags, {**options, "rowTag": tag}).alias("v")).select("v.*")
+        found = F.when(trimmed.startswith(f"<{tag}>"), trimmed).otherwise(
+            F.when(start > 0, F.substring("value", start, F.length("value"))))
+        objects = pieces.select(found.alias("value")).where(F.col("value").isNotNull()).select(
+            F.concat("value", F.lit(f"</{tag}>")).alias("value"))
+        # behind a generator an object is parsed once, not again for every filter and column that reads it
+        raw = objects.select(F.inline(F.array(F.from_xml("value", tags, {**options, "rowTag": tag}))))
 
     def column(field: T.StructField):
         tag = _tag(field.name, field.dataType).name
@@ -111,9 +120,9 @@ def read_objects(spark: SparkSession, path: str, collection: str, encoding: str
 
 
 def read_documents(spark: SparkSession, path: str, collection: str, encoding: str = "UTF-8",
-                   row_tag: str | None = None) -> DataFrame:
+                   row_tag: str | None = None, names: Collection[str] | None = None) -> DataFrame:
     """The objects of one collection that are XML; see ``read_objects``."""
-    return documents(read_objects(spark, path, collection, encoding, row_tag))
+    return documents(read_objects(spark, path, collection, encoding, row_tag, names))
 
 
 def documents(objects: DataFrame) -> DataFrame:
