@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.plans.books import Books, conform
+from daybook.session import compiled
 
 VOUCHER_TYPES = ["Sales Order", "Delivery Note", "Credit Note", "Purchase", "Debit Note",
                  "Receipt", "Payment", "Contra", "Sales"]
@@ -75,6 +76,7 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        compiled(spark)
         self._sources: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:

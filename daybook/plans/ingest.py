@@ -6,7 +6,7 @@ of structs, leaves as export text (typed leaves are accepted too).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -56,21 +56,22 @@ def with_base_types(vouchers: DataFrame, voucher_types: DataFrame) -> DataFrame:
 
 
 def flatten(docs: DataFrame, table: Table | str, start=None, end=None, after: int | None = None,
-            masters: Mapping[str, DataFrame] | None = None) -> DataFrame:
+            masters: Mapping[str, DataFrame] | None = None, carried: Collection[str] = ()) -> DataFrame:
     """Rows of one table from the documents of its collection.
 
     ``start``/``end`` bound the voucher date and ``after`` the change number. With ``masters``
-    the result has the incremental schema: ``alterid`` and the guids of named masters.
+    the result has the incremental schema: ``alterid`` and the guids of named masters. Columns of
+    the documents that are ``carried`` follow as they are.
     """
     table = TABLES[table] if isinstance(table, str) else table
     rows = _selected(docs, table, start, end, after)
     columns = [value(rows, table, c).cast(table.type(c)).alias(c) for c in table.columns]
     if masters is None:
-        return rows.df.select(*columns)
+        return rows.df.select(*columns, *carried)
     alterid = rows.raw("alterid").try_cast("bigint").alias("alterid")
-    flat = rows.df.select(*columns, *([alterid] if table.nature == "Primary" else []))
+    flat = rows.df.select(*columns, *([alterid] if table.nature == "Primary" else []), *carried)
     return with_master_guids(flat, table, masters).select(
-        *[F.col(c).cast(t).alias(c) for c, t in incremental_columns(table)])
+        *[F.col(c).cast(t).alias(c) for c, t in incremental_columns(table)], *carried)
 
 
 def with_master_guids(df: DataFrame, table: Table, masters: Mapping[str, DataFrame]) -> DataFrame:

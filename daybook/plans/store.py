@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from daybook.plans.books import Books
 from daybook.plans.months import MONTH, is_dealt, placed
 from daybook.plans.sinks import full_refresh, write_all
+from daybook.session import compiled
 
 PARTS = 16
 _BUCKET, _RUN = "_bucket", "_run"
@@ -46,6 +47,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, folder: str, parts: int = PARTS, by: str = "month"):
         self.spark, self.folder, self.parts, self.by = spark, folder.rstrip("/"), parts, by
+        compiled(spark)
 
     def placed(self, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         return placed(tables, self.by)
@@ -61,6 +63,10 @@ class Store:
         files = self._files()
         return sorted(s.getPath().getName() for s in files.listStatus(path)) if files.exists(path) else []
 
+    def drop(self, name: str) -> None:
+        """Removes a folder of the store that no version names."""
+        self._files().delete(self._path(name), True)
+
     def _controls(self) -> list[str]:
         return [n for n in self._names("control") if n.endswith(".json") and not n.startswith(".")]
 

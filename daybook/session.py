@@ -33,6 +33,15 @@ def session(app: str = "daybook", master: str | None = None, **conf: str) -> Spa
     return builder.getOrCreate()
 
 
+def compiled(spark: SparkSession) -> None:
+    """Sets the limit of generated methods in a session that was made elsewhere.
+
+    Spark's own limit lets methods pass that the JVM never compiles but interprets.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(limit, SETTINGS[limit])
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, visible to every executor.
 

@@ -12,6 +12,7 @@ applied, so a batch that is delivered again changes nothing.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
@@ -20,10 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from daybook.functions.decode import date_value
 from daybook.operators.hierarchy import members
+from daybook.operators import lookup as joins
 from daybook.operators.lookup import lookup
+from daybook.operators.reshape import explode_path
 from daybook.plans.ingest import STOCK_GROUP, flatten, with_base_types
-from daybook.plans.months import MONTH
+from daybook.plans.months import MONTH, month_of
 from daybook.plans.sinks import STATE_SYNCED, STATE_TRANSACTION
 from daybook.plans.store import Store, Version
 from daybook.plans.sync import CASCADE_DELETE, appended, renamed, renumbered, with_names, without
@@ -82,6 +86,7 @@ class Batch:
         self.renames: dict[str, DataFrame] = {}
         self.accepted: list[DataFrame] = []  # guid, alterid and deleted of the changes that count
         self.held: list[DataFrame] = []
+        self.folder = f"data/batch-{uuid.uuid4().hex}"  # of documents that several tables are read from
         self.types = voucher_types
         self.top = 0
 
@@ -89,6 +94,44 @@ class Batch:
         self.held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once; each table then reads the fields it needs. Untyped columns cannot be written."""
+        if "void" in df.schema.simpleString():
+            return self.hold(df)
+        path = f"{self.store.folder}/{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.store.spark.read.schema(df.schema).parquet(path)
+
+    def latest(self, changes: DataFrame) -> DataFrame:
+        """The last change of every object.
+
+        A batch of a stream comes as whole rows, so it is stored before its keys are read. These tell which
+        objects changed more than once. Only where they are many, all documents are shuffled.
+        """
+        changes = self.stage("changes", changes)
+        several = self.hold(changes.groupBy(F.col("guid").alias("_guid")).count().where("count > 1").select("_guid"))
+        repeated = several.count()
+        if repeated == 0:
+            return changes
+        if repeated > joins.BROADCAST_ROWS:
+            return self.stage("latest", newest(changes))
+        several, same = F.broadcast(several), F.col("guid").eqNullSafe(F.col("_guid"))
+        return self.stage("latest", changes.join(several, same, "left_anti").unionByName(
+            newest(changes.join(several, same, "left_semi"))))
+
+    def accepted_of(self, latest: DataFrame, keys: DataFrame, count: int) -> DataFrame:
+        """The documents of ``latest`` with the given keys; all of them are read from where they are."""
+        if count == latest.count():
+            return latest
+        keys = keys.select(F.col("guid").alias("_guid"))
+        keys = F.broadcast(keys) if count <= joins.BROADCAST_ROWS else keys
+        return self.stage("accepted", latest.join(keys, F.col("guid").eqNullSafe(F.col("_guid")), "left_semi"))
+
+    def close(self) -> None:
+        for df in self.held:
+            df.unpersist()
+        self.store.drop(self.folder)
+
     def table(self, name: str) -> DataFrame | None:
         """A master table as this batch leaves it, or as it is stored."""
         return self.result[name] if name in self.result else self.store.rows(self.head, name)
@@ -167,15 +210,18 @@ class Batch:
         heads = store.rows(head, "trn_voucher", months=True)
         pending, parts, numbers = None, set(), None
         if "voucher" in self.routes:
-            latest = self.hold(newest(self.routes["voucher"]))
+            latest = self.latest(self.routes["voucher"])
             # of the headers only keys, change numbers and folders are read
             known = None if heads is None else heads.select("guid", "alterid", MONTH)
-            pending = self.hold(_newer(latest, [known, self.deletions(latest)], int(head.state.get(STATE_SYNCED, -1))))
-            self.top = pending.agg(F.max("alterid")).first()[0] or 0
-            self.accepted.append(pending.select("guid", "alterid", "deleted"))
-            parts |= store.parts_of(pending.where(F.col(MONTH).isNotNull()))
-            removed = pending.select("guid")
-            pending = pending.drop(MONTH).where(~F.col("deleted")).drop("deleted")
+            keys = latest.select("guid", "alterid", "deleted")
+            keys = self.hold(_newer(keys, [known, self.deletions(keys)], int(head.state.get(STATE_SYNCED, -1))))
+            top, count = keys.agg(F.max("alterid"), F.count("*")).first()
+            self.top = top or 0
+            self.accepted.append(keys.drop(MONTH))
+            parts |= store.parts_of(keys.where(F.col(MONTH).isNotNull()))
+            removed = keys.select("guid")
+            removed = F.broadcast(removed) if count <= joins.BROADCAST_ROWS else removed
+            pending = self.accepted_of(latest, keys, count).where(~F.col("deleted")).drop("deleted")
         if NUMBERS in self.routes and heads is not None:
             numbers = self.hold(newest(self.routes[NUMBERS]).select("guid", "voucher_number"))
             fresh = numbers.withColumnRenamed("voucher_number", "_fresh")
@@ -191,17 +237,19 @@ class Batch:
             types = self.types if self.types is not None else self.table("mst_vouchertype")
             kept = pending if types is None or "basevouchertype" in pending.columns else with_base_types(pending, types)
             names = self.names()
+            # lines take the month from their own document, so none is joined to its header
+            kept = kept.withColumn(MONTH, month_of(date_value(explode_path(kept, "voucher").raw("date")), store.by))
             for table in tables("transaction"):
                 stored = store.columns(head, table.name)
                 plain = table.nature == "Derived" and (not names if stored is None else set(stored) <= set(table.columns))
-                rows[table.name] = flatten(kept, table, masters=None if plain else names)
-            rows = store.placed(rows)
+                rows[table.name] = flatten(kept, table, masters=None if plain else names, carried=[MONTH])
             parts |= store.parts_of(rows["trn_voucher"])
         for table in tables("transaction") if parts else []:
             stored = store.rows(head, table.name, parts, months=True)
             df = rows.get(table.name)
             if stored is not None:
-                df = stored if df is None else appended(without(stored, removed), df.select(stored.columns))
+                df = stored if df is None else appended(
+                    stored.join(removed, "guid", "left_anti"), df.select(stored.columns))  # a voucher has few lines
             if df is None:
                 continue
             for link in LINKS:
@@ -252,8 +300,7 @@ def apply_changes(store: Store, changes: DataFrame, batch: int,
         return store.commit(work.result, {STATE_TRANSACTION: str(last), mark: str(batch)},
                             {**{t.name: parts for t in tables("transaction")}, DELETED: remembered}, head)
     finally:
-        for df in work.held:
-            df.unpersist()
+        work.close()
 
 
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:

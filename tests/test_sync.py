@@ -250,3 +250,37 @@ def test_equal_sides_have_no_changed_leaves(spark):
     assert S.changed_leaves(keys, keys.repartition(5)).isEmpty()
     assert S.changed_leaves(keys.limit(0), keys.limit(0)).isEmpty()
     assert S.changed_leaves(keys, keys.unionByName(keys.limit(1))).count() == 1
+
+
+def _changes(spark):
+    return spark.sql("""
+      select * from values ('a', '20200401', 1L, false, 'old'), ('a', '20210401', 2L, false, 'new'), ('b', '20200501', 3L, false, 'b'),
+        (null, '20200601', 4L, false, 'none'), (null, '20200601', 5L, false, 'none again'), ('c', '20200701', 6L, false, 'c'),
+        ('c', '20200701', 6L, true, 'gone') as t(guid, date, alterid, deleted, narration)""").withColumn(
+        "allledgerentries", F.expr("array(struct('Cash' as ledgername, '1' as amount), struct('Bank' as ledgername, '-1' as amount))"))
+
+
+@pytest.mark.parametrize("rows_at_once", [0, 200_000])
+def test_batch_lines_are_not_joined_to_headers(spark, tmp_path, monkeypatch, rows_at_once):
+    """Lines have their document's month, repeats and objects without guid count once, nothing staged is left."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", rows_at_once)
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    store, plans, commit = Store(spark, str(tmp_path), 1, "month"), [], Store.commit
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+    def seen(self, tables, *args):
+        plans.append(tables["trn_accounting"]._jdf.queryExecution().optimizedPlan().toString())
+        return commit(self, tables, *args)
+
+    monkeypatch.setattr(Store, "commit", seen)
+    continuous.apply_changes(store, _changes(spark), 0)
+    assert "Join" not in plans[0]
+    lines = store.rows(store.head(), "trn_accounting", months=True)
+    assert sorted(tuple(r) for r in lines.groupBy("guid", "_month").count().collect()) == [
+        ("", 202006, 2), ("a", 202104, 2), ("b", 202005, 2)]
+    assert {(r.guid, r.narration) for r in store.books()["trn_voucher"].collect()} == {("", "none again"), ("a", "new"), ("b", "b")}
+    older = _changes(spark).where("guid in ('a', 'c')").withColumns({"alterid": F.lit(2), "narration": F.lit("late"), "deleted": F.lit(False)})
+    continuous.apply_changes(store, older.unionByName(_changes(spark).where("guid = 'b'").withColumn("alterid", F.lit(9))), 1)
+    assert {(r.guid, r.narration) for r in store.books()["trn_voucher"].collect()} == {
+        ("", "none again"), ("a", "new"), ("b", "b")}
+    assert store.books()["trn_accounting"].count() == 6 and not store._names("data")
