@@ -84,8 +84,11 @@ class Tree:
                 a = a[a // FAN == (a + step) // FAN]
                 self._descend(level, a, a + step)
 
+    def _room(self) -> int:
+        return max(1, STEP_WORDS // max(1, self.levels[0][0].shape[1]))
+
     def _descend(self, level: int, a: np.ndarray, b: np.ndarray) -> None:
-        room = max(1, STEP_WORDS // max(1, self.levels[0][0].shape[1]))
+        room = self._room()
         for at in range(0, len(a), room):
             self._step(level, a[at:at + room], b[at:at + room])
 
@@ -109,11 +112,13 @@ class Tree:
         self.labels.join(x[hit], y[hit])
         keep = self._apart(level, a, b)
         a, b, below = a[keep], b[keep], len(self.levels[level - 1][1])
-        for i in range(FAN):
-            for j in range(FAN):
-                x, y = a * FAN + i, b * FAN + j
-                fits = (x < below) & (y < below)
-                self._descend(level - 1, x[fits], y[fits])
+        i, j = np.divmod(np.arange(FAN * FAN), FAN)
+        room = max(1, self._room() // (FAN * FAN))
+        for at in range(0, len(a), room):  # all pairs of children at once: many pairs have few
+            x = (a[at:at + room, None] * FAN + i).ravel()
+            y = (b[at:at + room, None] * FAN + j).ravel()
+            fits = (x < below) & (y < below)
+            self._descend(level - 1, x[fits], y[fits])
 
 
 def links(tokens: np.ndarray, lengths: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:

@@ -40,3 +40,23 @@ def test_hub_edges_are_not_dealt_out(spark):
     assert rows.count() == both.count() and rows.where("m <> if(a = 1, 2, 5001)").count() == 0
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 2
+
+
+def test_chunks(spark, monkeypatch):
+    rng = random.Random(4)
+    edges = [(x, x + 1) for x in range(300)] + [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)]
+    edges += [(7, 7), (2000, 7), (2**62, -5), (-5, 8)] + [(2000, 7)] * 3
+    df = spark.createDataFrame(rng.sample(edges, len(edges)), "a long, b long").repartition(5)
+    for most in (20, 200, 200_000):  # many chunks, a few, one
+        monkeypatch.setattr(parts, "CHUNK", most)
+        found = dict(map(tuple, parts.components(df).collect()))
+        want = union_find(e for e in edges if e[0] != e[1])
+        assert found == want
+
+
+def test_one_chunk_takes_no_rounds(spark, monkeypatch):
+    """A path of 300 nodes took nine stored tables or more, each with a shuffle."""
+    made, stored = [], parts.stored
+    monkeypatch.setattr(parts, "stored", lambda df, label: made.append(label) or stored(df, label))
+    found = parts.components(spark.createDataFrame([(x, x + 1) for x in range(300)], "a long, b long"))
+    assert {r.root for r in found.collect()} == {0} and len(made) == 2

@@ -354,3 +354,17 @@ def test_bin_slack(counts, room):
         sums = {s + i * k for s in sums for i in range(n + 1) if s + i * k <= room}
     best, taken = packing.fill(order, room)
     assert best == max(sums) == sum(k * n for k, n in taken.items()) and all(n <= counts[k] for k, n in taken.items())
+
+
+def test_trees_take_many_pairs_at_once(monkeypatch):
+    """Sets that share too little to be linked: every pair of nodes used to be a step of its own."""
+    rng = np.random.default_rng(5)
+    common = np.arange(30, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(100, 400, 12).astype(np.uint64)])) for _ in range(600)]
+    steps, step = [], signature_tree.Tree._step
+    monkeypatch.setattr(signature_tree.Tree, "_step", lambda self, *args: steps.append(1) or step(self, *args))
+    label = signature_tree.links(np.concatenate(sets), np.array([len(s) for s in sets]))
+    linked = [(i, j) for i in range(600) for j in range(i) if signature_tree.linked(
+        len(np.intersect1d(sets[i], sets[j], assume_unique=True)), len(sets[i]), len(sets[j]))]
+    assert all(label[i] == label[j] for i, j in linked) and len(set(label)) > 100
+    assert 0 < len(steps) < 1000
