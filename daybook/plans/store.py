@@ -1,9 +1,9 @@
 """Versioned tables with one small control file per version.
 
 Tables with a voucher's ``guid`` are kept in parts: by the voucher's month, and in the month by a
-hash of ``guid``. A change rewrites only the parts that its vouchers lie in or move to; all other
-parts of the new version are the files of the old one. A version becomes visible when its control
-file is in place. Until then readers see the previous version, so a run that dies half-way leaves
+hash of ``guid``. A change rewrites only the parts that its vouchers lie in; new rows of other parts
+lie in a folder beside those that are there, and all other folders of the new version are those of
+the old one. A version becomes visible when its control file is in place. Until then readers see the previous version, so a run that dies half-way leaves
 nothing behind that anyone reads.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
 
@@ -26,6 +27,13 @@ from daybook.session import compiled
 PARTS = 16
 _BUCKET, _RUN = "_bucket", "_run"
 _WHOLE = "-"
+#: Between the name of a part and the run that added rows to it.
+_ADDED = "+"
+
+
+def _part(key: str) -> str:
+    """The part that an entry of the control file belongs to."""
+    return key.split(_ADDED)[0]
 
 
 class Superseded(RuntimeError):
@@ -111,7 +119,7 @@ class Store:
             return None
         table = version.tables[name]
         schema = T.StructType.fromJson(table["schema"])
-        paths = [p for k, p in table["parts"].items() if parts is None or k == _WHOLE or k in parts]
+        paths = [p for k, p in table["parts"].items() if parts is None or k == _WHOLE or _part(k) in parts]
         if _WHOLE in table["parts"]:
             return self.spark.read.schema(schema).parquet(*paths)
         kept = [*schema.names, MONTH] if months else list(schema.names)
@@ -121,6 +129,11 @@ class Store:
         return (self.spark.read.schema(schema).option("basePath", f"{self.folder}/tables/{name}")
                 .parquet(*paths).select(*kept))
 
+    def scattered(self, version: Version, name: str, most: int) -> set[str]:
+        """The parts of a table that lie in ``most`` folders or more."""
+        held = Counter(map(_part, version.tables[name]["parts"])) if name in version.tables else {}
+        return {p for p, n in held.items() if n >= most}
+
     def columns(self, version: Version, name: str) -> list[str] | None:
         """The columns of a table, from the control file; None if the version does not have it."""
         return [f["name"] for f in version.tables[name]["schema"]["fields"]] if name in version.tables else None
@@ -143,8 +156,8 @@ class Store:
                base: Version | None = None) -> dict[str, int]:
         """Write ``tables`` as the next version; tables not given keep their files.
 
-        With ``parts``, of all tables or by table, they hold the rows of these parts only, and the
-        other parts stay.
+        With ``parts``, of all tables or by table, they hold the whole rows of these parts, and the
+        other parts stay; rows they hold of other parts are added to what is there.
         ``base`` is the version the tables were derived from; if another one has been published
         since, nothing becomes visible. Lines without a month take that of their header in
         ``tables``. Returns the rows written per table.
@@ -162,8 +175,9 @@ class Store:
             if name in split:
                 own = parts.get(name) if isinstance(parts, Mapping) else parts
                 kept = entries.get(name, {"parts": {}})["parts"] if own is not None else {}
-                found = {k: p for k, p in kept.items() if k not in own}
-                found.update(self._moved(run, name))
+                found = {k: p for k, p in kept.items() if _part(k) not in own}
+                there = {_part(k) for k in found}
+                found.update((f"{k}{_ADDED}{run}" if k in there else k, p) for k, p in self._moved(run, name).items())
                 schema = T.StructType([f for f in df.schema.fields if f.name != MONTH])
             else:
                 found, schema = {_WHOLE: f"{self.folder}/data/{run}/{name}"}, df.schema

@@ -35,6 +35,9 @@ from daybook.schema import LINKS, TABLES, tables
 
 DELETED = "_deleted_voucher"
 NUMBERS = "number"
+#: A part in so many folders is rewritten when rows are added to it.
+FOLDERS = 8
+_ROW = "_row"
 
 
 def newest(changes: DataFrame) -> DataFrame:
@@ -106,15 +109,21 @@ class Batch:
         """The last change of every object.
 
         A batch of a stream comes as whole rows, so it is stored before its keys are read. These tell which
-        objects changed more than once. Only where they are many, all documents are shuffled.
+        objects changed more than once. Only where they are many, all documents are shuffled, once and
+        unsorted, by the number of the stored row.
         """
-        changes = self.stage("changes", changes)
+        untyped = "void" in changes.schema.simpleString()
+        numbered = self.stage("changes", changes if untyped else changes.withColumn(_ROW, F.monotonically_increasing_id()))
+        changes = numbered.drop(_ROW)
         several = self.hold(changes.groupBy(F.col("guid").alias("_guid")).count().where("count > 1").select("_guid"))
         repeated = several.count()
         if repeated == 0:
             return changes
         if repeated > joins.BROADCAST_ROWS:
-            return self.stage("latest", newest(changes))
+            if untyped:
+                return self.hold(newest(changes))
+            last = numbered.groupBy("guid").agg(F.max_by(_ROW, F.struct("alterid", "deleted")).alias(_ROW)).select(_ROW)
+            return self.stage("latest", numbered.join(last.hint("shuffle_hash"), _ROW, "left_semi").drop(_ROW))
         several, same = F.broadcast(several), F.col("guid").eqNullSafe(F.col("_guid"))
         return self.stage("latest", changes.join(several, same, "left_anti").unionByName(
             newest(changes.join(several, same, "left_semi"))))
@@ -218,9 +227,11 @@ class Batch:
             top, count = keys.agg(F.max("alterid"), F.count("*")).first()
             self.top = top or 0
             self.accepted.append(keys.drop(MONTH))
-            parts |= store.parts_of(keys.where(F.col(MONTH).isNotNull()))
-            removed = keys.select("guid")
-            removed = F.broadcast(removed) if count <= joins.BROADCAST_ROWS else removed
+            # only these can have rows in the store
+            removed = keys.where(F.col(MONTH).isNotNull())
+            parts |= store.parts_of(removed)
+            removed = removed.select("guid")
+            removed = F.broadcast(removed) if joins.fits(removed) else removed
             pending = self.accepted_of(latest, keys, count).where(~F.col("deleted")).drop("deleted")
         if NUMBERS in self.routes and heads is not None:
             numbers = self.hold(newest(self.routes[NUMBERS]).select("guid", "voucher_number"))
@@ -232,7 +243,7 @@ class Batch:
             if link.renames and TABLES[link.table].half == "transaction" and rows is not None and link.key in rows.columns:
                 keys = self.renames[link.master].select(F.col("guid").alias(link.key))
                 parts |= store.parts_of(lookup(rows.select("guid", link.key, MONTH), keys, link.key, "left_semi", measure=True))
-        rows = {}
+        rows, added = {}, set()
         if pending is not None:
             types = self.types if self.types is not None else self.table("mst_vouchertype")
             kept = pending if types is None or "basevouchertype" in pending.columns else with_base_types(pending, types)
@@ -243,8 +254,10 @@ class Batch:
                 stored = store.columns(head, table.name)
                 plain = table.nature == "Derived" and (not names if stored is None else set(stored) <= set(table.columns))
                 rows[table.name] = flatten(kept, table, masters=None if plain else names, carried=[MONTH])
-            parts |= store.parts_of(rows["trn_voucher"])
-        for table in tables("transaction") if parts else []:
+            # rows of parts where nothing goes are added beside what is there
+            added = store.parts_of(rows["trn_voucher"])
+            parts |= added & store.scattered(head, "trn_voucher", FOLDERS)
+        for table in tables("transaction") if parts or added else []:
             stored = store.rows(head, table.name, parts, months=True)
             df = rows.get(table.name)
             if stored is not None:

@@ -284,3 +284,49 @@ def test_batch_lines_are_not_joined_to_headers(spark, tmp_path, monkeypatch, row
     assert {(r.guid, r.narration) for r in store.books()["trn_voucher"].collect()} == {
         ("", "none again"), ("a", "new"), ("b", "b")}
     assert store.books()["trn_accounting"].count() == 6 and not store._names("data")
+
+
+def _voucher_changes(spark, rows):
+    return spark.createDataFrame([(g, a, d, date, "old" if text is None else text) for g, a, d, date, text in rows],
+                                 "guid string, alterid long, deleted boolean, date string, narration string")
+
+
+def test_new_vouchers_are_added_beside_stored_parts(spark, tmp_path):
+    """Parts that only gain vouchers were rewritten whole, so that every batch read and wrote all of a year."""
+    store = Store(spark, str(tmp_path), parts=1, by="year")
+    want, year = {}, {k: p for k, p in store.head().tables.items()}
+    for batch in range(continuous.FOLDERS + 2):
+        new = [(f"v{batch}-{i}", 10 * batch + i, False, f"{2001 + i}0401", None) for i in range(2)]
+        before = dict(year)
+        continuous.apply_changes(store, _voucher_changes(spark, new), batch)
+        year = store.head().tables["trn_voucher"]["parts"]
+        want |= {g: (a, t or "old") for g, a, _, _, t in new}
+        if 0 < batch < continuous.FOLDERS:
+            assert set(before.items()) <= set(year.items()) and len(year) == 2 * (batch + 1)
+    assert len(year) == 4  # rewritten once, when there were too many folders, and added to after that
+    # a change and a deletion rewrite the part they lie in, whatever folders it has
+    last = [("v0-0", 900, False, "20010401", "new"), ("v9-0", 901, True, "20010401", None), ("v1-1", 902, False, "20010401", "moved")]
+    continuous.apply_changes(store, _voucher_changes(spark, last), 99)
+    want |= {"v0-0": (900, "new"), "v1-1": (902, "moved")}
+    del want["v9-0"]
+    found = [(r.guid, (r.date.year, r.narration)) for r in store.books()["trn_voucher"].collect()]
+    assert sorted(g for g, _ in found) == sorted(want)
+    assert dict(found)["v0-0"] == (2001, "new") and dict(found)["v1-1"] == (2001, "moved")
+    assert sum(t == "old" for _, (_, t) in found) == len(want) - 2
+    store.forget(1)
+    assert store.books()["trn_voucher"].count() == len(want)
+
+
+def test_many_repeats(spark, tmp_path, monkeypatch):
+    """The last change of each object, found by keys; a deletion wins a tie, rows without guid are one object."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 3)
+    store = Store(spark, str(tmp_path), parts=1, by="year")
+    rows = [(f"v{i}", a, d, "20010401", f"{i}-{a}") for i in range(9) for a, d in ((1, False), (3, i % 3 == 0), (2, False), (3, False))]
+    work = continuous.Batch(store, store.head(), {}, None)
+    changes = _voucher_changes(spark, [*rows, (None, 5, False, "20010401", "x"), (None, 6, False, "20010401", "y"), ("w", None, False, "", "z")])
+    seen, newest = [], continuous.newest
+    monkeypatch.setattr(continuous, "newest", lambda df: seen.append(df.columns) or newest(df))
+    found = {(r.guid, r.alterid, r.deleted, r.narration) for r in work.latest(changes.repartition(3)).collect()}
+    work.close()
+    assert found == {(f"v{i}", 3, i % 3 == 0, f"{i}-3") for i in range(9)} | {(None, 6, False, "y"), ("w", None, False, "z")}
+    assert not seen  # documents are not aggregated
