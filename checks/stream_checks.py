@@ -10,9 +10,8 @@ from checks.oracle_books import with_books
 from checks.testbed_changes import two_states
 from daybook.plans import sync as S
 from daybook.plans.books import Books, conform
-from daybook.plans.ingest import flatten
+from daybook.plans.ingest import flattened
 from daybook.plans.store import Store
-from daybook.schema import tables
 from daybook.session import scratch
 from daybook.sources import scan
 from daybook.streaming import continuous
@@ -56,11 +55,12 @@ def _documents(spark, folder):
 def _into_synced(spark, folder):
     """Urgent vouchers streamed into tables that a sync has filled with all others."""
     before, _ = two_states(spark, folder)
-    docs, ledgers = _documents(spark, folder), before.ledgers()
+    docs, ledgers = _documents(spark, folder), io_checks.stored(before.ledgers(), "ledgers")
+    names = {"mst_ledger": io_checks.stored(ledgers.select("guid", "name"), "names")}
     store = Store(spark, scratch(spark, "synced"), parts=1, by="year")
-    others = docs.where("narration not like '%1-URGENT'").drop("deleted")
-    store.commit({"mst_ledger": ledgers, **{
-        t.name: flatten(others, t, masters={"mst_ledger": ledgers}) for t in tables("transaction")}})
+    others, few = flattened(
+        store, docs.where("narration not like '%1-URGENT'").drop("deleted"), scratch(spark, "others"), names)
+    store.commit({"mst_ledger": ledgers, **others}, ungathered=few)
     continuous.apply_changes(store, docs.where("narration like '%1-URGENT'"), 0)
     return store.books()["trn_accounting"].select("guid", "ledger", "_ledger", "amount")
 

@@ -14,7 +14,7 @@ from daybook.schema import TYPES
 
 _LEADING_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?"
 _DAYS = r"^(\d+)\sDays$"
-_NOT_NUMERIC = r"[^0-9.\-]"
+_NOT_NUMERIC = r"[^0-9.\-]+"
 
 # Entity -> character, replaced in this order (so "&amp;lt;" ends as "<").
 ENTITIES = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
@@ -40,7 +40,7 @@ def foreign_amount(raw: Column, sql_type: str = "decimal(17,2)") -> Column:
     The sign is that of the home-currency amount.
     """
     part = F.trim(F.split(raw, "@").getItem(0))
-    magnitude = F.abs(leading_number(F.regexp_replace(part, r"[^0-9.]", ""), sql_type))
+    magnitude = F.abs(leading_number(F.regexp_replace(part, r"[^0-9.]+", ""), sql_type))
     negative = leading_number(home_currency(raw), sql_type) < 0
     value = F.when(negative, -magnitude).otherwise(magnitude)
     return F.coalesce(F.when(raw.contains("@"), value), F.lit(0)).cast(sql_type)
@@ -49,7 +49,7 @@ def foreign_amount(raw: Column, sql_type: str = "decimal(17,2)") -> Column:
 def currency_symbol(raw: Column) -> Column:
     """The currency sign written before or after the first number, '' if none."""
     first = F.trim(F.split(F.coalesce(raw, F.lit("")), "@").getItem(0))
-    return F.trim(F.regexp_replace(first, r"[-+0-9.,()\s]", ""))
+    return F.trim(F.regexp_replace(first, r"[-+0-9.,()\s]+", ""))
 
 
 def minus_marker(raw: Column) -> Column:

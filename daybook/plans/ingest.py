@@ -11,15 +11,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions import decode as D
 from daybook.functions import fields as E
 from daybook.operators import hierarchy
-from daybook.operators.lookup import lookup
+from daybook.operators.lookup import fits, is_small, lookup
 from daybook.operators.reshape import Rows, compare, explode_path, explode_paths
 from daybook.plans.books import Books
 from daybook.plans.definitions import raw_value, value
-from daybook.schema import TABLES, TYPES, Table, incremental_columns, links_of
+from daybook.plans.months import MONTH, month_of, of_all_headers
+from daybook.plans.store import Store
+from daybook.schema import TABLES, TYPES, Table, incremental_columns, links_of, tables
+from daybook.sources.xml import document_schema
 
 STOCK_GROUP = "Stock-in-hand"
 
@@ -48,6 +52,31 @@ def _selected(docs: DataFrame, table: Table, start=None, end=None, after: int |
     return explode_path(docs.where(document_filters(whole, table, start, end, after)), table.path)
 
 
+def fields_read(schema: T.StructType, table: Table | str, carried: Collection[str] = ()) -> T.StructType:
+    """The fields that a table takes from documents of this schema, and the ``carried`` ones.
+
+    Where entries of a list are exploded, Spark reads all that they hold; stored documents are therefore
+    read with this schema.
+    """
+    table = TABLES[table] if isinstance(table, str) else table
+
+    def cut(have: T.DataType, wanted: T.DataType, more: Collection[str] = ()) -> T.DataType:
+        if isinstance(have, T.ArrayType) and isinstance(wanted, T.ArrayType):
+            return T.ArrayType(cut(have.elementType, wanted.elementType), have.containsNull)
+        if not (isinstance(have, T.StructType) and isinstance(wanted, T.StructType)):
+            return have
+        kept = [T.StructField(f.name, cut(f.dataType, wanted[f.name].dataType) if f.name in wanted.names else f.dataType, f.nullable)
+                for f in have.fields if f.name in wanted.names or f.name in more]
+        return T.StructType(kept) if kept else have
+
+    return cut(schema, document_schema(table.path.split(".")[0], [table.name]), ["basevouchertype", *carried])
+
+
+def dated(vouchers: DataFrame, by: str = "month") -> DataFrame:
+    """Voucher documents with the month of their date, which their lines can carry."""
+    return vouchers.withColumn(MONTH, month_of(D.date_value(explode_path(vouchers, "voucher").raw("date")), by))
+
+
 def with_base_types(vouchers: DataFrame, voucher_types: DataFrame) -> DataFrame:
     """Voucher documents with the base type of their (possibly user-defined) voucher type."""
     types = voucher_types.select(F.col("name").alias("vouchertypename"),
@@ -74,6 +103,31 @@ def flatten(docs: DataFrame, table: Table | str, start=None, end=None, after: in
         *[F.col(c).cast(t).alias(c) for c, t in incremental_columns(table)], *carried)
 
 
+def flattened(store: Store, vouchers: DataFrame, folder: str,
+              masters: Mapping[str, DataFrame] | None = None) -> tuple[dict[str, DataFrame], set[str]]:
+    """All transaction tables of a first load, with months as ``store`` keeps them, and which need not be gathered.
+
+    The documents are written once, to ``folder``, and each table reads its fields there. A line carries the month
+    of its document, so it is joined to headers only where several have its guid.
+    """
+    vouchers = dated(vouchers, store.by)
+    session, schema = vouchers.sparkSession, vouchers.schema
+    vouchers.write.parquet(folder)
+
+    def rows(table: Table) -> DataFrame:
+        docs = session.read.schema(fields_read(schema, table, ["guid", MONTH])).parquet(folder)
+        return flatten(docs, table, masters=masters, carried=[MONTH])
+
+    heads = flatten(session.read.schema(schema).parquet(folder), "trn_voucher", carried=[MONTH]).select("guid", MONTH)
+    repeated = heads.groupBy("guid").count().where("count > 1").select("guid")
+    several = not repeated.isEmpty()
+    found = {t.name: rows(t) if t.nature == "Primary" or not several else of_all_headers(rows(t), heads, repeated)
+             for t in tables("transaction")}
+    few = not several and store.writes_few(session.read.schema(schema).parquet(folder), len(store.parts_of(heads)))
+    few = few and all(is_small(df) or fits(df) for df in (masters or {}).values())
+    return found, set(found) if few else set()
+
+
 def with_master_guids(df: DataFrame, table: Table, masters: Mapping[str, DataFrame]) -> DataFrame:
     """Add ``_x`` = guid of the master row named by ``x``, '' where there is none."""
     flat = df  # where hot names are looked for, free of the joins added below

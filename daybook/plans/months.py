@@ -52,6 +52,19 @@ def placed(tables: Mapping[str, DataFrame], by: str = "month") -> dict[str, Data
     return out
 
 
+def of_all_headers(lines: DataFrame, heads: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Lines that carry their document's month, as a join to the headers ``heads`` gives them.
+
+    That is the same but for vouchers whose guid several headers have, the ``repeated`` ones: there a line
+    comes once with the month of each.
+    """
+    months = lookup(heads.select("guid", MONTH), repeated, "guid", "left_semi", measure=True).groupBy("guid").agg(
+        F.collect_list(MONTH).alias("_months"))
+    own = F.array(MONTH)
+    return lookup(lines, months, "guid", "left", measure=True, unique=True).withColumn(
+        MONTH, F.explode(F.coalesce("_months", own))).select(*lines.columns)
+
+
 def within(lines: DataFrame, start=None, end=None) -> DataFrame:
     """Rows whose voucher may lie in the period, judged by month where the layout has it."""
     if MONTH not in lines.columns:

@@ -19,12 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daybook.operators.lookup import input_bytes
 from daybook.plans.books import Books
 from daybook.plans.months import MONTH, is_dealt, placed
 from daybook.plans.sinks import full_refresh, write_all
 from daybook.session import compiled
 
 PARTS = 16
+#: Files that a table's new rows may be in without being gathered by part, and bytes that a task reads.
+FILES, TASK_BYTES = 2000, 128 * 1024 * 1024
 _BUCKET, _RUN = "_bucket", "_run"
 _WHOLE = "-"
 #: Between the name of a part and the run that added rows to it.
@@ -125,10 +128,17 @@ class Store:
         kept = [*schema.names, MONTH] if months else list(schema.names)
         schema = schema.add(MONTH, T.IntegerType()).add(_BUCKET, T.IntegerType()).add(_RUN, T.StringType())
         if not paths:
-            return self.spark.createDataFrame([], schema).select(*kept)
+            # a constant: the optimiser leaves it out of unions, where rows from Python would be a stage of tasks
+            return self.spark.range(0).where(F.lit(False)).select(
+                *[F.lit(None).cast(schema[c].dataType).alias(c) for c in kept])
         return (self.spark.read.schema(schema).option("basePath", f"{self.folder}/tables/{name}")
                 .parquet(*paths).select(*kept))
 
+    def writes_few(self, docs: DataFrame, parts: int) -> bool:
+        """Whether tasks that read the stored ``docs`` write few files though each writes all ``parts``."""
+        tasks = max(self.spark.sparkContext.defaultParallelism, input_bytes(docs) // TASK_BYTES + 1)
+        return tasks * parts <= FILES
+
     def scattered(self, version: Version, name: str, most: int) -> set[str]:
         """The parts of a table that lie in ``most`` folders or more."""
         held = Counter(map(_part, version.tables[name]["parts"])) if name in version.tables else {}
@@ -153,21 +163,22 @@ class Store:
 
     def commit(self, tables: Mapping[str, DataFrame], state: Mapping[str, str] | None = None,
                parts: Collection[str] | Mapping[str, Collection[str]] | None = None,
-               base: Version | None = None) -> dict[str, int]:
+               base: Version | None = None, ungathered: Collection[str] = ()) -> dict[str, int]:
         """Write ``tables`` as the next version; tables not given keep their files.
 
         With ``parts``, of all tables or by table, they hold the whole rows of these parts, and the
         other parts stay; rows they hold of other parts are added to what is there.
         ``base`` is the version the tables were derived from; if another one has been published
         since, nothing becomes visible. Lines without a month take that of their header in
-        ``tables``. Returns the rows written per table.
+        ``tables``. Rows of a part are gathered before they are written, except of the tables named in
+        ``ungathered``: there each task writes its own rows of every part. Returns the rows written per table.
         """
         base = base or self.head()
         run = f"{base.number + 1:012d}-{uuid.uuid4().hex[:8]}"
         tables = self.placed(tables)
         split = {n for n, df in tables.items() if is_dealt(n, df)}
-        dealt = {n: df.withColumn(_BUCKET, self.bucket()).hint("rebalance", MONTH, _BUCKET) if n in split else df
-                 for n, df in tables.items()}
+        dealt = {n: df.withColumn(_BUCKET, self.bucket()) if n in split else df for n, df in tables.items()}
+        dealt |= {n: dealt[n].hint("rebalance", MONTH, _BUCKET) for n in split - set(ungathered)}
         rows = write_all(dealt, lambda name, df: full_refresh(
             df, f"{self.folder}/data/{run}/{name}", [MONTH, _BUCKET] if name in split else None))
         entries = dict(base.tables)

@@ -21,23 +21,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from daybook.functions.decode import date_value
 from daybook.operators.hierarchy import members
 from daybook.operators import lookup as joins
 from daybook.operators.lookup import lookup
-from daybook.operators.reshape import explode_path
-from daybook.plans.ingest import STOCK_GROUP, flatten, with_base_types
-from daybook.plans.months import MONTH, month_of
+from daybook.plans.ingest import STOCK_GROUP, dated, fields_read, flatten, with_base_types
+from daybook.plans.months import MONTH
 from daybook.plans.sinks import STATE_SYNCED, STATE_TRANSACTION
 from daybook.plans.store import Store, Version
 from daybook.plans.sync import CASCADE_DELETE, appended, renamed, renumbered, with_names, without
-from daybook.schema import LINKS, TABLES, tables
+from daybook.schema import LINKS, TABLES, Table, tables
 
 DELETED = "_deleted_voucher"
 NUMBERS = "number"
 #: A part in so many folders is rewritten when rows are added to it.
 FOLDERS = 8
 _ROW = "_row"
+#: Of Spark's bitmaps.
+BITMAP_BYTES = 4096
 
 
 def newest(changes: DataFrame) -> DataFrame:
@@ -90,6 +90,8 @@ class Batch:
         self.accepted: list[DataFrame] = []  # guid, alterid and deleted of the changes that count
         self.held: list[DataFrame] = []
         self.folder = f"data/batch-{uuid.uuid4().hex}"  # of documents that several tables are read from
+        self.place: str | None = None  # where the last documents were stored
+        self.ungathered: set[str] = set()  # tables with few parts and no stored rows
         self.types = voucher_types
         self.top = 0
 
@@ -100,20 +102,31 @@ class Batch:
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` written once; each table then reads the fields it needs. Untyped columns cannot be written."""
         if "void" in df.schema.simpleString():
+            self.place = None
             return self.hold(df)
-        path = f"{self.store.folder}/{self.folder}/{name}"
-        df.write.parquet(path)
-        return self.store.spark.read.schema(df.schema).parquet(path)
+        self.place = f"{self.store.folder}/{self.folder}/{name}"
+        df.write.parquet(self.place)
+        return self.store.spark.read.schema(df.schema).parquet(self.place)
+
+    def only(self, docs: DataFrame, table: Table) -> DataFrame:
+        """The documents that were stored last, ``docs``, with what a table reads of them."""
+        if self.place is None:
+            return docs
+        schema = fields_read(docs.schema, table, ["guid", "deleted", "vouchertypename", MONTH])
+        return self.store.spark.read.schema(schema).parquet(self.place)
 
     def latest(self, changes: DataFrame) -> DataFrame:
         """The last change of every object.
 
         A batch of a stream comes as whole rows, so it is stored before its keys are read. These tell which
-        objects changed more than once. Only where they are many, all documents are shuffled, once and
-        unsorted, by the number of the stored row.
+        objects changed more than once. Where they are many, the stored rows that count are marked by one bit
+        each, and documents are copied without a shuffle; only for more bits than may be broadcast they are
+        shuffled, once and unsorted, by the number of the row.
         """
         untyped = "void" in changes.schema.simpleString()
-        numbered = self.stage("changes", changes if untyped else changes.withColumn(_ROW, F.monotonically_increasing_id()))
+        # the month is read from the date once, not again by every table
+        numbered = self.stage("changes", changes if untyped else dated(changes, self.store.by).withColumn(
+            _ROW, F.monotonically_increasing_id()))
         changes = numbered.drop(_ROW)
         several = self.hold(changes.groupBy(F.col("guid").alias("_guid")).count().where("count > 1").select("_guid"))
         repeated = several.count()
@@ -123,11 +136,23 @@ class Batch:
             if untyped:
                 return self.hold(newest(changes))
             last = numbered.groupBy("guid").agg(F.max_by(_ROW, F.struct("alterid", "deleted")).alias(_ROW)).select(_ROW)
-            return self.stage("latest", numbered.join(last.hint("shuffle_hash"), _ROW, "left_semi").drop(_ROW))
+            return self.stage("latest", self.marked(numbered, last).drop(_ROW))
         several, same = F.broadcast(several), F.col("guid").eqNullSafe(F.col("_guid"))
         return self.stage("latest", changes.join(several, same, "left_anti").unionByName(
             newest(changes.join(several, same, "left_semi"))))
 
+    def marked(self, numbered: DataFrame, rows: DataFrame) -> DataFrame:
+        """The documents with the numbers ``rows``, each of which comes once."""
+        bits = self.hold(rows.groupBy(F.bitmap_bucket_number(_ROW).alias("_bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(_ROW)).alias("_bits")))
+        if not joins.fits(bits, joins.BROADCAST_BYTES // BITMAP_BYTES):
+            return numbered.join(rows.hint("shuffle_hash"), _ROW, "left_semi")
+        place = F.bitmap_bit_position(_ROW)
+        byte = F.conv(F.hex(F.substring("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        bit = F.getbit(byte, (place % 8).cast("int"))
+        return numbered.withColumn("_bucket", F.bitmap_bucket_number(_ROW)).join(F.broadcast(bits), "_bucket").where(
+            bit == 1).select(*numbered.columns)
+
     def accepted_of(self, latest: DataFrame, keys: DataFrame, count: int) -> DataFrame:
         """The documents of ``latest`` with the given keys; all of them are read from where they are."""
         if count == latest.count():
@@ -232,7 +257,7 @@ class Batch:
             parts |= store.parts_of(removed)
             removed = removed.select("guid")
             removed = F.broadcast(removed) if joins.fits(removed) else removed
-            pending = self.accepted_of(latest, keys, count).where(~F.col("deleted")).drop("deleted")
+            pending = self.accepted_of(latest, keys, count)
         if NUMBERS in self.routes and heads is not None:
             numbers = self.hold(newest(self.routes[NUMBERS]).select("guid", "voucher_number"))
             fresh = numbers.withColumnRenamed("voucher_number", "_fresh")
@@ -246,17 +271,24 @@ class Batch:
         rows, added = {}, set()
         if pending is not None:
             types = self.types if self.types is not None else self.table("mst_vouchertype")
-            kept = pending if types is None or "basevouchertype" in pending.columns else with_base_types(pending, types)
             names = self.names()
-            # lines take the month from their own document, so none is joined to its header
-            kept = kept.withColumn(MONTH, month_of(date_value(explode_path(kept, "voucher").raw("date")), store.by))
+            broadcast = all(joins.is_small(df) or joins.fits(df) for df in names.values())
             for table in tables("transaction"):
+                kept = self.only(pending, table).where(~F.col("deleted")).drop("deleted")
+                kept = kept if MONTH in kept.columns else dated(kept, store.by)
+                if types is not None and "basevouchertype" not in kept.columns:
+                    kept = with_base_types(kept, types)
                 stored = store.columns(head, table.name)
                 plain = table.nature == "Derived" and (not names if stored is None else set(stored) <= set(table.columns))
+                # lines take the month from their own document, so none is joined to its header
                 rows[table.name] = flatten(kept, table, masters=None if plain else names, carried=[MONTH])
+                if plain or broadcast:
+                    self.ungathered.add(table.name)
             # rows of parts where nothing goes are added beside what is there
             added = store.parts_of(rows["trn_voucher"])
             parts |= added & store.scattered(head, "trn_voucher", FOLDERS)
+            if parts or self.renames or numbers is not None or self.place is None or not store.writes_few(pending, len(added)):
+                self.ungathered.clear()
         for table in tables("transaction") if parts or added else []:
             stored = store.rows(head, table.name, parts, months=True)
             df = rows.get(table.name)
@@ -311,7 +343,7 @@ def apply_changes(store: Store, changes: DataFrame, batch: int,
             return {}
         last = max(int(work.top), int(head.state.get(STATE_TRANSACTION, 0)))
         return store.commit(work.result, {STATE_TRANSACTION: str(last), mark: str(batch)},
-                            {**{t.name: parts for t in tables("transaction")}, DELETED: remembered}, head)
+                            {**{t.name: parts for t in tables("transaction")}, DELETED: remembered}, head, work.ungathered)
     finally:
         work.close()
 

@@ -1,11 +1,15 @@
 """Incremental sync equals a full refresh; the store and the stream survive repetition."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.operators import lookup
+from daybook.plans import ingest
+from daybook.plans import store as store_module
 from daybook.plans import sync as S
 from daybook.plans.books import Books
 from daybook.plans.sinks import STATE_TRANSACTION
@@ -331,3 +335,68 @@ def test_many_repeats(spark, tmp_path, monkeypatch):
     work.close()
     assert found == {(f"v{i}", 3, i % 3 == 0, f"{i}-3") for i in range(9)} | {(None, 6, False, "y"), ("w", None, False, "z")}
     assert not seen  # documents are not aggregated
+
+
+def test_tables_read_their_fields_and_new_rows_are_not_shuffled(spark, folder, tmp_path, monkeypatch):
+    """Every table read whole documents, and its rows were shuffled by part before they were written."""
+    docs = voucher_documents(spark, folder).withColumns({"alterid": F.col("alterid").cast("bigint"), "deleted": F.lit(False)})
+    plans, write = {}, store_module.full_refresh
+
+    def seen(df, path, *args):
+        plans[path.split("/")[-1]] = df._jdf.queryExecution().optimizedPlan().toString(), [f.name for f in _leaf_fields(df)]
+        return write(df, path, *args)
+
+    monkeypatch.setattr(store_module, "full_refresh", seen)
+    few = Store(spark, str(tmp_path / "few"), 1, "year")
+    continuous.apply_changes(few, docs.where("alterid <= 700"), 0)
+    continuous.apply_changes(few, docs.where("alterid > 700"), 1)
+    lines = [n for n in plans if n.startswith("trn_")]
+    assert len(lines) == len(tables("transaction")) and not any("Rebalance" in plans[n][0] for n in lines)
+    assert not any("PythonRDD" in p or "LogicalRDD" in p for p, _ in plans.values())
+    assert "bankallocations" not in plans["trn_accounting"][1] and "bankallocations" in plans["trn_bank"][1]
+    monkeypatch.setattr(store_module, "FILES", 0)  # many parts: rows are gathered, whole documents give the same
+    monkeypatch.setattr(continuous, "fields_read", lambda schema, *args: schema)
+    many = Store(spark, str(tmp_path / "many"), 1, "year")
+    continuous.apply_changes(many, docs, 0)
+    assert all("Rebalance" in plans[n][0] for n in ("trn_voucher", "trn_accounting"))
+    for table in tables("transaction"):
+        same(few.books()[table.name], many.books()[table.name])
+
+
+def _leaf_fields(df):
+    """The fields of the entries of lists that a plan reads."""
+    leaves, found = df._jdf.queryExecution().optimizedPlan().collectLeaves(), []
+    for i in range(leaves.size()):
+        fields = T.StructType.fromJson(json.loads(leaves.apply(i).schema().json())).fields
+        for f in fields:
+            found += f.dataType.elementType.fields if isinstance(f.dataType, T.ArrayType) else []
+    return found
+
+
+@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 0])
+def test_marked_rows(spark, tmp_path, monkeypatch, limit):
+    """Documents that count are picked by one bit each, or by a join where the bits are too many."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+    work = continuous.Batch(Store(spark, str(tmp_path), 1, "year"), None, {}, None)
+    ids = spark.range(0, 100_000, 1, 3).selectExpr("if(id < 50000, id, id + (1L << 33)) as _row", "id")
+    kept = ids.where("id % 7 in (0, 3) or id in (1, 32768, 32769, 65537)")
+    got = work.marked(ids, kept.select("_row"))
+    assert got.columns == ids.columns and ("_row" in got._jdf.queryExecution().analyzed().toString())
+    same(got, kept)
+    work.close()
+
+
+def test_first_load_carries_months(spark, folder, tmp_path):
+    """Lines were joined to headers for their month; that gives the same, also where headers share a guid."""
+    docs = voucher_documents(spark, folder).where("vouchernumber < 300")
+    twice = docs.where("vouchernumber like '%4'").withColumn("date", F.lit("20300101"))
+    for i, given in enumerate((docs, docs.unionByName(docs.where("vouchernumber like '%3'")).unionByName(twice))):
+        store = Store(spark, str(tmp_path / f"store{i}"), 1, "year")
+        found, few = ingest.flattened(store, given, str(tmp_path / f"docs{i}"))
+        assert bool(few) == (i == 0)
+        joined = store.placed({t.name: ingest.flatten(given, t) for t in tables("transaction")})
+        for name in ("trn_voucher", "trn_accounting", "trn_bank", "trn_payhead", "trn_inventory"):
+            same(found[name], joined[name])
+            assert i or "Join" not in found[name]._jdf.queryExecution().optimizedPlan().toString()
+        store.commit(found, ungathered=few)
+        same(store.books()["trn_accounting"], joined["trn_accounting"].drop("_month"))
