@@ -108,7 +108,8 @@ def flattened(store: Store, vouchers: DataFrame, folder: str,
     """All transaction tables of a first load, with months as ``store`` keeps them, and which need not be gathered.
 
     The documents are written once, to ``folder``, and each table reads its fields there. A line carries the month
-    of its document, so it is joined to headers only where several have its guid.
+    of its document, so it is joined to headers only where several have its guid: documents with one guid, or
+    a header with a name that several masters have.
     """
     vouchers = dated(vouchers, store.by)
     session, schema = vouchers.sparkSession, vouchers.schema
@@ -118,7 +119,10 @@ def flattened(store: Store, vouchers: DataFrame, folder: str,
         docs = session.read.schema(fields_read(schema, table, ["guid", MONTH])).parquet(folder)
         return flatten(docs, table, masters=masters, carried=[MONTH])
 
-    heads = flatten(session.read.schema(schema).parquet(folder), "trn_voucher", carried=[MONTH]).select("guid", MONTH)
+    named = [masters[link.master] for link in links_of("trn_voucher").values() if link.master in (masters or {})]
+    unique = all(m.where(F.col("name").isNotNull()).groupBy("name").count().where("count > 1").isEmpty() for m in named)
+    heads = (flatten(session.read.schema(schema).parquet(folder), "trn_voucher", carried=[MONTH]) if unique
+             else rows(TABLES["trn_voucher"])).select("guid", MONTH)
     repeated = heads.groupBy("guid").count().where("count > 1").select("guid")
     several = not repeated.isEmpty()
     found = {t.name: rows(t) if t.nature == "Primary" or not several else of_all_headers(rows(t), heads, repeated)
