@@ -49,8 +49,7 @@ def _landed_once(spark, folder):
     """The same export parsed once and landed; the table is flattened from there."""
     path = scratch(spark, "xml")
     docs = testbed_documents.voucher_documents(spark, folder)
-    docs.select(*[F.col(f.name).cast(xml.export_type(f.dataType)).alias(xml.export_tag(f.name, f.dataType)) for f in docs.schema.fields]
-                ).write.format("xml").options(rootTag="ENVELOPE", rowTag="VOUCHER").save(f"{path}/export")
+    xml.write_export(docs, f"{path}/export", "voucher")
     xml.land(spark, f"{path}/export", "voucher", f"{path}/landed")
     return ingest.flatten(xml.landed(spark, f"{path}/landed"), "trn_accounting")
 
