@@ -39,9 +39,7 @@ def _xml(spark, folder):
     """Voucher documents written as an XML export, scanned and flattened."""
     path = scratch(spark, "xml")
     docs = testbed_documents.voucher_documents(spark, folder)
-    tags = docs.select(*[F.col(f.name).cast(xml.export_type(f.dataType)).alias(
-        xml.export_tag(f.name, f.dataType)) for f in docs.schema.fields])
-    tags.write.format("xml").options(rootTag="ENVELOPE", rowTag="VOUCHER").save(path)
+    xml.write_export(docs, path, "voucher")
     return ingest.flatten(xml.read_documents(spark, path, "voucher", names=["trn_accounting"]), "trn_accounting")
 
 
